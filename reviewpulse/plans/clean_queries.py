@@ -253,7 +253,7 @@ def f_star_bands(spark, sf_dir):
 
 
 @query("set_distinct_characters", on_kept("""SELECT ch, COUNT(*) AS n FROM (
-  SELECT unnest(list_distinct(string_split(content_clean, ''))) AS ch FROM kept) GROUP BY ch"""))
+  SELECT unnest(list_distinct(string_split(content_clean, ''))) AS ch FROM kept WHERE content_clean <> '') GROUP BY ch"""))
 def set_distinct_characters(spark, sf_dir):
     """Reviews per distinct character."""
     chars = F.array_distinct(F.split(F.col("content_clean"), ""))

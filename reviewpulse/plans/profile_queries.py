@@ -444,7 +444,8 @@ def warehouse_constraints(spark, sf_dir):
 
 
 @query("j_fk_check", on_kept("""SELECT app_id, COUNT(*) AS n_rows FROM kept WHERE app_id NOT IN (
-    SELECT app_id FROM kept WHERE is_inconsistent_rating) GROUP BY app_id"""))
+    SELECT app_id FROM kept WHERE has_dev_reply AND is_inconsistent_rating) GROUP BY app_id"""))
 def j_fk_check(spark, sf_dir):
+    """Orphans against the apps that ever answered an inconsistent rating."""
     rows = kept(spark, sf_dir)
-    return warehouse.orphan_reviews(rows, warehouse.apps_table(rows.filter("is_inconsistent_rating")))
+    return warehouse.orphan_reviews(rows, warehouse.apps_table(rows.filter("has_dev_reply AND is_inconsistent_rating")))
