@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as V
 
-# Every character that counts as white space in Unicode text (plus the four ASCII separators).
+# Every character that counts as white space in Unicode text (plus the four ASCII separators):
+# as a trim set and as a pattern class.
 _SPACE_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
                 *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACE_CHARS = "".join(map(chr, _SPACE_CODES))
-_SPACE_CLASS = "".join(f"\\x{{{code:x}}}" for code in _SPACE_CODES)
+SPACE_CLASS = r"\s\x1c-\x1f"
 
 
 def strip(text: Column) -> Column:
@@ -29,12 +30,12 @@ def normalize_text(text: Column) -> Column:
 def preprocess_text(text: Column) -> Column:
     """Lower-case, replace links by a space, collapse white space, strip last."""
     lowered = F.lower(text)
-    url = V.URL_PATTERN.replace(r"\S", f"[^{_SPACE_CLASS}]")
+    url = "(?U)" + V.URL_PATTERN.replace(r"\S", f"[^{SPACE_CLASS}]")
     # Most texts hold no link; two substring searches are cheaper than the pattern.
     no_links = F.when(
         lowered.contains("://") | lowered.contains("www."), F.regexp_replace(lowered, url, " ")
     ).otherwise(lowered)
-    return strip(F.regexp_replace(no_links, f"[{_SPACE_CLASS}]+", " "))
+    return strip(F.regexp_replace(no_links, f"(?U)[{SPACE_CLASS}]+", " "))
 
 
 def text_hash(clean: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import stats, text, values
+from ..sources.shared import settle
 from .keyed import attach_facts, first_per_key
 
 
@@ -148,7 +149,20 @@ def label(raw: DataFrame, language: Column | str = "declared_lang") -> DataFrame
 def flag_reviews(raw: DataFrame, by: list[str] | None = None, language: Column | str = "declared_lang",
                  **join) -> DataFrame:
     """All flags, computed on the raw rows with repeats still in, before any row is dropped."""
-    rows = label(raw, language)
+    return flag_labelled(label(raw, language), by, **join)
+
+
+def narrow(rows: DataFrame) -> DataFrame:
+    """Labelled rows without their texts, written once.
+
+    Rates, histories and counts need the flags but not the texts. They read this table several
+    times instead of scanning and parsing all text again.
+    """
+    texts = ["content", "content_clean", "reply_content", "app_name", "at", "replied_at", "replied_at_parsed"]
+    return settle(rows.drop(*texts), "labelled")
+
+
+def flag_labelled(rows: DataFrame, by: list[str] | None = None, **join) -> DataFrame:
     timed = with_time_anomaly(rows, by, hour_facts(rows, by), **join)
     return with_spam_suspect(timed, by, duplicate_facts(rows, by), **join)
 

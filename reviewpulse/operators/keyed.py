@@ -28,8 +28,8 @@ def attach_facts(df: DataFrame, facts: DataFrame, keys: list[str], weight: str,
 
     * up to ``broadcast_rows`` facts: broadcast, ``df`` is not shuffled at all;
     * more: the hot keys (``weight`` above 1/1000 of the total, hence fewer than 1000 of them)
-      are joined by broadcast, and only the others by shuffle. Rows already served are spread
-      by ``spread`` over salted keys that match nothing, so no task gets a hot group.
+      are joined by broadcast, and only the others by shuffle. Rows already served get a slot
+      from ``spread`` instead of their key, which matches nothing, so no task gets a hot group.
     """
     facts = settle(facts, "facts")
     values = [c for c in facts.columns if c not in keys]
@@ -44,15 +44,14 @@ def attach_facts(df: DataFrame, facts: DataFrame, keys: list[str], weight: str,
         *[f"r_{k}" for k in keys], F.struct(*values).alias("hot"), F.lit(True).alias("is_hot")
     )
     cold = right.filter(~is_hot).select(
-        *[f"r_{k}" for k in keys], F.struct(*values).alias("cold"), F.lit(0).alias("r_salt")
+        *[f"r_{k}" for k in keys], F.struct(*values).alias("cold"), F.xxhash64(*[f"r_{k}" for k in keys]).alias("r_slot")
     )
-    salt = F.when(F.col("is_hot"), 1 + F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
     served = (
         df.join(F.broadcast(hot), on, "left")
         .drop(*[f"r_{k}" for k in keys])
-        .withColumn("salt", salt.cast("int"))
+        .withColumn("slot", F.when(F.col("is_hot"), F.xxhash64(spread)).otherwise(F.xxhash64(*keys)))
     )
-    joined = served.join(cold, on & (F.col("salt") == F.col("r_salt")), "left")
+    joined = served.join(cold, on & (F.col("slot") == F.col("r_slot")), "left")
     picked = [F.coalesce(F.col(f"hot.{v}"), F.col(f"cold.{v}")).alias(v) for v in values]
     return joined.select(*df.columns, *picked)
 

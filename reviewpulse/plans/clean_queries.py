@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import text, values
 from ..operators import clean, keyed, language, profile, sampling, warehouse
-from ..sources.reviews import raw_reviews, table
+from ..sources.reviews import documents, raw_reviews
 from .base_sql import on_flagged, on_kept, on_kept_flagged, on_labelled, on_raw, WS
-from .registry import flagged, kept, kept_en, labelled, query
+from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
 
 
 def _columns(name: str, columns: list[str], sql_columns: str | None = None, source=labelled, wrap=on_labelled,
@@ -66,19 +66,20 @@ def j_threshold_scalar(spark, sf_dir):
 
 @query("p_spam_suspect", on_flagged("SELECT ingest_seq, is_spam_bot_suspect FROM flagged"))
 def p_spam_suspect(spark, sf_dir):
-    return flagged(spark, sf_dir).select("ingest_seq", "is_spam_bot_suspect")
+    return flagged_narrow(spark, sf_dir).select("ingest_seq", "is_spam_bot_suspect")
 
 
 @query("j_dup_count_self", on_flagged("""SELECT ingest_seq, text_hash, CASE WHEN dup_text_count >= 3 THEN dup_text_count END AS dup_text_count
   FROM flagged"""))
 def j_dup_count_self(spark, sf_dir):
     """Row next to the count of its text, for texts that repeat often enough to matter."""
-    return clean.with_duplicate_counts(labelled(spark, sf_dir)).select("ingest_seq", "text_hash", "dup_text_count")
+    rows = clean.narrow(labelled(spark, sf_dir))
+    return clean.with_duplicate_counts(rows).select("ingest_seq", "text_hash", "dup_text_count")
 
 
 @query("w_dup_count", on_flagged("SELECT ingest_seq, dup_text_count FROM flagged"))
 def w_dup_count(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = clean.narrow(labelled(spark, sf_dir))
     counted = clean.with_duplicate_counts(rows, facts=clean.duplicate_facts(rows, at_least=1))
     return counted.select("ingest_seq", "dup_text_count")
 
@@ -124,7 +125,7 @@ SELECT l.ingest_seq, COALESCE(b.lang, 'unknown') AS detected_lang
 FROM labelled l LEFT JOIN best b ON b.ingest_seq = l.ingest_seq AND b.rn = 1"""))
 def p_detect_lang(spark, sf_dir):
     """Train on all labelled documents, then detect the language of every review."""
-    model = language.train(table(spark, sf_dir, "documents"), "text", "lang")
+    model = language.train(documents(spark, sf_dir), "text", "lang")
     rows = clean.derive(raw_reviews(spark, sf_dir))
     return language.with_detected_language(rows, model).select("ingest_seq", "detected_lang")
 
@@ -237,7 +238,7 @@ UNION ALL SELECT 'p2', 'inconsistent_rating_rate', round(inc, 4), NULL FROM kept
 UNION ALL SELECT 'p2', 'time_anomaly_rate', round(an, 4), NULL FROM kept_side
 UNION ALL SELECT 'output', 'clean_en_rows', CAST(n_en AS DOUBLE), NULL FROM kept_side"""))
 def quality_report(spark, sf_dir):
-    return clean.quality_report(flagged(spark, sf_dir), "2024-02-01 00:00:00", "documents")
+    return clean.quality_report(flagged_narrow(spark, sf_dir), "2024-02-01 00:00:00", "documents")
 
 
 @query("f_flag_rows", on_kept("""SELECT review_id, app_name, score, sentiment_keyword FROM kept_en WHERE is_inconsistent_rating"""))

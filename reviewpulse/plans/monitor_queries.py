@@ -9,21 +9,26 @@ from ..operators import clean, monitor
 from ..sources.schemas import QUALITY_HISTORY_COLUMNS
 from ..sources.shared import settle
 from .base_sql import on_batches
-from .registry import batched, query
+from .registry import batch_rows, batched, query
 
 CFG = monitor.config()
 TODAY = "2024-02-01"
 
 
-def quality(spark, sf_dir):
+def quality(spark, sf_dir, rows=None):
     """One row per batch; settled because rules, status and snapshot all read it."""
-    rows = clean.flag_reviews(batched(spark, sf_dir), ["run_ts"])
-    return settle(monitor.quality_history(rows), "quality-history")
+    rows = batch_rows(spark, sf_dir) if rows is None else rows
+    return settle(monitor.quality_history(clean.flag_labelled(rows, ["run_ts"])), "quality-history")
 
 
-def distribution(spark, sf_dir):
-    rows = clean.clean_all(clean.label(batched(spark, sf_dir)), ["run_ts"])
-    return settle(monitor.distribution_history(rows), "distribution-history")
+def distribution(spark, sf_dir, rows=None):
+    rows = batch_rows(spark, sf_dir) if rows is None else rows
+    return settle(monitor.distribution_history(clean.clean_all(rows, ["run_ts"])), "distribution-history")
+
+
+def histories(spark, sf_dir):
+    rows = batch_rows(spark, sf_dir)
+    return quality(spark, sf_dir, rows), distribution(spark, sf_dir, rows)
 
 
 QUALITY = """raw_side AS (
@@ -226,8 +231,9 @@ def m_reconcile_rows(spark, sf_dir):
   UNION ALL SELECT 'clean_en_rows', SUM(clean_en_rows), (SELECT COUNT(*) FROM kept_en) FROM quality"""))
 def j_reconcile(spark, sf_dir):
     """Stored rows, counted from the clean table, next to the sums of the history."""
-    history = quality(spark, sf_dir)
-    rows = clean.clean_all(clean.label(batched(spark, sf_dir)), ["run_ts"])
+    batches = batch_rows(spark, sf_dir)
+    history = quality(spark, sf_dir, batches)
+    rows = clean.clean_all(batches, ["run_ts"])
     stored = rows.agg(F.count("*").alias("all_rows"), F.count_if("is_en").alias("en_rows"))
     sums = history.agg(F.sum("clean_all_rows").alias("a"), F.sum("clean_en_rows").alias("e"))
     pairs = F.array(
@@ -246,7 +252,7 @@ _ALL_ALERTS = f"{QUALITY}, {DISTRIBUTION}, {FEATURES}, {HARD}, {DRIFT}, {RECONCI
 @query("m_mute", on_batches(_ALL_ALERTS, f"SELECT {_SHOWN} FROM found WHERE COALESCE(mute_key, '') NOT IN ('raw_rows', 'empty_text_rate')"))
 def m_mute(spark, sf_dir):
     """One entry still valid, one run out, one without an end, one unreadable, one for an alert that cannot be muted."""
-    q, d = quality(spark, sf_dir), distribution(spark, sf_dir)
+    q, d = histories(spark, sf_dir)
     found = monitor.alerts(q, d, CFG, store(q), monitor.mute_table(spark, MUTES), TODAY)
     return monitor.published(found).select(*_SHOWN_COLS)
 
@@ -264,7 +270,7 @@ _STATUS = """per AS (
 
 @query("m_overall_status", on_batches(f"{_ALL_ALERTS}, {_STATUS}", "SELECT 'reviews' AS dataset, * FROM status"))
 def m_overall_status(spark, sf_dir):
-    q, d = quality(spark, sf_dir), distribution(spark, sf_dir)
+    q, d = histories(spark, sf_dir)
     return monitor.overall_status(q, monitor.alerts(q, d, CFG, store(q)))
 
 
@@ -272,7 +278,7 @@ def m_overall_status(spark, sf_dir):
   raw_rows, duplicate_rate, parseable_time_rate, english_rate_after_p0, d.en_share, s.status
   FROM quality q LEFT JOIN distribution d ON d.run_ts = q.run_ts JOIN status s ON s.run_ts = q.run_ts ORDER BY q.run_ts DESC LIMIT 1"""))
 def m_report_snapshot(spark, sf_dir):
-    q, d = quality(spark, sf_dir), distribution(spark, sf_dir)
+    q, d = histories(spark, sf_dir)
     return monitor.snapshot(q, d, monitor.overall_status(q, monitor.alerts(q, d, CFG, store(q))))
 
 

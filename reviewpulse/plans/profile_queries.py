@@ -10,7 +10,7 @@ from ..sources import sinks
 from ..sources.reviews import raw_reviews, table
 from .base_sql import listed, on_flagged, on_kept, on_kept_flagged, on_labelled
 from .clean_queries import _names_sql
-from .registry import flagged, kept, kept_en, labelled, query
+from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
 
 
 # ---- A ---------------------------------------------------------------------------------------
@@ -187,8 +187,8 @@ _C2 = """SELECT 'english_share_on_clean_all' AS metric, round(AVG(CAST(is_en AS
 
 @query("c2_english_subset", on_kept(_C2))
 def c2(spark, sf_dir):
-    rows = flagged(spark, sf_dir)
-    return profile.english_subset(clean.clean_all(labelled(spark, sf_dir)), clean.quality_report(rows, "", ""))
+    rows = flagged_narrow(spark, sf_dir)
+    return profile.english_subset(clean.clean_all(rows), clean.quality_report(rows, "", ""))
 
 
 @query("f_metric_subset", on_kept("""SELECT 'p0' AS section, 'raw_rows' AS metric, CAST((SELECT COUNT(*) FROM raw) AS DOUBLE) AS value
@@ -196,7 +196,7 @@ def c2(spark, sf_dir):
   UNION ALL SELECT 'p1', 'english_rate_after_p0', round((SELECT AVG(CAST(is_en AS INT)) FROM kept), 4)
   UNION ALL SELECT 'output', 'clean_en_rows', (SELECT COUNT(*) FROM kept_en)"""))
 def f_metric_subset(spark, sf_dir):
-    return profile.metric_subset(clean.quality_report(flagged(spark, sf_dir), "", ""))
+    return profile.metric_subset(clean.quality_report(flagged_narrow(spark, sf_dir), "", ""))
 
 
 # ---- D ---------------------------------------------------------------------------------------
@@ -260,20 +260,20 @@ def e1(spark, sf_dir):
 @query("e2_spam_rate", on_kept_flagged(
     "SELECT 'spam_bot_suspect_rate' AS metric, round(AVG(CAST(is_spam_bot_suspect AS INT)), 6) AS value FROM kept_en"))
 def e2(spark, sf_dir):
-    return profile.flag_mean(clean.clean_en(flagged(spark, sf_dir)), "is_spam_bot_suspect", "spam_bot_suspect_rate")
+    return profile.flag_mean(clean.clean_en(flagged_narrow(spark, sf_dir)), "is_spam_bot_suspect", "spam_bot_suspect_rate")
 
 
 @query("e_summary_rates", on_kept_flagged("""SELECT 'time_anomaly_rate' AS metric, round(AVG(CAST(is_time_anomaly AS INT)), 6) AS value,
     'share of rows in busy hours' AS note FROM kept_en
   UNION ALL SELECT 'spam_bot_suspect_rate', round(AVG(CAST(is_spam_bot_suspect AS INT)), 6), 'combined heuristic' FROM kept_en"""))
 def e_summary(spark, sf_dir):
-    return profile.risk_rates(clean.clean_en(flagged(spark, sf_dir)))
+    return profile.risk_rates(clean.clean_en(flagged_narrow(spark, sf_dir)))
 
 
 @query("e2_flag_counts", on_kept_flagged("""SELECT FALSE AS flag, COUNT(*) FILTER (WHERE NOT is_spam_bot_suspect) AS n FROM kept_en
   UNION ALL SELECT TRUE, COUNT(*) FILTER (WHERE is_spam_bot_suspect) FROM kept_en"""))
 def e2_counts(spark, sf_dir):
-    return profile.flag_counts(clean.clean_en(flagged(spark, sf_dir)), "is_spam_bot_suspect")
+    return profile.flag_counts(clean.clean_en(flagged_narrow(spark, sf_dir)), "is_spam_bot_suspect")
 
 
 @query("t_spam_sample", on_kept_flagged("""SELECT app_name, score, content_len, content, is_spam_bot_suspect, text_hash
@@ -437,9 +437,9 @@ _NOT_NULL = "".join(
     SELECT app_id FROM labelled WHERE is_en)){_NOT_NULL}"""))
 def warehouse_constraints(spark, sf_dir):
     """Checked on rows that still hold repeats, with the apps of the English rows only."""
-    rows = flagged(spark, sf_dir)
+    rows = flagged_narrow(spark, sf_dir).withColumn("app_name", F.concat(F.lit("App "), "app_id"))
     built = warehouse.tables(rows, "raw", "2024-02-01T00:00:00Z")
-    built["apps"] = warehouse.apps_table(labelled(spark, sf_dir).filter("is_en"))
+    built["apps"] = warehouse.apps_table(rows.filter("is_en"))
     return warehouse.constraint_violations(built)
 
 

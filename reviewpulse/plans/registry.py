@@ -48,6 +48,11 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.flag_reviews(raw_reviews(spark, sf_dir))
 
 
+def flagged_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flags without the texts, for rates and counts."""
+    return clean.flag_labelled(clean.narrow(labelled(spark, sf_dir)))
+
+
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean table without the flags that need other rows."""
     return clean.clean_all(labelled(spark, sf_dir))
@@ -57,6 +62,11 @@ def kept_en(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_en(labelled(spark, sf_dir))
 
 
+def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows without texts, with the batch key; written once and read by every history."""
+    return clean.narrow(clean.label(batched(spark, sf_dir)))
+
+
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with the collection day as batch key."""
     return raw_reviews(spark, sf_dir).withColumn("run_ts", F.col("ingest_date"))

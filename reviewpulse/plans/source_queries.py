@@ -8,9 +8,9 @@ from ..operators import clean, monitor, warehouse
 from ..sources import readers, sinks
 from ..sources.reviews import raw_reviews
 from ..sources.schemas import CLEAN_COLUMNS, QUALITY_HISTORY_COLUMNS, RAW_COLUMNS
-from ..sources.shared import new_path
+from ..sources.shared import new_path, settle
 from .base_sql import on_batches, on_kept, on_kept_flagged, on_raw
-from .registry import batched, flagged, kept, kept_en, query
+from .registry import batch_rows, flagged, kept, kept_en, query
 
 # Text columns travel through CSV; a hash shows that every character came back.
 _RAW_SHOWN = "review_id, app_id, score, \"at\", thumbs_up_count, replied_at, length(content) AS content_len, md5(COALESCE(content, '')) AS content_md5, " \
@@ -70,7 +70,7 @@ _HISTORY_ROWS = """SELECT run_ts, COUNT(*) AS raw_rows, COUNT(DISTINCT app_id) A
 def sink_append_history(spark, sf_dir):
     """Two appends, both kept, columns in their fixed order."""
     path = new_path(spark, "history")
-    history = monitor.quality_history(clean.flag_reviews(batched(spark, sf_dir), ["run_ts"]))
+    history = settle(monitor.quality_history(clean.flag_labelled(batch_rows(spark, sf_dir), ["run_ts"])), "quality-history")
     for copy in (1, 2):
         sinks.append_history(history.withColumn("copy", F.lit(copy)), path, ["copy", *QUALITY_HISTORY_COLUMNS])
     return spark.read.parquet(path).select("copy", "run_ts", "raw_rows", "apps_count", "duplicate_rate")

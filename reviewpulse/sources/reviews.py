@@ -12,13 +12,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that arrives as fewer splits than there are cores; leave a large scan alone.
+
+    Text work per row is heavy, so a small unsplittable file is worth one shuffle of its own size.
+    A scan with enough splits is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review rows as a collector would land them: text columns, ``ingest_seq`` and ``ingest_date``.
 
     Each document is a review, timed by its event and answered by its assistant turn. Every
     fiftieth document arrives a second time, later in the file.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     replies = (
         table(spark, sf_dir, "conversations")
