@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import text, values
-from .keyed import SALTS, with_scalar
+from .keyed import in_slices, with_scalar
 
 # An app plan is a hand-kept list; beyond this it is joined by shuffle like any other table.
 PLAN_BROADCAST_ROWS = 100_000
@@ -16,22 +16,20 @@ PLAN_BROADCAST_ROWS = 100_000
 def newest_n_per_app(reviews: DataFrame, plan: DataFrame) -> DataFrame:
     """Per app of the plan the newest ``target_reviews`` rows, newest first, ties by review id.
 
-    Rows without a time rank last. Each app is first ranked inside salted slices, so a hot app is
-    spread over many tasks; a row among the newest n of its app is also among the newest n of its
-    slice, which makes the second ranking exact.
+    Rows without a time rank last. Ranked in slices first, like ``top_n_per_key``: the largest
+    target of the plan is a literal limit, which cuts each map task before the shuffle.
     """
     plan = plan.select("app_id", "target_reviews")
-    known = plan.limit(PLAN_BROADCAST_ROWS + 1).count()
-    side = F.broadcast(plan) if known <= PLAN_BROADCAST_ROWS else plan
+    size, largest = plan.agg(F.count("*"), F.coalesce(F.max("target_reviews"), F.lit(0))).first()
+    side = F.broadcast(plan) if size <= PLAN_BROADCAST_ROWS else plan
     order = [F.desc_nulls_last("at_parsed"), F.asc("review_id"), F.asc("ingest_seq")]
-    slice_id = F.pmod(F.xxhash64("ingest_seq"), F.lit(SALTS))
     in_slice = F.row_number().over(Window.partitionBy("app_id", "slice_id").orderBy(*order))
     in_app = F.row_number().over(Window.partitionBy("app_id").orderBy(*order))
     return (
-        reviews.join(side, "app_id").withColumn("slice_id", slice_id)
-        .withColumn("place", in_slice).filter(F.col("place") <= F.col("target_reviews"))
-        .withColumn("place", in_app).filter(F.col("place") <= F.col("target_reviews"))
-        .drop("slice_id", "target_reviews").withColumnRenamed("place", "newest_rank")
+        in_slices(reviews.join(side, "app_id"))
+        .withColumn("newest_rank", in_slice).filter(F.col("newest_rank") <= largest).drop("slice_id")
+        .withColumn("newest_rank", in_app).filter(F.col("newest_rank") <= F.col("target_reviews"))
+        .drop("target_reviews")
     )
 
 

@@ -14,9 +14,8 @@ from ..sources.shared import settle
 BROADCAST_ROWS = 1_000_000
 # A key is hot above 1/1000 of all rows, so there are fewer than a thousand hot keys.
 HOT_SHARE = 1000
-# Window group limits are planned up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT_ROWS = 1000
-SALTS = 1024
+# Number of slices that one key is ranked in before its final ranking.
+SLICES = 256
 
 
 def attach_facts(df: DataFrame, facts: DataFrame, keys: list[str], weight: str, spread: str,
@@ -66,23 +65,26 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.withColumn("rank_in_key", rank).filter(F.col("rank_in_key") == 1).drop("rank_in_key")
 
 
-def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, spread: str,
-                  group_limit_rows: int = GROUP_LIMIT_ROWS) -> DataFrame:
+def in_slices(df: DataFrame) -> DataFrame:
+    """Add ``slice_id``: all rows of one map task share a slice, and a key spreads over many slices."""
+    return df.withColumn("slice_id", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
+
+
+def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """Keep the first ``n`` rows of each key and their rank as ``rank_in_key``.
 
-    Small ``n``: the planner's group limit cuts each map task to ``n`` rows per key before the
-    shuffle. Larger ``n``: rank inside salted slices of the key first; the overall first ``n`` are
-    always among the first ``n`` of their slice, so the second ranking is exact.
+    Two levels: first per (key, slice), then per key. A row among the first ``n`` of its key is
+    also among the first ``n`` of its slice, so the second ranking is exact. With ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) every map task is cut to ``n`` rows
+    per key before the first shuffle. A hot key is ranked by many tasks at the first level and
+    reaches the last one with at most ``SLICES * n`` rows.
     """
-    if n > group_limit_rows:
-        slice_id = F.pmod(F.xxhash64(spread), F.lit(SALTS))
-        inside = F.row_number().over(Window.partitionBy(*keys, "slice_id").orderBy(*order))
-        df = (
-            df.withColumn("slice_id", slice_id).withColumn("rank_in_slice", inside)
-            .filter(F.col("rank_in_slice") <= n).drop("slice_id", "rank_in_slice")
-        )
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("rank_in_key", rank).filter(F.col("rank_in_key") <= n)
+    first = F.row_number().over(Window.partitionBy(*keys, "slice_id").orderBy(*order))
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return (
+        in_slices(df).withColumn("rank_in_key", first).filter(F.col("rank_in_key") <= n).drop("slice_id")
+        .withColumn("rank_in_key", last).filter(F.col("rank_in_key") <= n)
+    )
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def train(df: DataFrame, text: str, lang: str, per_language: int = GRAMS_PER_LAN
     if not 0 < len(languages) <= MAX_LANGUAGES:
         raise ValueError(f"expected 1 to {MAX_LANGUAGES} language labels")
     languages.sort()
-    frequent = top_n_per_key(gram_counts, ["lang"], [F.desc("n"), F.asc("gram")], per_language, "gram")
+    frequent = top_n_per_key(gram_counts, ["lang"], [F.desc("n"), F.asc("gram")], per_language)
     vocabulary = frequent.select("gram").distinct()
     known = gram_counts.join(vocabulary, "gram", "left_semi")
     totals = known.agg(

@@ -252,7 +252,7 @@ def star_bands(df: DataFrame) -> DataFrame:
 def top_words_low_vs_high(df: DataFrame, k: int = 25) -> DataFrame:
     """The leading words of both bands side by side, from one pass over the text."""
     counts = tokens(star_bands(df), "band").groupBy("band", "token").agg(F.count("*").alias("n"))
-    leaders = top_n_per_key(counts, ["band"], [F.desc("n"), F.asc("token")], k, "token")
+    leaders = top_n_per_key(counts, ["band"], [F.desc("n"), F.asc("token")], k)
     return leaders.groupBy("token").agg(
         F.max(F.when(F.col("band") == "low", F.col("n"))).alias("low_star_1_2"),
         F.max(F.when(F.col("band") == "high", F.col("n"))).alias("high_star_5"),

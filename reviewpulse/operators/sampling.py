@@ -26,12 +26,14 @@ def spike_days(daily: DataFrame, top: int = 10) -> DataFrame:
 
 
 def with_time(df: DataFrame) -> DataFrame:
-    """Add ``ts`` and ``day``. ``at`` is parsed only when no row of the table has ``at_parsed``."""
-    if "at" not in df.columns:
-        return df.withColumn("ts", F.col("at_parsed")).withColumn("day", F.to_date("ts"))
-    known = df.agg(F.count("at_parsed").alias("known_times"))
-    ts = F.when(F.col("known_times") > 0, F.col("at_parsed")).otherwise(values.parse_time(F.col("at").cast("string")))
-    return with_scalar(df, known).withColumn("ts", ts).withColumn("day", F.to_date("ts")).drop("known_times")
+    """Add ``ts`` and ``day``. ``at`` is parsed only when no row of the table has ``at_parsed``.
+
+    The check stops at the first parsed time, so it costs one small task on a stored table.
+    """
+    ts = F.col("at_parsed")
+    if "at" in df.columns and df.filter(ts.isNotNull()).select("at_parsed").isEmpty():
+        ts = values.parse_time(F.col("at").cast("string"))
+    return df.withColumn("ts", ts).withColumn("day", F.to_date("ts"))
 
 
 def require_time(df: DataFrame, drop_missing: bool) -> DataFrame:
@@ -66,7 +68,7 @@ def per_day_cap(df: DataFrame, cap: int, seed: int = 42, row_id: str = "review_i
     """
     keyed = df.filter(F.col("app_id").isNotNull() & F.col("day").isNotNull())
     ticket = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
-    picked = top_n_per_key(keyed, ["app_id", "day"], [ticket, F.col(row_id)], cap, row_id)
+    picked = top_n_per_key(keyed, ["app_id", "day"], [ticket, F.col(row_id)], cap)
     return picked.drop("rank_in_key")
 
 

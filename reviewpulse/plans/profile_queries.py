@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..operators import clean, profile, warehouse
 from ..sources import sinks
-from ..sources.reviews import raw_reviews, table
+from ..sources.reviews import table
+from ..sources.shared import settle
 from .base_sql import listed, on_flagged, on_kept, on_kept_flagged, on_labelled
 from .clean_queries import _names_sql
 from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
@@ -64,7 +65,7 @@ def a4(spark, sf_dir):
   UNION ALL SELECT 'after_P0_all_languages', NULLIF((SELECT COUNT(*) FROM kept), 0)
   UNION ALL SELECT 'after_P0_english_only', (SELECT COUNT(*) FROM kept_en)"""))
 def a5(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = clean.narrow(labelled(spark, sf_dir))
     return profile.scale_chain(rows, clean.clean_all(rows), clean.clean_en(rows))
 
 
@@ -357,10 +358,10 @@ def union_app_frames(spark, sf_dir):
 
 def report_parts(spark, sf_dir):
     """Every section table with its place in the report and its row order."""
-    raw = raw_reviews(spark, sf_dir)
-    rows = clean.label(raw)
-    full = clean.flag_reviews(raw)
-    all_rows, en, en_flagged = clean.clean_all(rows), clean.clean_en(rows), clean.clean_en(full)
+    rows = labelled(spark, sf_dir)
+    # The clean table is stored once; every section then reads only the columns it needs.
+    all_rows = settle(clean.clean_all(flagged(spark, sf_dir)), "clean")
+    en = en_flagged = all_rows.filter("is_en")
     count_desc = F.desc("count")
     return [
         ("A", "A1", "a1_rating_distribution", profile.rating_distribution(en), ["score"]),

@@ -62,6 +62,11 @@ def kept_en(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_en(labelled(spark, sf_dir))
 
 
+def stored_en(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English clean rows without the texts, written once: the input of sampling, which reads it often."""
+    return clean.narrow(kept_en(spark, sf_dir))
+
+
 def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows without texts, with the batch key; written once and read by every history."""
     return clean.narrow(clean.label(batched(spark, sf_dir)))

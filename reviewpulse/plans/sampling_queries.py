@@ -8,7 +8,7 @@ from ..operators import ingest, profile, sampling
 from ..sources import readers
 from ..sources.reviews import raw_reviews, table
 from .base_sql import WS, on_kept, on_labelled, on_raw
-from .registry import kept_en, labelled, query
+from .registry import labelled, query, stored_en
 
 DAILY = "daily AS (SELECT CAST(at_parsed AS DATE) AS day, COUNT(*) AS reviews FROM kept_en WHERE at_parsed IS NOT NULL GROUP BY 1)"
 SPIKES = f", {DAILY}, spikes AS (SELECT day FROM daily ORDER BY reviews DESC, day LIMIT {{top}})"
@@ -28,7 +28,7 @@ def _rank_sql(daily: str) -> str:
 
 @query("w_spike_rank", on_kept(f", {DAILY} {_rank_sql('daily')}"))
 def w_spike_rank(spark, sf_dir):
-    return _spikes(kept_en(spark, sf_dir), 10)
+    return _spikes(stored_en(spark, sf_dir), 10)
 
 
 @query("w_spike_rank_orders", f"""WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS reviews FROM orders GROUP BY 1)
@@ -39,18 +39,18 @@ def w_spike_rank_orders(spark, sf_dir):
 
 @query("t_spike_days", on_kept(SPIKES.format(top=3) + "SELECT day FROM spikes"))
 def t_spike_days(spark, sf_dir):
-    return sampling.spike_dates(_spikes(kept_en(spark, sf_dir)))
+    return sampling.spike_dates(_spikes(stored_en(spark, sf_dir)))
 
 
 @query("f_drop_null_time", on_kept("SELECT review_id, at_parsed AS ts FROM kept_en WHERE at_parsed IS NOT NULL"))
 def f_drop_null_time(spark, sf_dir):
-    return sampling.require_time(sampling.with_time(kept_en(spark, sf_dir)), True).select("review_id", "ts")
+    return sampling.require_time(sampling.with_time(stored_en(spark, sf_dir)), True).select("review_id", "ts")
 
 
 @query("f_exclude_spike_days", on_kept(SPIKES.format(top=3) + """SELECT review_id, CAST(at_parsed AS DATE) AS day FROM kept_en
   WHERE at_parsed IS NOT NULL AND CAST(at_parsed AS DATE) NOT IN (SELECT day FROM spikes)"""))
 def f_exclude_spike_days(spark, sf_dir):
-    rows = kept_en(spark, sf_dir)
+    rows = stored_en(spark, sf_dir)
     return sampling.sample(rows, _spikes(rows)).select("review_id", "day")
 
 
@@ -58,7 +58,7 @@ def f_exclude_spike_days(spark, sf_dir):
   WHERE at_parsed IS NULL OR CAST(at_parsed AS DATE) NOT IN (SELECT day FROM spikes)"""))
 def j_spike_anti(spark, sf_dir):
     """The bare anti join: rows without a day stay."""
-    rows = kept_en(spark, sf_dir)
+    rows = stored_en(spark, sf_dir)
     return sampling.exclude_days(sampling.with_time(rows), _spikes(rows)).select("review_id", "day")
 
 
@@ -68,7 +68,7 @@ CAPPED = ", ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY app_id, CAST(at
 
 @query("w_per_day_cap", on_kept(CAPPED.format(where="") + "SELECT app_id, review_id, at_parsed AS ts FROM ranked WHERE place <= 2"))
 def w_per_day_cap(spark, sf_dir):
-    rows = sampling.sample(kept_en(spark, sf_dir), cap=2)
+    rows = sampling.sample(stored_en(spark, sf_dir), cap=2)
     return rows.select("app_id", "review_id", "ts").orderBy("ts", "review_id")
 
 
@@ -84,7 +84,7 @@ def w_per_day_cap_orders(spark, sf_dir):
 @query("f_time_split", on_kept(f"""SELECT CASE WHEN at_parsed < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'val' END AS side, review_id
   FROM kept_en WHERE at_parsed IS NOT NULL"""))
 def f_time_split(spark, sf_dir):
-    train, val = sampling.time_split(sampling.with_time(kept_en(spark, sf_dir)), CUTOFF)
+    train, val = sampling.time_split(sampling.with_time(stored_en(spark, sf_dir)), CUTOFF)
     return train.select(F.lit("train").alias("side"), "review_id").unionByName(
         val.select(F.lit("val").alias("side"), "review_id"))
 
@@ -113,7 +113,7 @@ def sink_json_manifest(spark, sf_dir):
     """Write the manifest as JSON and read it back."""
     from ..sources.shared import new_path
     from ..sources.sinks import write_json
-    rows = kept_en(spark, sf_dir)
+    rows = stored_en(spark, sf_dir)
     manifest = sampling.sampling_manifest(rows, _spikes(rows), 2, CUTOFF, generated_at="2024-02-01T00:00:00Z")
     path = new_path(spark, "manifest")
     write_json(manifest, path)

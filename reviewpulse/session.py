@@ -19,6 +19,8 @@ def build_session(app_name: str = "reviewpulse", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.files.maxPartitionBytes", "128m")
+        # Recording the Python call site of every column costs more than planning a small job.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -116,8 +116,14 @@ def test_collected_reply_flag_passes_through(spark, raw):
     assert clean.derive(rows).first().has_dev_reply is False
 
 
-def test_per_key_top_n_is_the_same_with_and_without_slices(spark):
-    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.col("id"))
-    one = keyed.top_n_per_key(rows, ["k"], [F.desc("v")], 7, "id")
-    two = keyed.top_n_per_key(rows, ["k"], [F.desc("v")], 7, "id", group_limit_rows=1)
-    assert sorted(one.collect()) == sorted(two.collect()) and one.count() == 21
+def test_top_n_per_key_is_exact_and_limited_before_the_shuffle(spark):
+    rows = spark.range(0, 6000, 1, 16).select(
+        F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id") % 9).alias("k"), F.xxhash64("id").alias("v"), "id")
+    top = keyed.top_n_per_key(rows, ["k"], [F.desc("v")], 7)
+    pdf = rows.toPandas().sort_values("v", ascending=False).groupby("k").head(7)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4 and plan.count("Exchange") == 2
+    assert sorted(r.id for r in top.collect()) == sorted(pdf["id"])
+    many = keyed.top_n_per_key(rows, ["k"], [F.desc("v")], 1500)
+    want = rows.toPandas().sort_values("v", ascending=False).groupby("k").head(1500)
+    assert sorted(r.id for r in many.collect()) == sorted(want["id"])
