@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import stats, text, values
 from ..sources.shared import settle
-from .keyed import attach_facts, first_per_key
+from .keyed import attach_facts, first_per_key, with_scalar
 
 
 def derive(raw: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def hour_facts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     if by:
         scored = hourly.join(threshold, by, "left")
     else:
-        scored = hourly.crossJoin(F.broadcast(threshold))
+        scored = with_scalar(hourly, threshold)
     busy = F.col("hourly_count") >= F.coalesce(F.col("busy_from"), F.lit(0.0))
     return scored.select(*by, "hour_bucket", "hourly_count", "rows_in_hour", busy.alias("is_time_anomaly"))
 

@@ -88,5 +88,7 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a global aggregate next to every row; an aggregate without keys has one row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Put the columns of a global aggregate next to every row, as a scalar subquery: no join, no shuffle."""
+    names = one_row.columns
+    single = one_row.select(F.struct(*names)).scalar()
+    return df.withColumn("scalar", single).select(*df.columns, *[F.col(f"scalar.{c}").alias(c) for c in names])

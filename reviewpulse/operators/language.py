@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..sources.shared import settle
-from .keyed import top_n_per_key
+from .keyed import top_n_per_key, with_scalar
 
 GRAMS_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200
@@ -86,7 +86,7 @@ def train(df: DataFrame, text: str, lang: str, per_language: int = GRAMS_PER_LAN
         share = (F.col(f"n{i}") + 1) / (F.col(f"t{i}") + F.col("size"))
         return F.round(F.ln(share) * SCALE).cast("bigint").alias(f"s{i}")
 
-    table = per_gram.crossJoin(F.broadcast(totals)).select("gram", *[score(i) for i in range(len(languages))])
+    table = with_scalar(per_gram, totals).select("gram", *[score(i) for i in range(len(languages))])
     return LanguageModel(languages, settle(table, "language-model"))
 
 

@@ -16,6 +16,7 @@ from ..functions import fixed_values as V
 from ..functions import stats
 from ..sources.schemas import ALERT_COLUMNS
 from .clean import quality_metrics
+from .keyed import with_scalar
 
 BATCH = ["dataset", "run_ts"]
 SCORE_SHARES = [f"score_{k}_pct" for k in range(1, 6)]
@@ -75,7 +76,7 @@ def quality_history_from_reports(report: DataFrame, raw_metrics: DataFrame, run_
         F.max(F.when(F.col("metric") == "total_rows", F.col("value"))).alias("total_rows"),
         F.max(F.when(F.col("metric") == "apps_count", F.col("value"))).alias("apps_count"),
     )
-    one = wide.crossJoin(F.broadcast(raw)).withColumn("raw_rows", F.coalesce("total_rows", "raw_rows")).drop("total_rows")
+    one = with_scalar(wide, raw).withColumn("raw_rows", F.coalesce("total_rows", "raw_rows")).drop("total_rows")
     return one.select(F.lit(dataset).alias("dataset"), F.lit(run_ts).alias("run_ts"), "*")
 
 

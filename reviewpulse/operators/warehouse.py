@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import values
 from ..sources.sinks import overwrite
+from .keyed import with_scalar
 
 REQUIRED = {
     "apps": ["app_id", "app_name"],
@@ -53,7 +54,7 @@ def subset_label(source: str) -> str:
 
 def meta_table(reviews: DataFrame, apps: DataFrame, source: str, loaded_at: str | None = None) -> DataFrame:
     """Five key/value rows about a load."""
-    one = reviews.agg(F.count("*").alias("source_rows")).crossJoin(apps.agg(F.count("*").alias("app_count")))
+    one = with_scalar(reviews.agg(F.count("*").alias("source_rows")), apps.agg(F.count("*").alias("app_count")))
     stamp = F.lit(loaded_at) if loaded_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     facts = [
         ("source_file", F.lit(source)), ("data_subset", F.lit(subset_label(source))),

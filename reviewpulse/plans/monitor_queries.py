@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators import clean, monitor
+from ..operators import clean, keyed, monitor
 from ..sources.schemas import QUALITY_HISTORY_COLUMNS
 from ..sources.shared import settle
 from .base_sql import on_batches
@@ -239,7 +239,7 @@ def j_reconcile(spark, sf_dir):
     pairs = F.array(
         F.struct(F.lit("clean_all_rows").alias("label"), F.col("a").alias("expected"), F.col("all_rows").alias("stored")),
         F.struct(F.lit("clean_en_rows").alias("label"), F.col("e").alias("expected"), F.col("en_rows").alias("stored")))
-    return sums.crossJoin(F.broadcast(stored)).select(F.inline(pairs))
+    return keyed.with_scalar(sums, stored).select(F.inline(pairs))
 
 
 MUTES = [

@@ -11,7 +11,7 @@ from ..sources.reviews import table
 from ..sources.shared import settle
 from .base_sql import listed, on_flagged, on_kept, on_kept_flagged, on_labelled
 from .clean_queries import _names_sql
-from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
+from .registry import ORACLES, flagged, flagged_narrow, kept, kept_en, labelled, query
 
 
 # ---- A ---------------------------------------------------------------------------------------
@@ -384,7 +384,42 @@ def report_parts(spark, sf_dir):
     ]
 
 
-@query("section_report_bundle")
+# Per table: place, row order and columns as in the Spark table; "#" marks doubles.
+_BUNDLE = [
+    ("A", "A1", "a1_rating_distribution", "score", "score# count"),
+    ("A", "A2", "a2_rating_counts_by_app", "app_id", "app_id app_name star_1 star_2 star_3 star_4 star_5"),
+    ("A", "A2", "a2_mean_score_by_app", "app_id", "app_id app_name mean_score# n_scores"),
+    ("A", "A3", "a3_length_summary", "stat", "stat value#"),
+    ("A", "A4", "a4_length_stats_by_rating", "score", "score# mean_len# median_len# n_rows"),
+    ("A", "A5", "a5_scale_chain", "rows DESC", "stage rows"),
+    ("A", "A6", "a6_a7_quality_flags", "metric", "metric value#"),
+    ("A", "A7", "a7_score_by_dev_reply", "has_dev_reply", "has_dev_reply mean_score# n_scores"),
+    ("B", "B1", "b1_per_app_stats", "rows DESC, app_id", "app_id app_name rows mean_score# mean_len#"),
+    ("B", "B2", "b2_score_skew_by_app", "app_id", "app_id app_name score_skew#"),
+    ("B", "B3", "b3_daily_volume", "day", "day reviews"),
+    ("B", "B4", "b4_inconsistent_rate", "metric", "metric value#"),
+    ("B", "B5", "b5_top_duplicate_texts", "duplicate_count DESC, text_hash", "text_hash duplicate_count content"),
+    ("C", "C1", "c1_language_counts", "count DESC, detected_lang_code", "language_name_en count detected_lang_code"),
+    ("D", "D1", "d1_top30_words", "count DESC, token", "token count"),
+    ("D", "D2", "d2_top_words_low_vs_high", "token", "token low_star_1_2 high_star_5"),
+    ("E", "E_summary", "e_summary_rates", "metric", "metric value# note"),
+]
+
+
+def _bundle_sql() -> str:
+    def cell(name):
+        plain = name.rstrip("#")
+        value = f"CAST({plain} AS DECIMAL(30, 6))" if name.endswith("#") else plain
+        return f"'{plain}': CAST({value} AS VARCHAR)"
+
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, '{sub}' AS subsection, '{name}' AS table_name, "
+        f"ROW_NUMBER() OVER (ORDER BY {order}) AS row_no, "
+        f"CAST(to_json({{{', '.join(cell(c) for c in columns.split())}}}) AS VARCHAR) AS payload FROM ({ORACLES[name]}) t"
+        for section, sub, name, order, columns in _BUNDLE)
+
+
+@query("section_report_bundle", _bundle_sql())
 def section_report_bundle(spark, sf_dir):
     return sinks.report_bundle([
         sinks.report_rows(df, section, sub, name, order) for section, sub, name, df, order in report_parts(spark, sf_dir)

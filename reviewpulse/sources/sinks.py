@@ -43,7 +43,7 @@ def report_rows(df: DataFrame, section: str, subsection: str, table: str, order:
         return col.cast("string").alias(field.name)
 
     numbered = df.withColumn("row_no", F.row_number().over(Window.partitionBy(F.lit(table)).orderBy(*order)))
-    payload = F.to_json(F.struct(*[as_text(f) for f in df.schema.fields]))
+    payload = F.to_json(F.struct(*[as_text(f) for f in df.schema.fields]), {"ignoreNullFields": "false"})
     return numbered.select(
         F.lit(section).alias("section"), F.lit(subsection).alias("subsection"),
         F.lit(table).alias("table_name"), F.col("row_no").cast("bigint").alias("row_no"),

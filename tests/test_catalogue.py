@@ -53,8 +53,7 @@ def _number(text):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"section_report_bundle"}
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
