@@ -158,7 +158,7 @@ def narrow(rows: DataFrame) -> DataFrame:
     Rates, histories and counts need the flags but not the texts. They read this table several
     times instead of scanning and parsing all text again.
     """
-    texts = ["content", "content_clean", "reply_content", "app_name", "at", "replied_at", "replied_at_parsed"]
+    texts = ["content", "content_clean", "reply_content", "at", "replied_at", "replied_at_parsed"]
     return settle(rows.drop(*texts), "labelled")
 
 

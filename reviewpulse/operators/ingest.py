@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import text, values
+from ..sources.shared import settle
 from .keyed import in_slices, with_scalar
 
 # An app plan is a hand-kept list; beyond this it is joined by shuffle like any other table.
@@ -67,20 +68,23 @@ RAW_METRICS = [
 def raw_collection_metrics(raw: DataFrame) -> DataFrame:
     """Fourteen (metric, value) rows over a raw table; an empty table gives one row ``total_rows = 0``.
 
-    Sums and the first length per id come from a map-side combined grouping on the id (all null
+    The derived columns are stored without the texts, so the texts are parsed once. Sums and the first length per id come from a map-side combined grouping on the id (all null
     ids form one group), hash and app counts from a second aggregate over two narrow columns.
     """
-    rows = enrich_raw(raw)
-    replied = values.parse_time(F.col("replied_at"))
+    rows = settle(
+        enrich_raw(raw).select(
+            "review_id", "app_id", "ingest_seq", "content_len", "is_short_text", "at_parsed", "has_dev_reply", "text_hash",
+            values.to_number(F.col("score")).alias("score"), values.parse_time(F.col("replied_at")).alias("replied_at"),
+        ), "raw-derived")
     per_id = rows.groupBy("review_id").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("content_len") == 0).alias("empty"),
         F.count_if("is_short_text").alias("short"),
         F.count_if(F.col("at_parsed").isNotNull()).alias("timed"),
-        F.count_if(values.to_number(F.col("score")).isNotNull()).alias("scored"),
+        F.count_if(F.col("score").isNotNull()).alias("scored"),
         F.count_if(F.col("review_id").isNull()).alias("no_id"),
         F.count_if("has_dev_reply").alias("replies"),
-        F.count_if(F.col("has_dev_reply") & replied.isNotNull()).alias("timed_replies"),
+        F.count_if(F.col("has_dev_reply") & F.col("replied_at").isNotNull()).alias("timed_replies"),
         F.min_by("content_len", "ingest_seq").alias("first_len"),
     )
     total = F.sum("n")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import stats
 from ..sources.schemas import ALERT_COLUMNS
+from ..sources.shared import settle
 from .clean import quality_metrics
 from .keyed import with_scalar
 
@@ -113,6 +114,7 @@ def distribution_history(clean: DataFrame, dataset: str = "reviews") -> DataFram
         F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("len_mean"),
         q.alias("q"), F.round(F.sum("n") / F.sum("n_all"), 6).alias("en_share"), F.sum("timed").alias("volume"),
     ).select(F.lit(dataset).alias("dataset"), "*")
+    rows = settle(rows, "batch-shapes")
     seven = last_seven(rows.select(*BATCH, "volume"))
     return rows.join(seven, BATCH).select(
         *BATCH, *SCORE_SHARES, "len_mean", F.col("q")[0].alias("len_p50"), F.col("q")[1].alias("len_p90"),

@@ -1,4 +1,8 @@
-"""Section tables A to E: ratings, lengths, apps, days, languages, words and risk flags."""
+"""Section tables A to E: ratings, lengths, apps, days, languages, words and risk flags.
+
+A (value, count) table that feeds several aggregates is written to the shared folder first, so the
+reviews are read once for all of them.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import stats, text, values
+from ..sources.shared import settle
 from .keyed import first_per_key, top_n_per_key, with_scalar
 
 APP = ["app_id", "app_name"]
@@ -47,7 +52,7 @@ def mean_score_by_app(df: DataFrame) -> DataFrame:
 
 def length_summary(df: DataFrame) -> DataFrame:
     """count, mean, std (n-1), min, median, p90, p95, max as (stat, value) rows."""
-    freq = stats.frequencies(df, "content_len")
+    freq = settle(stats.frequencies(df, "content_len"), "lengths")
     head = freq.agg(
         F.sum("n").alias("count"), stats.weighted_mean().alias("mean"),
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -166,17 +171,19 @@ def spam_sample(df: DataFrame, n: int = 20) -> DataFrame:
     return first_flag_rows(df, "is_spam_bot_suspect", columns, n)
 
 
+def top_text_hashes(df: DataFrame, k: int = 20) -> DataFrame:
+    counts = df.groupBy("text_hash").agg(F.count("*").alias("duplicate_count"))
+    return counts.orderBy(F.desc("duplicate_count"), "text_hash").limit(k)
+
+
 def top_duplicate_texts(df: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` most frequent texts with their first occurrence.
 
     Only hashes are shuffled for the count. The example text is then fetched for the ``k`` winners,
     which are few enough to broadcast by construction.
     """
-    top = (
-        df.groupBy("text_hash").agg(F.count("*").alias("duplicate_count"))
-        .orderBy(F.desc("duplicate_count"), "text_hash").limit(k)
-    )
-    rows = df.select("text_hash", "content", "ingest_seq").join(F.broadcast(top), "text_hash")
+    top = F.broadcast(top_text_hashes(df, k))
+    rows = df.select("text_hash", "content", "ingest_seq").join(top, "text_hash")
     return rows.groupBy("text_hash", "duplicate_count").agg(F.min_by("content", "ingest_seq").alias("content"))
 
 
@@ -249,9 +256,13 @@ def star_bands(df: DataFrame) -> DataFrame:
     return df.withColumn("band", star_band()).filter(F.col("band").isNotNull())
 
 
+def band_word_counts(df: DataFrame) -> DataFrame:
+    return tokens(star_bands(df), "band").groupBy("band", "token").agg(F.count("*").alias("n"))
+
+
 def top_words_low_vs_high(df: DataFrame, k: int = 25) -> DataFrame:
     """The leading words of both bands side by side, from one pass over the text."""
-    counts = tokens(star_bands(df), "band").groupBy("band", "token").agg(F.count("*").alias("n"))
+    counts = band_word_counts(df)
     leaders = top_n_per_key(counts, ["band"], [F.desc("n"), F.asc("token")], k)
     return leaders.groupBy("token").agg(
         F.max(F.when(F.col("band") == "low", F.col("n"))).alias("low_star_1_2"),
@@ -259,6 +270,13 @@ def top_words_low_vs_high(df: DataFrame, k: int = 25) -> DataFrame:
     ).orderBy("token")
 
 
+def align_word_lists(low: DataFrame, high: DataFrame) -> DataFrame:
+    """Two (token, count) lists next to each other, sorted by token."""
+    left = low.select("token", F.col("count").alias("low_star_1_2"))
+    right = high.select("token", F.col("count").alias("high_star_5"))
+    return left.join(right, "token", "full_outer").orderBy("token")
+
+
 # ---- E: risk flags ---------------------------------------------------------------------------
 
 def risk_rates(df: DataFrame) -> DataFrame:
@@ -296,12 +314,12 @@ def histogram(freq: DataFrame, bins: int) -> DataFrame:
 
 
 def length_histogram(df: DataFrame, bins: int = 60) -> DataFrame:
-    return histogram(stats.frequencies(df, "content_len"), bins)
+    return histogram(settle(stats.frequencies(df, "content_len"), "lengths"), bins)
 
 
 def hourly_count_histogram(df: DataFrame, bins: int = 40) -> DataFrame:
     """Histogram of rows by the volume of their hour, clipped at the 99th percentile."""
-    freq = stats.frequencies(df, "hourly_count")
+    freq = settle(stats.frequencies(df, "hourly_count"), "hour-counts")
     cap = freq.agg(stats.quantile(0.99).alias("cap"))
     clipped = with_scalar(freq, cap).select(F.least(F.col("value"), F.col("cap")).alias("value"), "n")
     return histogram(clipped, bins)
@@ -309,7 +327,7 @@ def hourly_count_histogram(df: DataFrame, bins: int = 40) -> DataFrame:
 
 def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     """Quartiles and whiskers at 1.5 interquartile ranges per group, outliers left out of the whiskers."""
-    freq = stats.frequencies(df.filter(F.col(by).isNotNull()), value, [by])
+    freq = settle(stats.frequencies(df.filter(F.col(by).isNotNull()), value, [by]), "box-values")
     boxes = freq.groupBy(by).agg(F.sum("n").alias("n"), stats.quantiles([0.25, 0.5, 0.75]).alias("q"))
     boxes = boxes.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = (F.col("q3") - F.col("q1")) * 1.5

@@ -23,7 +23,7 @@ def quality(spark, sf_dir, rows=None):
 
 def distribution(spark, sf_dir, rows=None):
     rows = batch_rows(spark, sf_dir) if rows is None else rows
-    return settle(monitor.distribution_history(clean.clean_all(rows, ["run_ts"])), "distribution-history")
+    return monitor.distribution_history(clean.clean_all(rows, ["run_ts"]))
 
 
 def histories(spark, sf_dir):
@@ -88,7 +88,7 @@ def m_distribution_history(spark, sf_dir):
 def w_last7_rows(spark, sf_dir):
     rows = clean.clean_all(clean.label(batched(spark, sf_dir)), ["run_ts"])
     volume = rows.groupBy("run_ts").agg(F.count_if(F.col("is_en") & F.col("at_parsed").isNotNull()).alias("volume"))
-    return monitor.last_seven(volume.select(F.lit("reviews").alias("dataset"), "run_ts", "volume"))
+    return monitor.last_seven(settle(volume.select(F.lit("reviews").alias("dataset"), "run_ts", "volume"), "volume"))
 
 
 @query("w_latest_row", on_batches(QUALITY, "SELECT run_ts, raw_rows, clean_all_rows FROM quality ORDER BY run_ts DESC LIMIT 1"))

@@ -11,7 +11,7 @@ from ..sources.reviews import table
 from ..sources.shared import settle
 from .base_sql import listed, on_flagged, on_kept, on_kept_flagged, on_labelled
 from .clean_queries import _names_sql
-from .registry import ORACLES, flagged, flagged_narrow, kept, kept_en, labelled, query
+from .registry import ORACLES, flagged, flagged_narrow, kept, kept_en, labelled, query, stored_en
 
 
 # ---- A ---------------------------------------------------------------------------------------
@@ -124,13 +124,14 @@ def t_inconsistent_sample(spark, sf_dir):
 @query("b5_top_duplicate_texts", on_kept("""SELECT text_hash, COUNT(*) AS duplicate_count, arg_min(content, ingest_seq) AS content
   FROM kept_en GROUP BY text_hash ORDER BY duplicate_count DESC, text_hash LIMIT 20"""))
 def b5(spark, sf_dir):
-    return profile.top_duplicate_texts(kept_en(spark, sf_dir))
+    stored = settle(kept_en(spark, sf_dir).select("text_hash", "content", "ingest_seq"), "clean-texts")
+    return profile.top_duplicate_texts(stored)
 
 
 @query("t_top_hashes", on_kept(
     "SELECT text_hash, COUNT(*) AS duplicate_count FROM kept GROUP BY text_hash ORDER BY duplicate_count DESC, text_hash LIMIT 20"))
 def t_top_hashes(spark, sf_dir):
-    return profile.top_duplicate_texts(kept(spark, sf_dir)).select("text_hash", "duplicate_count")
+    return profile.top_text_hashes(kept(spark, sf_dir))
 
 
 @query("j_example_left", on_kept("SELECT text_hash, arg_min(content, ingest_seq) AS content FROM kept_en GROUP BY text_hash"))
@@ -242,11 +243,13 @@ def d2(spark, sf_dir):
 
 @query("j_outer_wordlists", on_kept(_LOW_HIGH))
 def j_outer_wordlists(spark, sf_dir):
-    """Two separately built word lists aligned by a full outer join."""
-    rows = kept_en(spark, sf_dir)
-    low = profile.top_words(rows.filter(F.col("score").isin(1.0, 2.0)), 25).withColumnRenamed("count", "low_star_1_2")
-    high = profile.top_words(rows.filter(F.col("score") == 5.0), 25).withColumnRenamed("count", "high_star_5")
-    return low.join(high, "token", "full_outer").orderBy("token")
+    """Two separately ranked word lists aligned by a full outer join; the words are counted once."""
+    counts = settle(profile.band_word_counts(kept_en(spark, sf_dir)), "band-words").withColumnRenamed("n", "count")
+
+    def leaders(band):
+        return counts.filter(F.col("band") == band).orderBy(F.desc("count"), "token").limit(25)
+
+    return profile.align_word_lists(leaders("low"), leaders("high"))
 
 
 # ---- E ---------------------------------------------------------------------------------------
@@ -430,7 +433,8 @@ def section_report_bundle(spark, sf_dir):
 
 def _check(name: str, sql: str):
     def run(spark, sf_dir):
-        warehouse.register_views(warehouse.tables(kept(spark, sf_dir), "clean_all_languages", "2024-02-01T00:00:00Z"))
+        stored = clean.narrow(kept(spark, sf_dir))
+        warehouse.register_views(warehouse.tables(stored, "clean_all_languages", "2024-02-01T00:00:00Z"))
         return warehouse.check(spark, name)
     query(name, on_kept(sql))(run)
 
@@ -457,7 +461,7 @@ def t_top_apps(spark, sf_dir):
 
 @query("warehouse_meta", on_kept(_META.format(source="tables/clean_en_only", subset="clean_en_only", rows="kept_en")))
 def warehouse_meta(spark, sf_dir):
-    built = warehouse.tables(kept_en(spark, sf_dir), "tables/clean_en_only", "2024-02-01T00:00:00Z")
+    built = warehouse.tables(stored_en(spark, sf_dir), "tables/clean_en_only", "2024-02-01T00:00:00Z")
     return built["ingestion_meta"]
 
 
@@ -473,7 +477,7 @@ _NOT_NULL = "".join(
     SELECT app_id FROM labelled WHERE is_en)){_NOT_NULL}"""))
 def warehouse_constraints(spark, sf_dir):
     """Checked on rows that still hold repeats, with the apps of the English rows only."""
-    rows = flagged_narrow(spark, sf_dir).withColumn("app_name", F.concat(F.lit("App "), "app_id"))
+    rows = flagged_narrow(spark, sf_dir)
     built = warehouse.tables(rows, "raw", "2024-02-01T00:00:00Z")
     built["apps"] = warehouse.apps_table(rows.filter("is_en"))
     return warehouse.constraint_violations(built)
@@ -483,5 +487,5 @@ def warehouse_constraints(spark, sf_dir):
     SELECT app_id FROM kept WHERE has_dev_reply AND is_inconsistent_rating) GROUP BY app_id"""))
 def j_fk_check(spark, sf_dir):
     """Orphans against the apps that ever answered an inconsistent rating."""
-    rows = kept(spark, sf_dir)
+    rows = clean.narrow(kept(spark, sf_dir))
     return warehouse.orphan_reviews(rows, warehouse.apps_table(rows.filter("has_dev_reply AND is_inconsistent_rating")))
