@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from reviewpulse import plans
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = plans.QUERIES, plans.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +55,8 @@ def _number(text):
 
 def test_every_sql_belongs_to_a_query():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
