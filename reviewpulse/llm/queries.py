@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import mixing
 from . import token_counts as tc
 from .common import table
 from .registry import query
@@ -13,3 +15,10 @@ from .registry import query
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_mix_sources", mixing.SQL)
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighted = mixing.label_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(weighted, F.col("quality_weight"))
+    return mixed.select("doc_id", "mix.size", "mix.source_size", F.round("mix.target", 6).alias("target"), "mix.taken")
