@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import mixing
 from . import token_counts as tc
+from . import warc
 from .common import table
 from .registry import query
 
@@ -22,3 +23,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = mixing.label_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     mixed = mixing.mix(weighted, F.col("quality_weight"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", F.round("mix.target", 6).alias("target"), "mix.taken")
+
+
+@query("op3_warc", warc.SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
