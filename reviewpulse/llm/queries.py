@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mixing
+from . import packing
 from . import token_counts as tc
 from . import warc
 from .common import table
@@ -28,3 +29,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_warc", warc.SQL)
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op4_harmonic_packing")
+def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
