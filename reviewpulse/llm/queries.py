@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import mixing
 from . import packing
+from . import repair
 from . import token_counts as tc
 from . import warc
 from .common import table
@@ -34,3 +35,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_harmonic_packing")
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_repair_ids")
+def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
