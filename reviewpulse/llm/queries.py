@@ -10,6 +10,7 @@ from . import mixing
 from . import packing
 from . import repair
 from . import token_counts as tc
+from . import topk
 from . import warc
 from .common import table
 from .registry import query
@@ -40,3 +41,8 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_repair_ids")
 def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_exact_top_k", topk.SQL)
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
