@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import itq
 from . import mixing
 from . import packing
 from . import repair
@@ -46,3 +47,8 @@ def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_exact_top_k", topk.SQL)
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op5_itq_near_duplicates", itq.SQL)
+def op5_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.links(table(spark, sf_dir, "embeddings"))
