@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import itq
 from . import mixing
 from . import packing
+from . import parity
 from . import repair
 from . import token_counts as tc
 from . import topk
@@ -52,3 +53,8 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_itq_near_duplicates", itq.SQL)
 def op5_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.links(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_parity_jaccard_join", parity.SQL)
+def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.similar_groups(table(spark, sf_dir, "documents"))
