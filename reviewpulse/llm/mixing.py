@@ -62,11 +62,12 @@ def _first_over(sums: DataFrame, keys: list[str], part: str) -> DataFrame:
     ).select(*keys, f"cut.{part}", "cut.prior")
 
 
-def mix(documents: DataFrame, weight: Column, seed: int = 9, id_column: str = "doc_id", text_column: str = "text",
+def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_column: str = "doc_id",
         source_column: str = "source") -> DataFrame:
     """Decide how often each document is taken, so that each source comes near its target.
 
-    ``weight``: positive quality weight of a row (null counts as 1). Returns the input columns and a
+    ``weight``: positive quality weight of a row (null counts as 1); ``size``: its words. Both should be
+    made before any join, so that texts are not shuffled for them. Returns the input columns and a
     struct ``mix`` of ``size, source_size, target, copies, taken`` (``taken = copies * size``).
 
     Every document of a source is taken ``floor(target / source_size)`` times (complete epochs). The
@@ -83,7 +84,7 @@ def mix(documents: DataFrame, weight: Column, seed: int = 9, id_column: str = "d
     fields = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
         F.col(f"`{source_column}`").alias("source"), F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).alias("id"),
-        word_count(F.col(f"`{text_column}`")).alias("size"), key.alias("key"),
+        size.alias("size"), key.alias("key"),
     ).withColumn("part", F.least(F.floor(share), F.lit(PARTS - 1))).withColumn(
         "subpart", F.least(F.floor((share - F.col("part")) * PARTS), F.lit(PARTS - 1)))
     sized = settle(fields.drop("row"), "sized")

@@ -25,8 +25,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_mix_sources", mixing.SQL)
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = mixing.label_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(weighted, F.col("quality_weight"))
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    weighted = mixing.label_weight(sized, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(weighted, F.col("quality_weight"), F.col("words"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", F.round("mix.target", 6).alias("target"), "mix.taken")
 
 
