@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bloom_lm
 from . import itq
 from . import mixing
 from . import packing
@@ -59,3 +60,8 @@ def op5_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_parity_jaccard_join", parity.SQL)
 def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op1_bloom_lm")
+def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
