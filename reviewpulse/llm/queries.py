@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bloom_lm
+from . import fusion
 from . import itq
 from . import mixing
 from . import packing
@@ -65,3 +66,22 @@ def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_bloom_lm")
 def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: their label is the declaration, their source is the host."""
+    documents = table(spark, sf_dir, "documents")
+    model = fusion.train(documents, "doc_id", "text", "lang")
+    found = fusion.identify(documents, model, "doc_id", "text", F.col("lang"), F.col("source"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("page_language_id")
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: the text model comes from labelled documents, the other evidence from markup and address."""
+    pages = table(spark, sf_dir, "pages")
+    model = fusion.train(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    texts = pages.withColumn("text", fusion.page_text(F.col("html")))
+    found = fusion.identify(texts, model, "page_id", "text", fusion.page_language(F.col("html")), fusion.page_host(F.col("url")))
+    return found.withColumnRenamed("id", "page_id")
