@@ -113,14 +113,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     task's work; a cell returns at most k rows per query.
     """
     rows = settle(vectors.select(F.col(f"`{id_column}`").alias("vec_id"), F.col(f"`{vector_column}`").alias("vector"),
-                                 is_query.alias("asks")).filter(usable(F.col("vector")) & F.col("vec_id").isNotNull()), "vectors")
-    queries = rows.filter("asks").groupBy("vec_id", F.size("vector").alias("dim")).agg(F.min("vector").alias("vector"))
+                                 is_query.alias("asks")).filter(usable(F.col("vector")) & F.col("vec_id").isNotNull())
+                  # By row, not by id, so that repeated ids spread; stored, so that a row keeps its block.
+                  .withColumn("deal", F.xxhash64(F.monotonically_increasing_id())), "vectors")
+    queries = rows.filter("asks").groupBy("vec_id", F.size("vector").alias("dim")).agg(
+        F.min("vector").alias("vector")).withColumn("deal", F.xxhash64("vec_id"))
     n_rows, n_queries = rows.count(), queries.count()
     row_blocks, query_blocks = max(1, -(-n_rows // CANDIDATE_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
 
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        # By row, not by id: repeated ids spread too.
-        block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias(own)
+        block = F.pmod("deal", F.lit(blocks)).alias(own)
         return df.select("vec_id", "vector", "dim", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     left = dealt(queries, "q", query_blocks, "c", row_blocks).select("vec_id", "vector", "dim", F.col("q").cast("long"), F.col("c").cast("long"))
