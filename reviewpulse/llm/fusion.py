@@ -22,9 +22,11 @@ SLOTS = 1 << 15
 UNIFORM = 0.1
 # A text counts as this many independent grams at most, as grams depend on each other.
 MOST_EVIDENCE = 64
-# Strength of a parent's prior, in rows, and weight of the undetermined class before any evidence.
+# Strength of a parent's prior, in rows.
 PARENT_ROWS = 10.0
-UNDETERMINED, UNDETERMINED_WEIGHT = "und", 0.05
+# Weight of the undetermined class before any evidence, and what a gram of it counts against a uniform one: a text
+# falls to it when about four fifths of its grams are such as no language has.
+UNDETERMINED, UNDETERMINED_WEIGHT, UNDETERMINED_GRAM = "und", 0.05, 0.3
 LEAST_CONFIDENCE = 0.5
 
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -46,7 +48,7 @@ class TextModel:
     def __init__(self, counts: dict[str, np.ndarray]) -> None:
         self.classes = [*sorted(counts), UNDETERMINED]
         rows = [(1 - UNIFORM) * counts[c] / max(1, counts[c].sum()) + UNIFORM / SLOTS for c in self.classes[:-1]]
-        self.logs = np.log(np.stack([*rows, np.full(SLOTS, 1 / SLOTS)], 1))
+        self.logs = np.log(np.stack([*rows, np.full(SLOTS, UNDETERMINED_GRAM / SLOTS)], 1))
 
     def evidence(self, text: str | None) -> tuple[int, np.ndarray]:
         """Number of grams and log likelihood per class, of at most ``MOST_EVIDENCE`` grams' weight."""

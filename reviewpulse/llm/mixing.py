@@ -68,7 +68,8 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
 
     ``weight``: positive quality weight of a row (null counts as 1); ``size``: its words. Both should be
     made before any join, so that texts are not shuffled for them. Returns the input columns and a
-    struct ``mix`` of ``size, source_size, target, copies, taken`` (``taken = copies * size``).
+    struct ``mix`` of ``size, source_size, target, copies, taken`` (``taken = copies * size``), which
+    replaces an input column of that name.
 
     Every document of a source is taken ``floor(target / source_size)`` times (complete epochs). The
     rest of the budget goes to the documents first in key order, up to the one in whose middle the
@@ -82,7 +83,7 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
     key = sampling_key(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")), F.coalesce(weight, F.lit(1.0)), seed)
     share = (1 - F.exp(-F.col("key"))) * PARTS
     fields = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "mix"]).alias("row"),
         F.col(f"`{source_column}`").alias("source"), F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).alias("id"),
         size.alias("size"), key.alias("key"),
     ).withColumn("part", F.least(F.floor(share), F.lit(PARTS - 1))).withColumn(
