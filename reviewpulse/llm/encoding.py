@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -25,6 +26,12 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in stays} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, keeps_space: bool) -> Encoder:
+    """The encoder of a worker process: what it has learned serves all tasks that run there."""
+    return Encoder(path, keeps_space)
+
+
 class Encoder:
     """Encodes texts piece by piece with a memory of pieces; the ids are those of the whole text.
 
@@ -65,7 +72,9 @@ class Encoder:
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
             if len(self.held) > HELD_PIECES:
-                self.held, self.parts = {}, {}
+                self.held = {}
+            if len(self.parts) > HELD_PIECES:
+                self.parts = {}
             self.learn({units[i] for i in missing})
             for i in missing:
                 found[i] = self.held[units[i]]

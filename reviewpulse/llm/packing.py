@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import settle
 from .common import text_chunks, with_unique_names
-from .encoding import Encoder
+from .encoding import shared_encoder
 
 CAPACITY = 2048
 # A piece may fall this many tokens short of its class before it is cut instead.
@@ -54,7 +54,7 @@ def document_pieces(documents: DataFrame, tokenizer: str, end_id: int = 1, capac
     doc_kind = dict(docs.dtypes)["doc_id"]
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, task = Encoder(tokenizer, keeps_space=False), defaultdict(int), TaskContext.get().partitionId()
+        encoder, seen, task = shared_encoder(tokenizer, keeps_space=False), defaultdict(int), TaskContext.get().partitionId()
         for chunk in text_chunks(batches):
             at, rows, pieces = [], [], []
             for i, found in enumerate(encoder.encode(chunk.column("text").to_pylist())):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import new_path, settle
 from .common import text_chunks, with_unique_names
-from .encoding import Encoder
+from .encoding import shared_encoder
 
 MAGIC = b"RPIDS1\n\x00"
 # Ids after which a task closes a shard; bounds the memory of grammar building and of reading.
@@ -187,7 +187,7 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: str, end_id: int
 
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root)
-        encoder, task, part = Encoder(tokenizer, keeps_space=True), TaskContext.get().partitionId(), 0
+        encoder, task, part = shared_encoder(tokenizer, keeps_space=True), TaskContext.get().partitionId(), 0
         names: list = []
         held: list = []
 
