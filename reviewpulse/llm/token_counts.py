@@ -30,10 +30,13 @@ def piece_counts(terms: DataFrame, model: str) -> DataFrame:
 
         encoder = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:
-            # The encoder adds the first space by itself.
-            ids = encoder.encode([t[1:] for t in batch.column("term").to_pylist()], num_threads=1)
+            # The encoder adds the first space by itself, but nothing to an empty text: a lone space, which only
+            # ends texts, has one piece.
+            terms = batch.column("term").to_pylist()
+            ids = encoder.encode([t[1:] for t in terms], num_threads=1)
+            sizes = [len(i) if len(t) > 1 else 1 for i, t in zip(ids, terms)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("term"), batch.column("n"), pa.array(map(len, ids), pa.int64())], names=["term", "n", "pieces"])
+                [batch.column("term"), batch.column("n"), pa.array(sizes, pa.int64())], names=["term", "n", "pieces"])
 
     return terms.select("term", "n").mapInArrow(count, "term string, n long, pieces long")
 
