@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,6 @@ class WordHashes(dict):
     """64-bit hashes of words, each computed once per worker and memory span."""
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         if len(self) > HELD_WORDS:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
@@ -164,13 +163,17 @@ def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
 
     def combine(keys: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
         first, again, centre, rows = group(keys, members)
-        out_keys, out_members = keys[first], members[first]
-        yield from emit([(*r, None, None, None) for r in sliced(out_keys, slices, out_members)])
+        yield from emit([(s, rest(k), m, None, None, None) for s, k, m in sliced(keys[first], slices, members[first])])
         if len(again):
             # The smallest of a group comes with the flag; it is counted where its segment arrives.
             m, c, n = pairs(rows[again], centre[again])
             yield from emit([(None, None, None, m.view(np.int64), c.view(np.int64), n)])
 
+    def rest(blob: bytes) -> bytes:
+        """32 bits of each key below those of its slice: a chance match only adds a candidate."""
+        keys = np.frombuffer(blob, np.uint64)
+        return ((keys << np.uint64(slices.bit_length() - 1)) >> np.uint64(32)).astype(np.uint32).tobytes()
+
     def group(keys: np.ndarray, members: np.ndarray) -> tuple:
         """Sorts in place; positions of the first row of each key (flagged if shared), and of the others."""
         order = np.argsort(keys)
@@ -222,7 +225,7 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from meet_slice(np.concatenate(keys), np.concatenate(members))
                 keys, members = [], []
             current = s
-            keys.append(np.frombuffer(k, np.uint64))
+            keys.append(np.frombuffer(k, np.uint32))
             members.append(np.frombuffer(m, np.uint64))
     if keys:
         yield from meet_slice(np.concatenate(keys), np.concatenate(members))
