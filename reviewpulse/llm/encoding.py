@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 
 # White space of Unicode: no token of the two pre-tokenizers has white space behind another character.
 SPACE = "\t-\r \x85\xa0  -     　"
 SPACED = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-# A blank behind another white space (or what Python takes for it): cutting there would not be safe.
-RUN = re.compile(r"\s ")
-# Letters with one lower case in every library and no composition, then plain punctuation.
-PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# What keeps a text from being cut at its blanks and line breaks: runs of them, other white space (also what only
+# Python takes for it), the mark below.
+RUNS = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x00")
+WIDE = re.compile("[^\\S \n]")
+# Letters with one lower case in every library and no composition; punctuation without apostrophes and special tokens.
+LETTER, MARK = "[A-Za-zÀ-ÖØ-öø-ÿ]", "[!-&(-/:;=>?@[-`{}~]"
+PLAIN = re.compile(f"(?: ?{LETTER}+{MARK}*|\n)(?:{LETTER}+{MARK}*)*")
+PARTS = re.compile(f" ?{LETTER}+|{MARK}+|\n")
+# Marks a piece that is not behind a blank; texts with this character are cut in another way.
+BARE = "\x00"
 # Pieces held per worker; beyond it the memory starts anew.
 HELD_PIECES = 400_000
 
@@ -46,19 +54,31 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = Tokenizer(self.whole.model)
         self.keeps_space = keeps_space
-        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items() if b})
         self.held: dict[str | bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def units(self, text: str) -> list:
+        """Pieces of a text: of a byte-level model without the blank before them, unless marked as bare."""
         if not self.keeps_space:
             return text.encode().split()
-        if RUN.search(text):
-            return SPACED.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + u for u in rest]] if first else [" " + u for u in rest]
+        if any(run in text for run in RUNS) or (not text.isascii() and WIDE.search(text)):
+            return [BARE + u for u in SPACED.findall(text)]
+        out: list[str] = []
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                out.append(BARE + "\n")
+            first, *rest = line.split(" ")
+            if first:
+                out.append(BARE + first)
+            out += rest
+        return out
+
+    def text_of(self, unit: str | bytes) -> str:
+        if not self.keeps_space:
+            return unit.decode()
+        return unit[1:] if unit[:1] == BARE else " " + unit
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (uint32) of each text; null has none."""
@@ -75,30 +95,39 @@ class Encoder:
                 self.held = {}
             if len(self.parts) > HELD_PIECES:
                 self.parts = {}
-            self.learn({units[i] for i in missing})
+            # Many small lists are made and dropped at once, none of them in cycles.
+            gc.disable()
+            try:
+                known = self.learn({units[i] for i in missing})
+            finally:
+                gc.enable()
             for i in missing:
-                found[i] = self.held[units[i]]
+                found[i] = known[units[i]]
         return [np.frombuffer(b"".join(found[a:b]), "<u4") for a, b in zip([0, *ends], ends)]
 
-    def learn(self, units: set) -> None:
+    def learn(self, units: set) -> dict:
+        """Ids of new units; kept for later texts."""
         plain, other = {}, []
         for unit in units:
-            text = unit if self.keeps_space else unit.decode()
-            match = PLAIN.fullmatch(text)
-            if match:
-                plain[unit] = match.groups() if self.keeps_space else (match[1].lower(), match[2])
+            text = self.text_of(unit)
+            if PLAIN.fullmatch(text):
+                plain[unit] = PARTS.findall(text if self.keeps_space else text.lower())
             else:
                 other.append((unit, text))
-        new = list({p for pair in plain.values() for p in pair} - self.parts.keys() - {""})
-        for part, ids in zip(new, self.ids(self.model, [p.encode().decode("latin-1").translate(self.letters) for p in new])):
-            self.parts[part] = ids
-        self.parts[""] = b""
-        for unit, (word, end) in plain.items():
-            self.held[unit] = self.parts[word] + self.parts[end]
-        for (unit, _), ids in zip(other, self.ids(self.whole, [text for _, text in other])):
-            self.held[unit] = ids
+        new = list({p for parts in plain.values() for p in parts} - self.parts.keys())
+        # The model alone sees bytes as their stand-ins, which make up all of a part but keep the joining zero byte.
+        seen = BARE.join(new).encode().decode("latin-1").translate(self.letters).split(BARE) if new else []
+        tokenize = self.whole.model.tokenize
+        self.parts |= zip(new, self.packed([[t.id for t in tokenize(p)] for p in seen]))
+        out = {unit: b"".join(map(self.parts.__getitem__, parts)) for unit, parts in plain.items()}
+        whole = self.whole.encode_batch_fast([text for _, text in other], add_special_tokens=False)
+        out |= zip((unit for unit, _ in other), self.packed([e.ids for e in whole]))
+        self.held |= out
+        return out
 
     @staticmethod
-    def ids(encoder, texts: list[str]) -> list[bytes]:
-        # The batch call without offsets gives the same ids for half the time.
-        return [np.array(e.ids, "<u4").tobytes() for e in encoder.encode_batch_fast(texts, add_special_tokens=False)]
+    def packed(lists: list[list[int]]) -> list[bytes]:
+        """Little-endian 32-bit ids of each list."""
+        ends = np.cumsum([0, *map(len, lists)]).tolist()
+        data = np.fromiter(chain.from_iterable(lists), "<u4", ends[-1]).tobytes()
+        return [data[4 * a:4 * b] for a, b in pairwise(ends)]
