@@ -10,28 +10,26 @@ from ..functions import text, values
 from ..sources.shared import settle
 from .keyed import in_slices, with_scalar
 
-# An app plan is a hand-kept list; beyond this it is joined by shuffle like any other table.
-PLAN_BROADCAST_ROWS = 100_000
-
 
 def newest_n_per_app(reviews: DataFrame, plan: DataFrame) -> DataFrame:
     """Per app of the plan the newest ``target_reviews`` rows, newest first, ties by review id.
 
-    Rows without a time rank last. Ranked in slices first, like ``top_n_per_key``: the largest
-    target of the plan is a literal limit, which cuts each map task before the shuffle.
+    Rows without a time rank last. Only ids and times are ranked, in slices first like
+    ``top_n_per_key``, so that an app with most rows is ranked by many tasks; texts and all other
+    columns are joined to the winners by ``ingest_seq``, which is unique.
     """
-    plan = plan.select("app_id", "target_reviews")
-    size, largest = plan.agg(F.count("*"), F.coalesce(F.max("target_reviews"), F.lit(0))).first()
-    side = F.broadcast(plan) if size <= PLAN_BROADCAST_ROWS else plan
+    narrow = reviews.select("app_id", "at_parsed", "review_id", "ingest_seq")
     order = [F.desc_nulls_last("at_parsed"), F.asc("review_id"), F.asc("ingest_seq")]
     in_slice = F.row_number().over(Window.partitionBy("app_id", "slice_id").orderBy(*order))
     in_app = F.row_number().over(Window.partitionBy("app_id").orderBy(*order))
-    return (
-        in_slices(reviews.join(side, "app_id"))
-        .withColumn("newest_rank", in_slice).filter(F.col("newest_rank") <= largest).drop("slice_id")
-        .withColumn("newest_rank", in_app).filter(F.col("newest_rank") <= F.col("target_reviews"))
-        .drop("target_reviews")
+    winners = (
+        in_slices(narrow.join(plan.select("app_id", "target_reviews"), "app_id"))
+        .withColumn("newest_rank", in_slice).filter(F.col("newest_rank") <= F.col("target_reviews")).drop("slice_id")
+        .withColumn("newest_rank", in_app).filter(F.col("newest_rank") <= F.col("target_reviews")).drop("target_reviews")
     )
+    if set(reviews.columns) == set(narrow.columns):
+        return winners
+    return reviews.join(winners.select("ingest_seq", "newest_rank"), "ingest_seq")
 
 
 def per_app_counts(reviews: DataFrame, plan: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import settle
 
-# A settled fact row has fixed-width keys (hash, time, day), below 100 bytes in a hash relation.
+# Up to so many facts (fixed-width keys of a settled table) the join is left to Spark, which knows their size.
 BROADCAST_ROWS = 1_000_000
 # A key is hot above 1/1000 of all rows, so there are fewer than a thousand hot keys.
 HOT_SHARE = 1000
@@ -25,7 +25,7 @@ def attach_facts(df: DataFrame, facts: DataFrame, keys: list[str], weight: str,
     ``facts`` is an aggregate of ``df`` and is written to the shared folder first, so its real
     size is known before the join is chosen:
 
-    * up to ``broadcast_rows`` facts: broadcast, ``df`` is not shuffled at all;
+    * up to ``broadcast_rows`` facts: Spark chooses by their measured size, usually a broadcast;
     * more: the hot keys (``weight`` above 1/1000 of the total, hence fewer than 1000 of them)
       are joined by broadcast, and only the others by shuffle. Rows already served get a slot
       from ``spread`` instead of their key, which matches nothing, so no task gets a hot group.
@@ -35,7 +35,7 @@ def attach_facts(df: DataFrame, facts: DataFrame, keys: list[str], weight: str,
     right = facts.select(*[F.col(k).alias(f"r_{k}") for k in keys], *values)
     on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys])
     if facts.count() <= broadcast_rows:
-        return df.join(F.broadcast(right), on, "left").drop(*[f"r_{k}" for k in keys])
+        return df.join(right, on, "left").drop(*[f"r_{k}" for k in keys])
 
     total = facts.agg(F.sum(weight)).first()[0]
     is_hot = F.col(weight) > total / HOT_SHARE
@@ -70,7 +70,7 @@ def in_slices(df: DataFrame) -> DataFrame:
     return df.withColumn("slice_id", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
 
 
-def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, row_id: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of each key and their rank as ``rank_in_key``.
 
     Two levels: first per (key, slice), then per key. A row among the first ``n`` of its key is
@@ -78,13 +78,21 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -
     ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) every map task is cut to ``n`` rows
     per key before the first shuffle. A hot key is ranked by many tasks at the first level and
     reaches the last one with at most ``SLICES * n`` rows.
+
+    With a unique ``row_id``, and an order over keys and row id alone, only these columns are ranked,
+    whatever ``n`` is; the other columns are joined to the winners.
     """
     first = F.row_number().over(Window.partitionBy(*keys, "slice_id").orderBy(*order))
     last = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (
-        in_slices(df).withColumn("rank_in_key", first).filter(F.col("rank_in_key") <= n).drop("slice_id")
+    ranked = in_slices(df.select(*keys, row_id) if row_id else df)
+    winners = (
+        ranked.withColumn("rank_in_key", first).filter(F.col("rank_in_key") <= n).drop("slice_id")
         .withColumn("rank_in_key", last).filter(F.col("rank_in_key") <= n)
     )
+    if not row_id:
+        return winners
+    chosen = winners.select(F.col(row_id).alias("chosen_id"), "rank_in_key")
+    return df.join(chosen, F.col(row_id) == F.col("chosen_id")).drop("chosen_id")
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -13,21 +13,18 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..sources.shared import settle
-from .keyed import top_n_per_key, with_scalar
 
-GRAMS_PER_LANGUAGE = 1000
-MAX_LANGUAGES = 200
 SCALE = 10_000
-# Runs of letters; very long runs are cut into pieces so that slicing a piece stays cheap.
-WORD_PATTERN = r"\p{L}{1,64}"
+# Runs of letters, whole, however long.
+WORD_PATTERN = r"\p{L}+"
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Score table (gram, s0..sk) and the language of each score column.
+    """Score table (gram, array of one score per language) and the languages in that order.
 
-    At most GRAMS_PER_LANGUAGE grams of up to three characters per language, so the table is
-    bounded by design and can be broadcast whatever the size of the training text.
+    Grams have up to three characters, so the table grows with alphabets, not with text. It is
+    stored, and Spark chooses the join by its size.
     """
 
     languages: list[str]
@@ -50,8 +47,8 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
-def train(df: DataFrame, text: str, lang: str, per_language: int = GRAMS_PER_LANGUAGE) -> LanguageModel:
-    """Learn gram frequencies per language from labelled text.
+def train(df: DataFrame, text: str, lang: str) -> LanguageModel:
+    """Learn the frequencies of all grams per language from labelled text.
 
     Words are counted first, so grams are cut once per distinct word and weighted by its count.
     """
@@ -65,50 +62,38 @@ def train(df: DataFrame, text: str, lang: str, per_language: int = GRAMS_PER_LAN
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     gram_counts = settle(gram_counts, "gram-counts")
-    languages = [r[0] for r in gram_counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if not 0 < len(languages) <= MAX_LANGUAGES:
-        raise ValueError(f"expected 1 to {MAX_LANGUAGES} language labels")
-    languages.sort()
-    frequent = top_n_per_key(gram_counts, ["lang"], [F.desc("n"), F.asc("gram")], per_language)
-    vocabulary = frequent.select("gram").distinct()
-    known = gram_counts.join(vocabulary, "gram", "left_semi")
-    totals = known.agg(
-        F.count_distinct("gram").alias("size"),
-        *[F.coalesce(F.sum(F.when(F.col("lang") == c, F.col("n"))), F.lit(0)).alias(f"t{i}")
-          for i, c in enumerate(languages)],
-    )
-    per_gram = known.groupBy("gram").agg(
-        *[F.coalesce(F.sum(F.when(F.col("lang") == c, F.col("n"))), F.lit(0)).alias(f"n{i}")
-          for i, c in enumerate(languages)]
-    )
+    sums = gram_counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
+    if not sums:
+        raise ValueError("no labelled text")
+    size = gram_counts.select("gram").distinct().count()
 
-    def score(i):
-        share = (F.col(f"n{i}") + 1) / (F.col(f"t{i}") + F.col("size"))
-        return F.round(F.ln(share) * SCALE).cast("bigint").alias(f"s{i}")
+    def score(row):
+        n = F.coalesce(F.sum(F.when(F.col("lang") == row["lang"], F.col("n"))), F.lit(0))
+        return F.round(F.ln((n + 1) / F.lit(float(row["total"] + size))) * SCALE).cast("bigint")
 
-    table = with_scalar(per_gram, totals).select("gram", *[score(i) for i in range(len(languages))])
-    return LanguageModel(languages, settle(table, "language-model"))
+    table = gram_counts.groupBy("gram").agg(F.array(*[score(row) for row in sums]).alias("scores"))
+    return LanguageModel([row["lang"] for row in sums], settle(table, "language-model"))
 
 
 def detect(df: DataFrame, model: LanguageModel, text: str = "content_clean", row_id: str = "ingest_seq") -> DataFrame:
-    """(row id, detected_lang) for every row.
+    """(row id, detected_lang) for every row with a known gram in a text that is not short.
 
-    Grams of one row are scored against the broadcast table and summed in the same task before the
-    shuffle, which therefore moves one small row per review. Short texts and texts without a known
-    gram are unknown.
+    Words are counted per row, and every distinct word of the corpus is scored once. Row ids, words
+    and whole numbers are all that is shuffled; no text is. Ties go to the first language by name.
     """
-    scorable = df.filter(F.length(text) >= V.SHORT_TEXT_LEN)
-    cut = (
-        scorable.select(row_id, F.explode(words_of(F.col(text))).alias("word"))
-        .select(row_id, F.explode(grams(F.col("word"))).alias("gram"))
-    )
-    n = len(model.languages)
-    sums = cut.join(F.broadcast(model.scores), "gram").groupBy(row_id).agg(
-        *[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]
-    )
-    best = F.greatest(*[F.col(f"s{i}") for i in range(n)]) if n > 1 else F.col("s0")
-    found = F.coalesce(*[F.when(F.col(f"s{i}") == best, F.lit(c)) for i, c in enumerate(model.languages)])
-    return sums.select(row_id, found.alias("found_lang"))
+    each = range(len(model.languages))
+
+    def summed(times):
+        return F.array(*[F.sum(F.col("scores")[i] * times) for i in each]).alias("scores")
+
+    used = settle(
+        df.filter(F.length(text) >= V.SHORT_TEXT_LEN).select(row_id, F.explode(words_of(F.col(text))).alias("word"))
+        .groupBy(row_id, "word").agg(F.count("*").alias("n")), "words")
+    cut = used.select("word").distinct().select("word", F.explode(grams(F.col("word"))).alias("gram"))
+    scored = settle(cut.join(model.scores, "gram").groupBy("word").agg(summed(F.lit(1))), "word-scores")
+    sums = used.join(scored, "word").groupBy(row_id).agg(summed(F.col("n")))
+    place = F.array_position("scores", F.array_max("scores")).cast("int")
+    return sums.select(row_id, F.element_at(F.array(*[F.lit(c) for c in model.languages]), place).alias("found_lang"))
 
 
 def with_detected_language(df: DataFrame, model: LanguageModel, text: str = "content_clean",

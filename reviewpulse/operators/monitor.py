@@ -81,20 +81,32 @@ def quality_history_from_reports(report: DataFrame, raw_metrics: DataFrame, run_
     return one.select(F.lit(dataset).alias("dataset"), F.lit(run_ts).alias("run_ts"), "*")
 
 
-def last_seven(volume: DataFrame) -> DataFrame:
+def last_seven(daily: DataFrame) -> DataFrame:
     """Sum over the last seven present days up to each batch and that sum divided by 7.
 
-    A batch without rows is not a present day; it shows the value of the last present one.
+    ``daily`` holds ``dataset, run_ts, day, reviews``, with a null day and 0 reviews for a batch that has no
+    timed row. Days are counted over the dataset, whatever batch brought them; a batch reads its newest
+    day, or the newest one of the batches before it.
     """
-    present = Window.partitionBy("dataset").orderBy("run_ts").rowsBetween(-6, 0)
+    days = daily.filter("day IS NOT NULL AND reviews > 0").groupBy("dataset", "day").agg(F.sum("reviews").alias("reviews"))
+    present = Window.partitionBy("dataset").orderBy("day").rowsBetween(-6, 0)
+    sums = days.select(F.col("dataset").alias("of"), F.col("day").alias("on_day"), F.sum("reviews").over(present).alias("sum7"))
     upto = Window.partitionBy("dataset").orderBy("run_ts").rowsBetween(Window.unboundedPreceding, 0)
-    seven = volume.filter(F.col("volume") > 0).select(*BATCH, F.sum("volume").over(present).alias("sum7"))
-    filled = volume.join(seven, BATCH, "left").withColumn("sum7", F.last("sum7", ignorenulls=True).over(upto))
+    newest = daily.groupBy(*BATCH).agg(F.max(F.when(F.col("reviews") > 0, F.col("day"))).alias("newest"))
+    newest = newest.withColumn("newest", F.max("newest").over(upto))
+    filled = newest.join(sums, (F.col("dataset") == F.col("of")) & (F.col("newest") == F.col("on_day")), "left")
     return filled.select(
         *BATCH, F.col("sum7").cast("double").alias("last7d_reviews_sum"), (F.col("sum7") / 7.0).alias("last7d_daily_mean")
     )
 
 
+def daily_reviews(clean: DataFrame, dataset: str = "reviews") -> DataFrame:
+    """English rows per batch and day; every batch has a row, if only one without a day."""
+    timed = F.col("is_en") & F.col("at_parsed").isNotNull()
+    return clean.groupBy(F.lit(dataset).alias("dataset"), "run_ts", F.when(timed, F.to_date("at_parsed")).alias("day")).agg(
+        F.count_if(timed).alias("reviews"))
+
+
 def distribution_history(clean: DataFrame, dataset: str = "reviews") -> DataFrame:
     """Distribution row per batch from the de-duplicated table (all languages).
 
@@ -105,17 +117,15 @@ def distribution_history(clean: DataFrame, dataset: str = "reviews") -> DataFram
     stars = [F.count_if(en & (F.col("score") == k)).alias(f"star_{k}") for k in range(1, 6)]
     by_length = clean.groupBy("run_ts", F.col("content_len").alias("value")).agg(
         F.count("*").alias("n_all"), F.count_if(en).alias("n"),
-        F.count_if(en & F.col("score").isNotNull()).alias("scored"),
-        F.count_if(en & F.col("at_parsed").isNotNull()).alias("timed"), *stars,
+        F.count_if(en & F.col("score").isNotNull()).alias("scored"), *stars,
     )
     q = stats.quantiles([0.5, 0.9])
     rows = by_length.groupBy("run_ts").agg(
         *[F.try_divide(F.sum(f"star_{k}"), F.sum("scored")).alias(f"score_{k}_pct") for k in range(1, 6)],
         F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("len_mean"),
-        q.alias("q"), F.round(F.sum("n") / F.sum("n_all"), 6).alias("en_share"), F.sum("timed").alias("volume"),
+        q.alias("q"), F.round(F.sum("n") / F.sum("n_all"), 6).alias("en_share"),
     ).select(F.lit(dataset).alias("dataset"), "*")
-    rows = settle(rows, "batch-shapes")
-    seven = last_seven(rows.select(*BATCH, "volume"))
+    seven = last_seven(settle(daily_reviews(clean, dataset), "daily"))
     return rows.join(seven, BATCH).select(
         *BATCH, *SCORE_SHARES, "len_mean", F.col("q")[0].alias("len_p50"), F.col("q")[1].alias("len_p90"),
         "en_share", "last7d_reviews_sum", "last7d_daily_mean",

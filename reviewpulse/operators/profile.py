@@ -179,17 +179,21 @@ def top_text_hashes(df: DataFrame, k: int = 20) -> DataFrame:
 def top_duplicate_texts(df: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` most frequent texts with their first occurrence.
 
-    Only hashes are shuffled for the count. The example text is then fetched for the ``k`` winners,
-    which are few enough to broadcast by construction.
+    Only hashes are shuffled for the count. The example text is then fetched for the ``k`` winners.
     """
-    top = F.broadcast(top_text_hashes(df, k))
-    rows = df.select("text_hash", "content", "ingest_seq").join(top, "text_hash")
-    return rows.groupBy("text_hash", "duplicate_count").agg(F.min_by("content", "ingest_seq").alias("content"))
+    return with_examples(top_text_hashes(df, k), df.select("text_hash", "content", "ingest_seq"))
 
 
-def first_content_per_text(df: DataFrame) -> DataFrame:
-    """First content of every text hash, one row per hash."""
-    return first_per_key(df, ["text_hash"], ["ingest_seq"]).select("text_hash", "content")
+def with_examples(hashes: DataFrame, rows: DataFrame) -> DataFrame:
+    """A few hashes left joined with the first content of each among ``rows``; null where it has none.
+
+    Positions are compared first, so texts are read for one row per hash only.
+    """
+    few = hashes.select(F.col("text_hash").alias("wanted"))
+    firsts = rows.join(few, F.col("text_hash") == F.col("wanted"), "left_semi").groupBy("text_hash").agg(
+        F.min("ingest_seq").alias("ingest_seq"))
+    examples = rows.join(firsts, ["text_hash", "ingest_seq"], "left_semi").select("text_hash", "content")
+    return hashes.join(examples, "text_hash", "left")
 
 
 # ---- C: languages ----------------------------------------------------------------------------

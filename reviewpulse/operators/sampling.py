@@ -64,11 +64,12 @@ def exclude_days(df: DataFrame, spikes: DataFrame, day: str = "day") -> DataFram
 def per_day_cap(df: DataFrame, cap: int, seed: int = 42, row_id: str = "review_id") -> DataFrame:
     """At most ``cap`` rows per (app, day), picked by a seeded hash; smaller groups stay whole.
 
-    The pick depends on seed and row id only, so a recomputed task picks the same rows.
+    The pick depends on seed and row id only, so a recomputed task picks the same rows. Row ids are
+    unique, as they are in the clean tables; only keys and ids are ranked.
     """
     keyed = df.filter(F.col("app_id").isNotNull() & F.col("day").isNotNull())
     ticket = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
-    picked = top_n_per_key(keyed, ["app_id", "day"], [ticket, F.col(row_id)], cap)
+    picked = top_n_per_key(keyed, ["app_id", "day"], [ticket, F.col(row_id)], cap, row_id)
     return picked.drop("rank_in_key")
 
 

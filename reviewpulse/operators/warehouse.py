@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import values
+from ..sources.shared import settle
 from ..sources.sinks import overwrite
 from .keyed import with_scalar
 
@@ -70,44 +71,53 @@ def tables(clean: DataFrame, source: str, loaded_at: str | None = None) -> dict[
     return {"apps": apps, "reviews": reviews, "ingestion_meta": meta_table(reviews, apps, source, loaded_at)}
 
 
-def orphan_reviews(reviews: DataFrame, apps: DataFrame) -> DataFrame:
-    """Reviews whose app is unknown. Distinct app ids are compared first, so no hot app is shuffled whole."""
-    unknown = (
-        reviews.groupBy("app_id").agg(F.count("*").alias("n_rows"))
-        .join(apps.select("app_id"), "app_id", "left_anti")
-    )
-    return unknown.filter(F.col("app_id").isNotNull())
+def orphan_reviews(reviews: DataFrame, apps: DataFrame, rows=None) -> DataFrame:
+    """Reviews whose app is unknown, as rows per app. Distinct app ids are compared first, so no hot app is shuffled whole.
+
+    ``rows`` counts what a row of ``reviews`` stands for, if it is not one review.
+    """
+    counts = reviews.groupBy("app_id").agg((F.count("*") if rows is None else F.sum(rows)).alias("n_rows"))
+    return counts.join(apps.select("app_id"), "app_id", "left_anti").filter(F.col("app_id").isNotNull())
 
 
 def constraint_violations(loaded: dict[str, DataFrame]) -> DataFrame:
-    """Violations per constraint: repeated primary keys, orphan reviews, nulls in required columns."""
+    """Violations per constraint: repeated primary keys, orphan reviews, nulls in required columns.
+
+    One grouping by primary key per table counts repeats and nulls; that of the reviews is stored and
+    also gives the orphans.
+    """
+    def violation(table, rule, columns, n):
+        return F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.lit(columns).alias("columns"),
+                        n.cast("bigint").alias("violations"))
+
     checks = []
     for name, key in PRIMARY_KEYS.items():
-        repeats = loaded[name].groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-        checks.append(repeats.agg(F.count("*").alias("violations")).select(
-            F.lit(name).alias("table_name"), F.lit("primary_key").alias("rule"),
-            F.lit(",".join(key)).alias("columns"), "violations"))
-    orphans = orphan_reviews(loaded["reviews"], loaded["apps"])
-    checks.append(orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations")).select(
-        F.lit("reviews").alias("table_name"), F.lit("foreign_key").alias("rule"),
-        F.lit("app_id").alias("columns"), "violations"))
-    for name, columns in REQUIRED.items():
-        nulls = loaded[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        rows = [F.struct(F.lit(name).alias("table_name"), F.lit("not_null").alias("rule"),
-                         F.lit(c).alias("columns"), F.col(c).alias("violations")) for c in columns]
-        checks.append(nulls.select(F.inline(F.array(*rows))))
+        nulls = {c: f"null_{c}" for c in REQUIRED[name]}
+        per_key = loaded[name].groupBy(*key).agg(
+            F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()])
+        if name == "reviews":
+            per_key = settle(per_key, "review-keys")
+            orphans = orphan_reviews(per_key, loaded["apps"], F.col("n")).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+            checks.append(orphans.select(F.inline(F.array(violation(name, "foreign_key", "app_id", F.col("n"))))))
+        sums = per_key.agg(F.count_if(F.col("n") > 1).alias("repeats"), *[
+            F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nulls.values()])
+        found = [violation(name, "primary_key", ",".join(key), F.col("repeats"))]
+        found += [violation(name, "not_null", c, F.col(n)) for c, n in nulls.items()]
+        checks.append(sums.select(F.inline(F.array(*found))))
     return reduce(DataFrame.unionByName, checks)
 
 
 def load(clean: DataFrame, source: str, folder: str, loaded_at: str | None = None) -> dict[str, DataFrame]:
     """Check, then replace the three tables, parents before children. A violation stops the load.
 
+    The clean rows are stored first, so that checks and tables do not compute them again.
+
     Each file of ``reviews`` is sorted by the columns that a database would index, so that a
     filter on them skips row groups.
     """
     spark = clean.sparkSession
-    built = tables(clean, source, loaded_at)
-    broken = constraint_violations(built).filter("violations > 0").limit(50).collect()
+    built = tables(settle(clean, "clean-rows"), source, loaded_at)
+    broken = constraint_violations(built).filter("violations > 0").collect()
     if broken:
         raise ValueError("warehouse constraints violated: " + "; ".join(
             f"{r.table_name}.{r.columns} {r.rule}: {r.violations}" for r in broken))
@@ -120,23 +130,41 @@ def load(clean: DataFrame, source: str, folder: str, loaded_at: str | None = Non
     return {name: spark.read.parquet(f"{folder}/{name}") for name in built}
 
 
-def register_views(loaded: dict[str, DataFrame], prefix: str = "wh_") -> None:
-    for name, df in loaded.items():
-        df.createOrReplaceTempView(prefix + name)
+def _sizes(loaded: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        loaded[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name in ("apps", "reviews")])
+
+
+def _largest_apps(loaded: dict[str, DataFrame], k: int = 5) -> DataFrame:
+    sizes = loaded["reviews"].groupBy("app_id").agg(F.count("*").alias("n"))
+    return sizes.orderBy(F.desc("n"), "app_id").limit(k)
+
+
+def _spread(loaded: dict[str, DataFrame], column: str) -> DataFrame:
+    """Rows per value; null is a value."""
+    return loaded["reviews"].groupBy(column).agg(F.count("*").alias("n"))
+
+
+def _bad_ids(loaded: dict[str, DataFrame]) -> DataFrame:
+    return loaded["reviews"].agg(F.count_if(F.coalesce("review_id", F.lit("")) == "").alias("bad_review_id"))
+
+
+def _mean_length(loaded: dict[str, DataFrame]) -> DataFrame:
+    return loaded["reviews"].agg(F.round(F.avg("content_len"), 2).alias("mean_len"), F.count("*").alias("n"))
 
 
+# Control questions to a loaded warehouse; each maps its three tables to a small table.
 CHECKS = {
-    "v_meta": "SELECT key, value FROM {p}ingestion_meta ORDER BY key",
-    "v_row_counts": "SELECT 'apps' AS tbl, COUNT(*) AS n FROM {p}apps "
-                    "UNION ALL SELECT 'reviews' AS tbl, COUNT(*) AS n FROM {p}reviews",
-    "v_top5_apps": "SELECT app_id, COUNT(*) AS n FROM {p}reviews GROUP BY app_id ORDER BY n DESC, app_id LIMIT 5",
-    "v_by_score": "SELECT score, COUNT(*) AS n FROM {p}reviews GROUP BY score ORDER BY score",
-    "v_null_keys": "SELECT COUNT_IF(review_id IS NULL OR review_id = '') AS bad_review_id FROM {p}reviews",
-    "v_english_dist": "SELECT is_en, COUNT(*) AS n FROM {p}reviews GROUP BY is_en",
-    "v_avg_len": "SELECT ROUND(AVG(content_len), 2) AS mean_len, COUNT(*) AS n FROM {p}reviews",
+    "v_meta": lambda loaded: loaded["ingestion_meta"].select("key", "value"),
+    "v_row_counts": _sizes,
+    "v_top5_apps": _largest_apps,
+    "v_by_score": lambda loaded: _spread(loaded, "score"),
+    "v_null_keys": _bad_ids,
+    "v_english_dist": lambda loaded: _spread(loaded, "is_en"),
+    "v_avg_len": _mean_length,
 }
 
 
-def check(spark: SparkSession, name: str, prefix: str = "wh_") -> DataFrame:
-    """One of the seven check queries over the registered warehouse views."""
-    return spark.sql(CHECKS[name].format(p=prefix))
+def check(loaded: dict[str, DataFrame], name: str) -> DataFrame:
+    """One of the seven control tables."""
+    return CHECKS[name](loaded)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import fixed_values as V
+from ..sources.reviews import ARRIVALS, EDGE_SCORES, EDGE_TEXTS
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 TIME = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
@@ -16,15 +17,22 @@ def listed(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
-RAW = """raw AS MATERIALIZED (
-  SELECT d.source AS app_id, 'App ' || d.source AS app_name, CAST(d.doc_id AS VARCHAR) AS review_id,
-    CASE WHEN d.doc_id % 89 <> 0 THEN CAST(1 + (d.doc_id * 7 + e.user_id) % 5 AS VARCHAR) END AS score,
-    CASE WHEN d.doc_id % 11 = 0 THEN substr(d.text, 1, d.doc_id % 7)
-         WHEN d.doc_id % 13 = 0 THEN 'good app'
-         WHEN d.doc_id % 17 = 0 THEN 'Ads ads, http://x.y/z worst'
-         WHEN d.doc_id % 19 = 0 THEN '!!!!!!'
-         WHEN d.doc_id % 23 = 0 THEN 'http://only.url/x'
-         ELSE d.text END AS content,
+def _text(value: str) -> str:
+    """An SQL literal; control characters as chr()."""
+    parts = ["chr(%d)" % ord(c) if ord(c) < 32 else f"'{c}'" for c in value] if any(ord(c) < 32 for c in value) else [f"'{value}'"]
+    return " || ".join(parts)
+
+
+_ARRIVALS = ", ".join(f"('{k}', {shift}, {every})" for k, shift, every in ARRIVALS)
+_EDGE_TEXTS = " ".join(f"WHEN '{k}' THEN {_text(v)}" for k, v in EDGE_TEXTS.items())
+_EDGE_SCORES = " ".join(f"WHEN s.kind = '{k}' THEN '{v}'" for k, v in EDGE_SCORES.items())
+
+RAW = f"""raw AS MATERIALIZED (
+  SELECT d.source AS app_id, 'App ' || d.source AS app_name,
+    CASE WHEN s.kind IN ('review', 'repeat') THEN CAST(d.doc_id AS VARCHAR)
+         WHEN s.kind <> 'anonymous' THEN CAST(d.doc_id AS VARCHAR) || '-' || s.kind END AS review_id,
+    CASE {_EDGE_SCORES} WHEN d.doc_id % 89 <> 0 THEN CAST(1 + (d.doc_id * 7 + e.user_id) % 5 AS VARCHAR) END AS score,
+    CASE s.kind WHEN 'short' THEN substr(d.text, 1, d.doc_id % 7) {_EDGE_TEXTS} ELSE d.text END AS content,
     CASE WHEN d.doc_id % 97 = 0 THEN 'not-a-date' ELSE strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS "at",
     CAST(CAST(floor(e.value) AS BIGINT) % 4 AS VARCHAR) AS thumbs_up_count,
     c.text AS reply_content,
@@ -32,13 +40,17 @@ RAW = """raw AS MATERIALIZED (
          ELSE strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS replied_at,
     d.lang AS declared_lang, CAST(e.ts AS DATE) AS ingest_date, d.doc_id + s.shift AS ingest_seq
   FROM documents d
-  JOIN events e ON e.event_id = d.doc_id * 5
-  LEFT JOIN conversations c ON c.conv_id = d.doc_id AND c.turn = 1 AND c.role = 'assistant'
-  JOIN (VALUES (0), (1000000000)) s(shift) ON s.shift = 0 OR d.doc_id % 50 = 0
+  LEFT JOIN events e ON e.event_id = d.doc_id * 5
+  LEFT JOIN (
+    SELECT conv_id, text FROM (
+      SELECT conv_id, text, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn, text) AS rn
+      FROM conversations WHERE role = 'assistant') WHERE rn = 1) c ON c.conv_id = d.doc_id
+  JOIN (VALUES {_ARRIVALS}) s(kind, shift, every) ON d.doc_id % s.every = 0
 )"""
 
 LABELLED = f"""typed AS (
-  SELECT * EXCLUDE (score, thumbs_up_count, content), TRY_CAST(score AS DOUBLE) AS score,
+  SELECT * EXCLUDE (score, thumbs_up_count, content, review_id), COALESCE(review_id, 'nan') AS review_id,
+    TRY_CAST(score AS DOUBLE) AS score,
     COALESCE(TRY_CAST(thumbs_up_count AS BIGINT), 0) AS thumbs_up_count,
     trim(COALESCE(content, ''), {WS}) AS content,
     trim(COALESCE(reply_content, ''), {WS}) <> '' AS has_dev_reply

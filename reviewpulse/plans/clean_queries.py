@@ -8,6 +8,7 @@ from ..functions import fixed_values as V
 from ..functions import text, values
 from ..operators import clean, keyed, language, profile, sampling, warehouse
 from ..sources.reviews import documents, raw_reviews
+from ..sources.shared import settle
 from .base_sql import on_flagged, on_kept, on_kept_flagged, on_labelled, on_raw, WS
 from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
 
@@ -84,10 +85,10 @@ def w_dup_count(spark, sf_dir):
     return counted.select("ingest_seq", "dup_text_count")
 
 
-@query("p_detect_lang", on_labelled(rf"""
+_DETECTED = rf"""
 , tokens AS (
   SELECT lang, word, COUNT(*) AS n FROM (
-    SELECT lang, unnest(regexp_extract_all(lower(text), '\p{{L}}{{1,64}}')) AS word FROM documents WHERE lang IS NOT NULL)
+    SELECT lang, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents WHERE lang IS NOT NULL)
   GROUP BY lang, word
 ), pieces AS (
   SELECT lang, n, unnest(list_concat(
@@ -98,17 +99,15 @@ def w_dup_count(spark, sf_dir):
 ), gram_counts AS MATERIALIZED (
   SELECT lang, gram, SUM(n) AS n FROM pieces GROUP BY lang, gram
 ), vocabulary AS (
-  SELECT DISTINCT gram FROM (
-    SELECT gram, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rn FROM gram_counts)
-  WHERE rn <= {language.GRAMS_PER_LANGUAGE}
+  SELECT DISTINCT gram FROM gram_counts
 ), totals AS (
   SELECT lang, SUM(n) AS total, (SELECT COUNT(*) FROM vocabulary) AS size
-  FROM gram_counts WHERE gram IN (SELECT gram FROM vocabulary) GROUP BY lang
+  FROM gram_counts GROUP BY lang
 ), model AS MATERIALIZED (
   SELECT v.gram, t.lang, CAST(round(ln((COALESCE(g.n, 0) + 1) / (t.total + t.size)::DOUBLE) * {language.SCALE}) AS BIGINT) AS s
   FROM vocabulary v CROSS JOIN totals t LEFT JOIN gram_counts g ON g.gram = v.gram AND g.lang = t.lang
 ), words AS (
-  SELECT ingest_seq, unnest(regexp_extract_all(content_clean, '\p{{L}}{{1,64}}')) AS word
+  SELECT ingest_seq, unnest(regexp_extract_all(content_clean, '\p{{L}}+')) AS word
   FROM labelled WHERE length(content_clean) >= 5
 ), cut AS (
   SELECT ingest_seq, gram, COUNT(*) AS n FROM (SELECT ingest_seq, unnest(list_concat(
@@ -121,13 +120,33 @@ def w_dup_count(spark, sf_dir):
 ), best AS (
   SELECT ingest_seq, lang, ROW_NUMBER() OVER (PARTITION BY ingest_seq ORDER BY score DESC, lang) AS rn FROM scored
 )
-SELECT l.ingest_seq, COALESCE(b.lang, 'unknown') AS detected_lang
+"""
+
+
+@query("p_detect_lang", on_labelled(_DETECTED + """SELECT l.ingest_seq, COALESCE(b.lang, 'unknown') AS detected_lang
 FROM labelled l LEFT JOIN best b ON b.ingest_seq = l.ingest_seq AND b.rn = 1"""))
 def p_detect_lang(spark, sf_dir):
     """Train on all labelled documents, then detect the language of every review."""
+    return detected(spark, sf_dir).select("ingest_seq", "detected_lang")
+
+
+def detected(spark, sf_dir):
+    """Derived rows with the detected language in place of the declared one."""
     model = language.train(documents(spark, sf_dir), "text", "lang")
-    rows = clean.derive(raw_reviews(spark, sf_dir))
-    return language.with_detected_language(rows, model).select("ingest_seq", "detected_lang")
+    rows = settle(clean.derive(raw_reviews(spark, sf_dir)), "derived")
+    return language.with_detected_language(rows, model)
+
+
+@query("clean_en_detected", on_labelled(_DETECTED + """, coded AS (
+  SELECT l.* EXCLUDE (detected_lang, is_en), COALESCE(b.lang, 'unknown') AS detected_lang
+  FROM labelled l LEFT JOIN best b ON b.ingest_seq = l.ingest_seq AND b.rn = 1
+), firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY ingest_seq) AS rn FROM coded)
+SELECT review_id, ingest_seq, detected_lang, is_noise, sentiment_keyword FROM firsts
+WHERE rn = 1 AND NOT is_empty_text AND NOT is_short_text AND detected_lang = 'en'"""))
+def clean_en_detected(spark, sf_dir):
+    """The English clean table as the detector finds it: flags, de-duplication and filter on detected codes."""
+    rows = clean.with_row_flags(detected(spark, sf_dir))
+    return clean.clean_en(rows).select("review_id", "ingest_seq", "detected_lang", "is_noise", "sentiment_keyword")
 
 
 def _names_sql(code: str) -> str:

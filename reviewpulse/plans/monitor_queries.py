@@ -87,8 +87,7 @@ def m_distribution_history(spark, sf_dir):
   round(last7d_daily_mean, 6) AS last7d_daily_mean FROM distribution"""))
 def w_last7_rows(spark, sf_dir):
     rows = clean.clean_all(clean.label(batched(spark, sf_dir)), ["run_ts"])
-    volume = rows.groupBy("run_ts").agg(F.count_if(F.col("is_en") & F.col("at_parsed").isNotNull()).alias("volume"))
-    return monitor.last_seven(settle(volume.select(F.lit("reviews").alias("dataset"), "run_ts", "volume"), "volume"))
+    return monitor.last_seven(settle(monitor.daily_reviews(rows), "daily"))
 
 
 @query("w_latest_row", on_batches(QUALITY, "SELECT run_ts, raw_rows, clean_all_rows FROM quality ORDER BY run_ts DESC LIMIT 1"))

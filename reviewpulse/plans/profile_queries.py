@@ -134,9 +134,13 @@ def t_top_hashes(spark, sf_dir):
     return profile.top_text_hashes(kept(spark, sf_dir))
 
 
-@query("j_example_left", on_kept("SELECT text_hash, arg_min(content, ingest_seq) AS content FROM kept_en GROUP BY text_hash"))
+@query("j_example_left", on_kept("""SELECT t.text_hash, t.duplicate_count, e.content
+  FROM (SELECT text_hash, COUNT(*) AS duplicate_count FROM kept GROUP BY text_hash ORDER BY duplicate_count DESC, text_hash LIMIT 20) t
+  LEFT JOIN (SELECT text_hash, arg_min(content, ingest_seq) AS content FROM kept_en GROUP BY text_hash) e USING (text_hash)"""))
 def j_example_left(spark, sf_dir):
-    return profile.first_content_per_text(kept_en(spark, sf_dir))
+    """Top hashes of all languages; the example is English, so some have none."""
+    rows = settle(kept(spark, sf_dir).select("text_hash", "content", "ingest_seq", "is_en"), "clean-texts")
+    return profile.with_examples(profile.top_text_hashes(rows), rows.filter("is_en"))
 
 
 # ---- C ---------------------------------------------------------------------------------------
@@ -434,8 +438,7 @@ def section_report_bundle(spark, sf_dir):
 def _check(name: str, sql: str):
     def run(spark, sf_dir):
         stored = clean.narrow(kept(spark, sf_dir))
-        warehouse.register_views(warehouse.tables(stored, "clean_all_languages", "2024-02-01T00:00:00Z"))
-        return warehouse.check(spark, name)
+        return warehouse.check(warehouse.tables(stored, "clean_all_languages", "2024-02-01T00:00:00Z"), name)
     query(name, on_kept(sql))(run)
 
 

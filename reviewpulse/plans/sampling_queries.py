@@ -166,8 +166,8 @@ def newest_n_per_app(spark, sf_dir):
     return newest.withColumn("newest_rank", F.col("newest_rank").cast("bigint"))
 
 
-@query("ingest_per_app_counts", on_raw(PLAN + """SELECT p.app_id, p.app_name, COUNT(r.review_id) AS fetched,
-  CASE WHEN COUNT(r.review_id) > 0 THEN 'fetched' ELSE 'no rows' END AS status
+@query("ingest_per_app_counts", on_raw(PLAN + """SELECT p.app_id, p.app_name, COUNT(r.app_id) AS fetched,
+  CASE WHEN COUNT(r.app_id) > 0 THEN 'fetched' ELSE 'no rows' END AS status
   FROM plan p LEFT JOIN raw r ON r.app_id = p.app_id GROUP BY p.app_id, p.app_name"""))
 def ingest_per_app_counts(spark, sf_dir):
     return ingest.per_app_counts(raw_reviews(spark, sf_dir), plan_of(spark, sf_dir))

@@ -14,47 +14,40 @@ from .registry import query
 
 
 def _landed(spark, sf_dir):
-    """Raw reviews as arriving files, with their collection time as event time."""
+    """Raw reviews as files that arrive a few at a time."""
     path = new_path(spark, "landing")
-    rows = raw_reviews(spark, sf_dir).withColumn("collected_at", F.col("ingest_date").cast("timestamp"))
-    rows.write.parquet(path)
-    return rs.read_stream(spark, path, rows.schema)
+    rows = raw_reviews(spark, sf_dir)
+    rows.repartition(3, "ingest_seq").write.parquet(path)
+    return rs.read_stream(spark, path, rows.schema, max_files=2)
 
 
-@query("s_dedupe", on_raw("SELECT DISTINCT review_id, app_id, ingest_date FROM raw"))
+@query("s_dedupe", on_raw("""SELECT COALESCE(review_id, 'nan') AS review_id, arg_min(app_id, ingest_seq) AS app_id,
+  MIN(ingest_seq) AS ingest_seq FROM raw GROUP BY 1"""))
 def s_dedupe(spark, sf_dir):
-    stream = rs.dedupe(_landed(spark, sf_dir), "collected_at")
-    return rs.run_once(stream.select("review_id", "app_id", "ingest_date"), "deduped")
+    return rs.dedupe(_landed(spark, sf_dir).select("review_id", "app_id", "ingest_seq"), new_path(spark, "deduped"))
 
 
-def _events(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return rs.read_stream(spark, sf_dir, schema, "events.parquet").withColumn("event_time", F.col("ts").cast("timestamp"))
-
+def _volume_sql(unit: str) -> str:
+    return f"SELECT date_trunc('{unit}', ts)::TIMESTAMP AS window_start, COUNT(*) AS reviews FROM events GROUP BY 1"
 
-def _volume_sql(unit: str, delay: str) -> str:
-    # A window is final once the newest event minus the delay has passed its end.
-    return f"""SELECT date_trunc('{unit}', ts)::TIMESTAMP AS window_start, COUNT(*) AS reviews FROM events GROUP BY 1
-  HAVING date_trunc('{unit}', ts)::TIMESTAMP + INTERVAL 1 {unit} <= date_trunc('millisecond', (SELECT MAX(ts) FROM events)) - INTERVAL {delay}"""
 
-
-def _volume(spark, sf_dir, size, delay):
-    counts = rs.run_once(rs.volume(_events(spark, sf_dir), "event_time", size, delay), "volume")
+def _volume(spark, sf_dir, size):
+    schema = table(spark, sf_dir, "events").schema
+    events = rs.read_stream(spark, sf_dir, schema, "events.parquet").withColumn("event_time", F.col("ts").cast("timestamp"))
+    counts = rs.volume(events, "event_time", size, new_path(spark, "volume"))
     return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "reviews")
 
 
-@query("s_hourly_volume", _volume_sql("hour", "10 minute"))
+@query("s_hourly_volume", _volume_sql("hour"))
 def s_hourly_volume(spark, sf_dir):
-    return _volume(spark, sf_dir, "1 hour", "10 minutes")
+    return _volume(spark, sf_dir, "1 hour")
 
 
-@query("s_daily_volume", _volume_sql("day", "1 hour"))
+@query("s_daily_volume", _volume_sql("day"))
 def s_daily_volume(spark, sf_dir):
-    return _volume(spark, sf_dir, "1 day", "1 hour")
+    return _volume(spark, sf_dir, "1 day")
 
 
 @query("s_metric_append", on_batches(QUALITY, f"SELECT 'reviews' AS dataset, {', '.join(QUALITY_HISTORY_COLUMNS)} FROM quality"))
 def s_metric_append(spark, sf_dir):
-    folder = new_path(spark, "stream-history")
-    rs.append_quality_history(_landed(spark, sf_dir), folder)
-    return spark.read.parquet(f"{folder}/data").select("dataset", *QUALITY_HISTORY_COLUMNS)
+    return rs.append_quality_history(_landed(spark, sf_dir), new_path(spark, "stream-history"))

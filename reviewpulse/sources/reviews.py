@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPY_OFFSET = 1_000_000_000
-
+# Kinds of arrivals per document: (kind, offset of its ingest_seq, every how many documents). The first kind is the
+# document itself with its whole text; the others are additional rows and never stand in its place.
+ARRIVALS = [
+    ("review", 0, 1), ("repeat", 1_000_000_000, 50), ("short", 2_000_000_000, 11), ("praise", 3_000_000_000, 13),
+    ("link", 4_000_000_000, 17), ("marks", 5_000_000_000, 19), ("address", 6_000_000_000, 23),
+    ("anonymous", 7_000_000_000, 37), ("junk", 8_000_000_000, 29), ("outside", 9_000_000_000, 31),
+    ("blank", 10_000_000_000, 41),
+]
+# Texts of kinds that do not take the document's own.
+EDGE_TEXTS = {
+    "praise": "good app", "link": "Ads ads, http://x.y/z worst", "marks": "!!!!!!", "address": "http://only.url/x",
+    "anonymous": "nobody signed this good one", "junk": "stars given in words", "outside": "great, more than all stars",
+    "blank": "\t \n ",
+}
+EDGE_SCORES = {"junk": "five stars", "outside": "9"}
 
 # Declared layouts save a footer-reading job per scan.
 LAYOUTS = {
@@ -39,46 +52,47 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review rows as a collector would land them: text columns, ``ingest_seq`` and ``ingest_date``.
 
-    Each document is a review, timed by its event and answered by its assistant turn. Every
-    fiftieth document arrives a second time, later in the file.
+    Each document is a review with its whole text, timed by its event and answered by the first
+    assistant turn of its conversation; a document without either stays, without a time or an
+    answer. Every fiftieth document arrives a second time, later in the file. Edge cases (short,
+    blank and repeated texts, links, missing ids, scores that are no stars) are additional rows.
     """
     docs = documents(spark, sf_dir)
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     replies = (
-        table(spark, sf_dir, "conversations")
-        .filter((F.col("turn") == 1) & (F.col("role") == "assistant"))
-        .select(F.col("conv_id"), F.col("text").alias("reply_content"))
+        table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+        .groupBy("conv_id").agg(F.min(F.struct("turn", "text")).alias("answer"))
+        .select(F.col("conv_id"), F.col("answer.text").alias("reply_content"))
     )
-    doc = F.col("doc_id")
-    text = F.col("text")
+    doc, kind = F.col("doc_id"), F.col("arrival.kind")
     at = F.when(doc % 97 == 0, "not-a-date").otherwise(F.substring(F.col("ts").cast("string"), 1, 19))
-    content = (
-        F.when(doc % 11 == 0, F.substr(text, F.lit(1), (doc % 7).cast("int")))
-        .when(doc % 13 == 0, "good app")
-        .when(doc % 17 == 0, "Ads ads, http://x.y/z worst")
-        .when(doc % 19 == 0, "!!!!!!")
-        .when(doc % 23 == 0, "http://only.url/x")
-        .otherwise(text)
-    )
+    score = F.when(doc % 89 != 0, (1 + (doc * 7 + F.col("user_id")) % 5).cast("string"))
+    content = F.when(kind == "short", F.substr("text", F.lit(1), (doc % 7).cast("int")))
+    for name, edge in EDGE_TEXTS.items():
+        content = content.when(kind == name, edge)
+    for name, edge in EDGE_SCORES.items():
+        score = F.when(kind == name, edge).otherwise(score)
+    arrivals = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(shift).cast("bigint").alias("shift"), F.lit(every).alias("every"))
+                         for k, shift, every in ARRIVALS])
+    own_id = F.when(kind.isin("review", "repeat"), doc.cast("string")).when(
+        kind != "anonymous", F.concat(doc.cast("string"), F.lit("-"), kind))
+    # One scan gives all arrivals of a document.
     rows = (
-        docs.join(events, F.col("event_id") == doc * 5)
+        docs.join(events, F.col("event_id") == doc * 5, "left")
         .join(replies, F.col("conv_id") == doc, "left")
-        .select(
-            F.col("source").alias("app_id"),
-            F.concat(F.lit("App "), F.col("source")).alias("app_name"),
-            doc.cast("string").alias("review_id"),
-            F.when(doc % 89 != 0, (1 + (doc * 7 + F.col("user_id")) % 5).cast("string")).alias("score"),
-            content.alias("content"),
-            at.alias("at"),
-            (F.floor("value").cast("bigint") % 4).cast("string").alias("thumbs_up_count"),
-            "reply_content",
-            F.when(F.col("reply_content").isNotNull(), F.when(doc % 7 == 0, "soon").otherwise(at)).alias("replied_at"),
-            F.col("lang").alias("declared_lang"),
-            F.to_date("ts").alias("ingest_date"),
-            doc.alias("ingest_seq"),
-        )
+        .withColumn("arrival", F.explode(F.filter(arrivals, lambda a: doc % a["every"] == 0)))
+    )
+    return rows.select(
+        F.col("source").alias("app_id"),
+        F.concat(F.lit("App "), F.col("source")).alias("app_name"),
+        own_id.alias("review_id"),
+        score.alias("score"),
+        content.otherwise(F.col("text")).alias("content"),
+        at.alias("at"),
+        (F.floor("value").cast("bigint") % 4).cast("string").alias("thumbs_up_count"),
+        "reply_content",
+        F.when(F.col("reply_content").isNotNull(), F.when(doc % 7 == 0, "soon").otherwise(at)).alias("replied_at"),
+        F.col("lang").alias("declared_lang"),
+        F.to_date("ts").alias("ingest_date"),
+        (doc + F.col("arrival.shift")).alias("ingest_seq"),
     )
-    # One scan gives both the first arrival and the repeat.
-    arrivals = F.when(F.col("ingest_seq") % 50 == 0, F.array(F.lit(0), F.lit(COPY_OFFSET))).otherwise(F.array(F.lit(0)))
-    repeated = rows.withColumn("shift", F.explode(arrivals))
-    return repeated.withColumn("ingest_seq", F.col("ingest_seq") + F.col("shift")).drop("shift")

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else a folder of the session's warehouse.
 
-    Only a local session without that setting gets a temporary folder of its own; a cluster
-    without one is refused, because its executors could not read a machine-local folder.
+    Both are shared by the driver and all executors, on a cluster as in a local session.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reviewpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/reviewpulse-tables").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

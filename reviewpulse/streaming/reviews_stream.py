@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, monitor
+from ..operators.keyed import first_per_key
 from ..sources.schemas import QUALITY_HISTORY_COLUMNS
-from ..sources.shared import new_path
 
 
 def read_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
@@ -21,50 +21,67 @@ def read_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parq
     return reader.parquet(folder)
 
 
-def dedupe(stream: DataFrame, event_time: str, delay: str = "7 days") -> DataFrame:
-    """One row per review id; repeats arriving within ``delay`` are dropped, state is bounded by it."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["review_id"])
+def _each_batch(stream: DataFrame, write, log: str, mode: str = "append") -> None:
+    """Hand every micro-batch to ``write(batch, id)`` until all files are read; a restart goes on where it stopped."""
+    query = (
+        stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", log)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
 
 
-def volume(stream: DataFrame, ts: str, size: str, delay: str) -> DataFrame:
-    """Counts per tumbling window, one state row per window.
+def dedupe(stream: DataFrame, folder: str, order: str = "ingest_seq") -> DataFrame:
+    """First row per review id over all that arrived, however late a repeat is.
 
-    In append mode a window is written once the watermark has passed its end, later rows for it
-    are dropped.
+    A micro-batch stores its own first rows in a sub-folder, which a repeated run replaces; the first
+    of those by ``order`` counts. A null id is one id, as in the batch step.
     """
-    counts = stream.withWatermark(ts, delay).groupBy(F.window(ts, size).alias("w")).agg(F.count("*").alias("reviews"))
-    return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "reviews")
+    schema = stream.withColumn("review_id", F.coalesce("review_id", F.lit("nan"))).schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn("review_id", F.coalesce("review_id", F.lit("nan")))
+        first_per_key(named, ["review_id"], [order]).write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
+
+    _each_batch(stream, write, f"{folder}/log")
+    stored = stream.sparkSession.read.schema(schema).parquet(f"{folder}/data")
+    return first_per_key(stored, ["review_id"], [order])
 
 
-def run_once(df: DataFrame, name: str) -> DataFrame:
-    """Process everything available, append finished rows to a new table and return that table.
+def volume(stream: DataFrame, ts: str, size: str, folder: str) -> DataFrame:
+    """Counts per tumbling window over all rows that arrived; rows without a time are left out.
 
-    Offsets and sink log live in the shared folder, so a restart continues where it stopped.
+    Each micro-batch stores the new count of the windows it changed, and the newest count of a window
+    is its result. State is one row per window, so nothing needs to be dropped as late.
     """
-    out = new_path(df.sparkSession, name)
-    query = (
-        df.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{out}/data").option("checkpointLocation", f"{out}/log")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{out}/data")
+    counts = stream.filter(F.col(ts).isNotNull()).groupBy(F.window(ts, size).alias("w")).agg(F.count("*").alias("reviews"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "reviews").write.mode(
+            "overwrite").parquet(f"{folder}/data/batch={batch_id}")
 
+    _each_batch(counts, write, f"{folder}/log", "update")
+    stored = stream.sparkSession.read.schema(
+        "window_start timestamp, window_end timestamp, reviews bigint, batch bigint").parquet(f"{folder}/data")
+    return stored.groupBy("window_start", "window_end").agg(F.max_by("reviews", "batch").alias("reviews"))
 
-def append_quality_history(stream: DataFrame, folder: str, dataset: str = "reviews") -> None:
-    """Append quality rows of each micro-batch to a history table.
 
-    A micro-batch writes its own sub-folder and replaces it when repeated, so a retry after a
-    failure leaves no double rows.
+def append_quality_history(stream: DataFrame, folder: str, dataset: str = "reviews") -> DataFrame:
+    """Quality row per day, recomputed from all rows of the day whenever a micro-batch brings some.
+
+    Rows are stored by micro-batch, days are replaced as whole partitions; a retry replaces the same
+    files, so neither a failure nor the split into micro-batches shows in the history.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("run_ts", F.col("ingest_date"))
-        history = monitor.quality_history(clean.flag_reviews(rows, ["run_ts"]), dataset)
-        history.select("dataset", *QUALITY_HISTORY_COLUMNS).write.mode("overwrite").parquet(
-            f"{folder}/data/batch={batch_id}")
+    spark = stream.sparkSession
+    schema = stream.schema
 
-    query = (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/log")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+        arrived = spark.read.schema(schema).parquet(f"{folder}/rows/batch={batch_id}").select("ingest_date").distinct()
+        rows = spark.read.schema(schema).parquet(f"{folder}/rows").withColumn("run_ts", F.col("ingest_date"))
+        days = rows.join(arrived.select(F.col("ingest_date").alias("day")), F.col("run_ts").eqNullSafe(F.col("day")), "left_semi")
+        history = monitor.quality_history(clean.flag_reviews(days, ["run_ts"]), dataset)
+        history.select("dataset", *QUALITY_HISTORY_COLUMNS).withColumn("day", F.col("run_ts")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{folder}/data")
+
+    _each_batch(stream, write, f"{folder}/log")
+    return spark.read.parquet(f"{folder}/data").select("dataset", *QUALITY_HISTORY_COLUMNS)

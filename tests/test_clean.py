@@ -127,3 +127,23 @@ def test_top_n_per_key_is_exact_and_limited_before_the_shuffle(spark):
     many = keyed.top_n_per_key(rows, ["k"], [F.desc("v")], 1500)
     want = rows.toPandas().sort_values("v", ascending=False).groupby("k").head(1500)
     assert sorted(r.id for r in many.collect()) == sorted(want["id"])
+
+
+def test_wide_rows_are_ranked_by_their_ids_alone(spark):
+    """Beyond a thousand rows per key: ids are ranked, texts join the winners."""
+    rows = spark.range(6000).select(F.col("id"), (F.col("id") % 3).alias("k"), F.concat(F.lit("text "), F.col("id")).alias("content"))
+    top = keyed.top_n_per_key(rows, ["k"], [F.desc("id")], 1200, "id")
+    assert top.count() == 3600 and top.agg(F.min("id")).first()[0] == 6000 - 3600
+    assert top.filter(F.col("content") != F.concat(F.lit("text "), F.col("id"))).count() == 0
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("Window"):]
+    assert "content" not in ranked
+
+
+def test_every_document_is_a_whole_review(spark):
+    """Edge cases are additional rows: no document's text is cut or replaced."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = raw_reviews(spark, SF).filter("ingest_seq < 1000000000")
+    both = docs.join(whole, F.col("doc_id") == F.col("ingest_seq"), "full_outer")
+    assert both.filter(~F.col("text").eqNullSafe(F.col("content"))).count() == 0
+    assert whole.agg(F.sum(F.length("content"))).first()[0] == docs.agg(F.sum(F.length("text"))).first()[0]

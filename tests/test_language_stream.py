@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from reviewpulse.operators import clean, language
-from reviewpulse.sources.reviews import documents, table
+from reviewpulse.operators import clean, language, monitor
+from reviewpulse.sources.reviews import documents, raw_reviews, table
 from reviewpulse.sources.shared import new_path
 from reviewpulse.streaming import reviews_stream as rs
 
@@ -32,18 +32,28 @@ def test_grams_of_a_word(spark):
     assert list(row.g) == ["a", "b", "c", " a", "ab", "bc", "c ", " ab", "abc", "bc "]
 
 
-def test_stream_dedupe_over_several_files(spark):
+def test_stream_dedupe_keeps_the_first_row(spark):
     folder = new_path(spark, "in")
-    rows = spark.range(100).select((F.col("id") % 40).cast("string").alias("review_id"), F.timestamp_seconds(F.col("id")).alias("seen_at"))
+    rows = spark.range(100).select((F.col("id") % 40).cast("string").alias("review_id"), F.col("id").alias("ingest_seq"))
     rows.repartition(5).write.parquet(folder)
-    stream = rs.dedupe(rs.read_stream(spark, folder, rows.schema, max_files=2), "seen_at")
-    out = rs.run_once(stream.select("review_id"), "out")
-    assert out.count() == out.distinct().count() == 40
+    out = rs.dedupe(rs.read_stream(spark, folder, rows.schema, max_files=1), new_path(spark, "out"))
+    assert sorted((int(r.review_id), r.ingest_seq) for r in out.collect()) == [(i, i) for i in range(40)]
 
 
-def test_stream_volume_equals_batch_for_finished_windows(spark):
-    events = table(spark, SF, "events")
-    stream = rs.read_stream(spark, SF, events.schema, "events.parquet").withColumn("t", F.col("ts").cast("timestamp"))
-    got = {str(r.window_start): r.reviews for r in rs.run_once(rs.volume(stream, "t", "1 day", "1 hour"), "vol").collect()}
-    want = {str(r[0]): r[1] for r in events.groupBy(F.date_trunc("day", "ts")).count().collect()}
-    assert len(got) == len(want) - 1 and all(want[k] == v for k, v in got.items())
+def test_stream_volume_equals_batch_for_all_windows(spark):
+    folder = new_path(spark, "in")
+    events = table(spark, SF, "events").withColumn("t", F.col("ts").cast("timestamp")).select("t")
+    events.repartition(4).write.parquet(folder)
+    counts = rs.volume(rs.read_stream(spark, folder, events.schema, max_files=1), "t", "1 day", new_path(spark, "vol"))
+    got = {str(r.window_start): r.reviews for r in counts.collect()}
+    assert got == {str(r[0]): r[1] for r in events.groupBy(F.date_trunc("day", "t")).count().collect()}
+
+
+def test_stream_history_does_not_depend_on_micro_batches(spark):
+    rows = raw_reviews(spark, SF)
+    folder = new_path(spark, "in")
+    rows.repartition(4).write.parquet(folder)
+    got = rs.append_quality_history(rs.read_stream(spark, folder, rows.schema, max_files=1), new_path(spark, "history"))
+    flagged = clean.flag_reviews(rows.withColumn("run_ts", F.col("ingest_date")), ["run_ts"])
+    want = monitor.quality_history(flagged).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

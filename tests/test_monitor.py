@@ -135,17 +135,28 @@ def test_guards(spark):
     assert metrics(q, d) == []
 
 
+DAILY = "dataset string, run_ts string, day string, reviews long"
+
+
 def test_last_seven_present_days(spark):
-    rows = [("d", f"2024-01-{i + 1:02d}", v) for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 0, 9])]
+    days = [(f"2024-01-{i + 1:02d}", v) for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 0, 9])]
+    rows = [("d", d, d if v else None, v) for d, v in days]
     got = [(r.last7d_reviews_sum, round(r.last7d_daily_mean, 6)) for r in
-           monitor.last_seven(spark.createDataFrame(rows, "dataset string, run_ts string, volume long")).orderBy("run_ts").collect()]
+           monitor.last_seven(spark.createDataFrame(rows, DAILY)).orderBy("run_ts").collect()]
     assert got[0] == (1.0, round(1 / 7, 6)) and got[7] == (35.0, 5.0) and got[8] == got[7] and got[9] == (42.0, 6.0)
 
 
+def test_last_seven_counts_days_not_batches(spark):
+    """A batch of ten days sums up its last seven; the next one goes on with its own day."""
+    rows = [("d", "b1", f"2024-01-{i:02d}", i) for i in range(1, 11)] + [("d", "b2", "2024-01-11", 50), ("d", "b3", None, 0)]
+    got = {r.run_ts: r.last7d_reviews_sum for r in monitor.last_seven(spark.createDataFrame(rows, DAILY)).collect()}
+    assert got == {"b1": 49.0, "b2": 95.0, "b3": 95.0}
+
+
 def test_published_last_week_sum(spark):
     """Seven published day counts add up to 5550."""
-    rows = [("d", f"2026-04-{13 + i}", v) for i, v in enumerate([121, 305, 526, 484, 1046, 2884, 184])]
-    last = monitor.last_seven(spark.createDataFrame(rows, "dataset string, run_ts string, volume long")).orderBy(F.desc("run_ts")).first()
+    rows = [("d", f"2026-04-{13 + i}", f"2026-04-{13 + i}", v) for i, v in enumerate([121, 305, 526, 484, 1046, 2884, 184])]
+    last = monitor.last_seven(spark.createDataFrame(rows, DAILY)).orderBy(F.desc("run_ts")).first()
     assert last.last7d_reviews_sum == 5550.0
 
 

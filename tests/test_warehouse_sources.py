@@ -27,12 +27,11 @@ def test_load_and_checks(spark, flagged):
         "loaded_at_utc": "2024-01-01T00:00:00Z"}
     row = loaded["reviews"].filter("review_id = 'r3'").first()
     assert row.is_en == 0 and row.at_parsed is None and "app_name" not in loaded["reviews"].columns
-    warehouse.register_views(loaded)
-    assert as_dict(warehouse.check(spark, "v_row_counts")) == {"apps": 2, "reviews": 4}
-    assert as_dict(warehouse.check(spark, "v_english_dist")) == {0: 1, 1: 3}
-    assert warehouse.check(spark, "v_null_keys").first()[0] == 0
+    assert as_dict(warehouse.check(loaded, "v_row_counts")) == {"apps": 2, "reviews": 4}
+    assert as_dict(warehouse.check(loaded, "v_english_dist")) == {0: 1, 1: 3}
+    assert warehouse.check(loaded, "v_null_keys").first()[0] == 0
     for name in warehouse.CHECKS:
-        assert warehouse.check(spark, name).count() > 0
+        assert warehouse.check(loaded, name).count() > 0
 
 
 def test_violations_stop_the_load(spark, flagged):
