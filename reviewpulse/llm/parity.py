@@ -112,8 +112,20 @@ def member_id(identity: np.uint64, band: int) -> np.uint64:
     return mix64(np.array([identity]) + np.uint64(band + 1))[0] & ~np.uint64(1)
 
 
+def sketch_bits(band: int) -> int:
+    """Width of the dense sketches of a band: two bits per shingle of its largest sets."""
+    return max(256, 2 * FIRST_BAND * BAND_FACTOR ** band)
+
+
+def dense_sketch(shingles: np.ndarray, band: int) -> bytes:
+    """Parity sketch of a set: each shingle flips one bit."""
+    width = sketch_bits(band)
+    flips = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(flips.astype(bool)).tobytes()
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_id`` per row and the set's one or two members with the equal segments they need."""
+    """``doc_id, n_shingles, set_id`` per row and the set's one or two members: needed equal segments and dense sketch."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk in text_chunks(batches):
@@ -126,15 +138,16 @@ def described(docs: DataFrame) -> DataFrame:
                     continue
                 identity = set_id(s)
                 sets.append(int(identity.view(np.int64)))
-                members.append([{"member": int(member_id(identity, b).view(np.int64)),
+                members.append([{"member": int(member_id(identity, b).view(np.int64)), "sketch": dense_sketch(s, b),
                                  "needed": max(1, len(segments(s, b)) - most_difference(len(s)))} for b in bands(len(s))])
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()),
-                 pa.array(members, pa.list_(pa.struct([("member", pa.int64()), ("needed", pa.int64())])))],
+                 pa.array(members, pa.list_(pa.struct([("member", pa.int64()), ("needed", pa.int64()), ("sketch", pa.binary())])))],
                 names=["doc_id", "n_shingles", "set_id", "members"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(describe, f"doc_id {kind}, n_shingles long, set_id long, members array<struct<member:long,needed:long>>")
+    return docs.mapInArrow(
+        describe, f"doc_id {kind}, n_shingles long, set_id long, members array<struct<member:long,needed:long,sketch:binary>>")
 
 
 def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
@@ -260,43 +273,86 @@ def pairs(members: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
     return m[starts], c[starts], np.diff(np.r_[starts, len(m)])
 
 
-def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Dense parity sketches, as wide as four bits per shingle of the largest set (at most 2^15 bits)."""
-    width = 256
-    while width < 4 * max(map(len, sets)) and width < 1 << 15:
-        width *= 2
-    bits = np.stack([(np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8) for s in sets])
-    return np.packbits(bits, axis=1).view(np.uint64)
+def spanning_links(size: np.ndarray, sketch: np.ndarray, side: np.ndarray | None, verify=None) -> list[tuple[int, int]]:
+    """A spanning set of the links among rows (only between the two sides, if given).
 
-
-def linked(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning set of the links among sets (only between the two sides, if given).
-
-    Sketches rule out pairs: their Hamming distance is a lower bound of the difference. Of the others
-    those in one class already need no look; the rest are verified by their intersection.
+    Rows link if their sketches do not rule it out, as the Hamming distance is a lower bound of the
+    difference, and ``verify``, if given, agrees. Rows in one class already need no look.
     """
-    size = np.array([len(s) for s in sets])
-    sketch = parity_sketches(sets)
-    label, out = np.arange(len(sets)), []
-    for a in range(len(sets) - 1):
-        far = np.bitwise_count(sketch[a + 1:] ^ sketch[a]).sum(1, dtype=np.int64)
-        near = (7 * far <= size[a] + size[a + 1:]) & (label[a + 1:] != label[a])
+    label, out = np.arange(len(size)), []
+    for a in range(len(size) - 1):
+        near = label[a + 1:] != label[a]
         if side is not None:
             near &= side[a + 1:] != side[a]
-        candidates = np.flatnonzero(near)
-        for b in candidates[np.argsort(far[candidates], kind="stable")] + a + 1:
-            if label[b] == label[a]:
-                continue
-            common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-            if 100 * common >= 75 * (size[a] + size[b] - common):
+        near &= (4 * np.minimum(size[a], size[a + 1:]) >= 3 * np.maximum(size[a], size[a + 1:]))
+        rest = np.flatnonzero(near) + a + 1
+        far = np.bitwise_count(sketch[rest] ^ sketch[a]).sum(1, dtype=np.int64)
+        close = 7 * far <= size[a] + size[rest]
+        rest, far = rest[close], far[close]
+        for b in rest[np.argsort(far, kind="stable")]:
+            if label[b] != label[a] and (verify is None or verify(a, b)):
                 out.append((a, int(b)))
                 label[label == label[b]] = label[a]
     return out
 
 
-def verified(texts: DataFrame) -> DataFrame:
-    """Spanning links ``(a, b)`` between set ids of ``texts(family, set_id, text)``."""
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tiles(rows: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
+    """Deal rows of ``family, chunks, set_id, ...`` into tiles, pairs of a family's chunks, and do each tile's ``work``.
+
+    A tile holds about two chunks at most; ``work`` gets its rows by set id (chunk first) and whether
+    only pairs between chunks count.
+    """
+    tiled = rows.withColumn("chunk", F.pmod(F.xxhash64("set_id"), "chunks")).withColumn(
+        "mate", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    tiled = tiled.select("family", F.least("chunk", "mate").alias("i"), F.greatest("chunk", "mate").alias("j"), "chunk", "set_id", *columns)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, {}
+        for batch in batches:
+            for family, i, j, chunk, identity, *values in zip(*(c.to_pylist() for c in batch.columns)):
+                if (family, i, j) != current:
+                    if len(held) > 1:
+                        yield from work(held, current[1] != current[2])
+                    current, held = (family, i, j), {}
+                held[identity] = (chunk, *values)
+        if len(held) > 1:
+            yield from work(held, current[1] != current[2])
+
+    return tiled.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(walk, schema)
+
+
+def edges_of(ids: list[int], found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    if found:
+        a, b = zip(*found)
+        yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x in a], pa.int64()), pa.array([ids[x] for x in b], pa.int64())], names=["a", "b"])
+
+
+def sketch_links(held: dict, across: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning links of a tile as far as sketches tell; all sets of a family are of one band."""
+    chunk, size, sketch = zip(*held.values())
+    sketches = np.stack([np.frombuffer(s, np.uint64) for s in sketch])
+    yield from edges_of(list(held), spanning_links(np.array(size), sketches, np.array(chunk) if across else None))
+
+
+def verified_links(held: dict, across: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning links of a tile, verified on the whole sets; sketches give the order and rule pairs out."""
+    sets = [np.frombuffer(s, np.uint64) for _, s in held.values()]
+    size = np.array([len(s) for s in sets])
+    # Of the largest set's band; a narrower sketch is a weaker bound, no wrong one.
+    band = min(bands(int(size.max()))[0], 4)
+    sketches = np.stack([np.frombuffer(dense_sketch(s, band), np.uint64) for s in sets])
+
+    def similar(a: int, b: int) -> bool:
+        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        return 100 * common >= 75 * (size[a] + size[b] - common)
+
+    side = np.array([c for c, _ in held.values()]) if across else None
+    yield from edges_of(list(held), spanning_links(size, sketches, side, similar))
+
+
+def shingled(texts: DataFrame) -> DataFrame:
+    """Whole shingle sets for ``family, chunks, set_id, text``."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk in text_chunks(batches):
             sets = shingle_sets(chunk.column("text").to_pylist(), hashes)
@@ -307,32 +363,13 @@ def verified(texts: DataFrame) -> DataFrame:
                 [chunk.column(c).take(pa.array(same, pa.int64())) for c in ("family", "chunks", "set_id")] +
                 [pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["family", "chunks", "set_id", "shingles"])
 
-    sets = texts.mapInArrow(shingled, "family long, chunks long, set_id long, shingles binary")
-    tiled = sets.withColumn("chunk", F.pmod(F.xxhash64("set_id"), "chunks")).withColumn(
-        "mate", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    tiled = tiled.select("family", F.least("chunk", "mate").alias("i"), F.greatest("chunk", "mate").alias("j"), "chunk", "set_id", "shingles")
-    return tiled.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(verify, "a long, b long")
-
+    return texts.mapInArrow(read, "family long, chunks long, set_id long, shingles binary")
 
-def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    current, rows = None, {}
 
-    def finish() -> Iterator[pa.RecordBatch]:
-        if len(rows) > 1:
-            ids, sets = list(rows), [s for _, s in rows.values()]
-            side = np.array([c for c, _ in rows.values()]) if current[1] != current[2] else None
-            found = linked(sets, side)
-            if found:
-                a, b = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x in a], pa.int64()), pa.array([ids[x] for x in b], pa.int64())], names=["a", "b"])
-
-    for batch in batches:
-        for family, i, j, chunk, identity, shingles in zip(*(batch.column(c).to_pylist() for c in ("family", "i", "j", "chunk", "set_id", "shingles"))):
-            if (family, i, j) != current:
-                yield from finish()
-                current, rows = (family, i, j), {}
-            rows[identity] = (chunk, np.frombuffer(shingles, np.uint64))
-    yield from finish()
+def in_families(members: DataFrame) -> DataFrame:
+    """Members of families of two and more, with the number of chunks their family is dealt into."""
+    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / FAMILY_ROWS).cast("long").alias("chunks"), F.count("*").alias("n"))
+    return members.join(sizes.filter("n > 1").select(F.col("family").alias("f"), "chunks"), F.col("family") == F.col("f")).drop("f")
 
 
 def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -345,9 +382,10 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     1. Equal sets are one set. Each goes to its size band, and to the one below if partners can lie there.
     2. Segments of the sketches meet by key. A similar pair has all but ``most_difference`` segments in
        common, so sets with fewer shared segments than that have no partner and leave.
-    3. What is left falls into families connected by shared segments; links never cross families.
-    4. Within a family sketches bound the difference of each pair, and what they do not rule out is
-       verified on the whole sets, unless the pair is connected already. Large families are tiled.
+    3. What is left falls into families connected by shared segments. Dense sketches are compared within
+       them: pairs that differ in too many bits are ruled out, which leaves small families.
+    4. Whole sets of these are read, and pairs that are not connected already are verified by their
+       intersections. Families of any size are dealt into tiles of bounded size; links never cross families.
 
     Set ids and shingles are 64-bit hashes, so results are exact up to their collisions.
     """
@@ -356,19 +394,21 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     shared = settle(shared_segments(docs, slices_for(total)), "segments")
 
-    needed = sets.select(F.explode("members").alias("m"), "set_id").select("m.member", "m.needed", "set_id").distinct()
+    each = sets.filter("n_shingles > 0").groupBy("set_id").agg(
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("size"), F.first("members").alias("members"))
+    members = settle(each.select("set_id", "size", "first_id", F.inline("members")), "members")
     counts = shared.groupBy("member").agg(F.sum("n").alias("n"))
-    kept = settle(counts.join(needed, "member").filter("n >= needed").select(F.col("member").alias("kept"), "set_id"), "kept")
-    families = connected(shared.join(kept, F.col("member") == F.col("kept"), "left_semi").select(
+    kept = settle(counts.join(members.select("member", "needed"), "member").filter("n >= needed").select(F.col("member").alias("kept")), "kept")
+    hubs = connected(shared.join(kept, F.col("member") == F.col("kept"), "left_semi").select(
         F.col("member").alias("a"), F.col("centre").alias("b")))
-    members = families.join(kept, F.col("node") == F.col("kept")).select(F.col("root").alias("family"), "set_id")
-    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / FAMILY_ROWS).cast("long").alias("chunks"), F.count("*").alias("n"))
-    first = sets.filter("n_shingles > 0").groupBy(F.col("set_id").alias("s")).agg(F.min("doc_id").alias("first_id"))
-    wanted = settle(
-        members.join(sizes.filter("n > 1").drop("n"), "family").join(first, F.col("set_id") == F.col("s"))
-        .select("family", "chunks", "set_id", "first_id"), "families")
+    coarse = in_families(hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("family"), "node"))
+    sketched = coarse.join(members, F.col("node") == F.col("member")).select("family", "chunks", "set_id", "size", "sketch")
+    near = connected(tiles(sketched, ["size", "sketch"], sketch_links, "a long, b long"))
+
+    fine = in_families(near.select(F.col("root").alias("family"), F.col("node").alias("set_id")))
+    wanted = settle(fine.join(members.select(F.col("set_id").alias("s"), "first_id").distinct(), F.col("set_id") == F.col("s")).drop("s"), "families")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("family", "chunks", "set_id", "text")
-    roots = connected(verified(texts))
+    roots = connected(tiles(shingled(texts), ["shingles"], verified_links, "a long, b long"))
 
     grouped = sets.select("doc_id", "n_shingles", "set_id").join(roots, F.col("set_id") == F.col("node"), "left").withColumn(
         "group", F.coalesce("root", "set_id"))
