@@ -74,13 +74,13 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
                 scores = exact(queries[q], rows, qi, ci).astype(np.float64)
                 scores[query_ids[q][qi] == ids[ci]] = -np.inf
                 limit = -np.partition(-scores.reshape(len(q), -1), k - 1, axis=1)[:, k - 1]
-            qi, ci = np.nonzero(coarse >= (limit - slack)[:, None])
-            ci += c
+            near = coarse >= (limit - slack)[:, None]
             for fine_q, fine_c in stats[1:]:
-                bound = np.concatenate([np.einsum("ij,ij->i", fine_q[q[qi[m:m + 65536]]], fine_c[ci[m:m + 65536]])
-                                        for m in range(0, max(1, len(qi)), 65536)])
-                near = bound >= limit[qi] - slack
-                qi, ci = qi[near], ci[near]
+                # Finer bounds for the queries and rows that the coarser ones left.
+                some_q, some_c = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+                near[np.ix_(some_q, some_c)] &= fine_q[q[some_q]] @ fine_c[c + some_c].T >= (limit[some_q] - slack)[:, None]
+            qi, ci = np.nonzero(near)
+            ci += c
             other = query_ids[q[qi]] != ids[ci]
             qi, ci = qi[other], ci[other]
             scores = exact(queries[q], rows, qi, ci)
