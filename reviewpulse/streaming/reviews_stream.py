@@ -44,7 +44,7 @@ def dedupe(stream: DataFrame, folder: str, order: str = "ingest_seq") -> DataFra
 
     _each_batch(stream, write, f"{folder}/log")
     stored = stream.sparkSession.read.schema(schema).parquet(f"{folder}/data")
-    return first_per_key(stored, ["review_id"], [order])
+    return first_per_key(stored.select(*stream.columns), ["review_id"], [order])
 
 
 def volume(stream: DataFrame, ts: str, size: str, folder: str) -> DataFrame:
