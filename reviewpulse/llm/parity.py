@@ -401,8 +401,11 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     kept = settle(counts.join(members.select("member", "needed"), "member").filter("n >= needed").select(F.col("member").alias("kept")), "kept")
     hubs = connected(shared.join(kept, F.col("member") == F.col("kept"), "left_semi").select(
         F.col("member").alias("a"), F.col("centre").alias("b")))
-    coarse = in_families(hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("family"), "node"))
-    sketched = coarse.join(members, F.col("node") == F.col("member")).select("family", "chunks", "set_id", "size", "sketch")
+    coarse = hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("hub"), "node")
+    # A chance match of shortened keys can connect bands, whose sketches differ in width; links never do.
+    banded = coarse.join(members, F.col("node") == F.col("member")).select(
+        F.xxhash64("hub", F.octet_length("sketch")).alias("family"), "set_id", "size", "sketch")
+    sketched = in_families(settle(banded, "banded"))
     near = connected(tiles(sketched, ["size", "sketch"], sketch_links, "a long, b long"))
 
     fine = in_families(near.select(F.col("root").alias("family"), F.col("node").alias("set_id")))
