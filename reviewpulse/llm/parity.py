@@ -33,6 +33,8 @@ HELD_ROWS = 1 << 21
 # Members of a family that one task compares with each other; larger families are tiled.
 FAMILY_ROWS = 1024
 HELD_WORDS = 400_000
+# A stored table of a few numbers per row is broadcast up to so many rows (some 30 MB); larger ones are shuffled.
+BROADCAST_ROWS = 250_000
 
 
 class WordHashes(dict):
@@ -366,6 +368,11 @@ def shingled(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(read, "family long, chunks long, set_id long, shingles binary")
 
 
+def small(stored: DataFrame) -> DataFrame:
+    """A stored narrow table, to be broadcast if its counted size allows, so that texts and sketches stay where they are."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def in_families(members: DataFrame) -> DataFrame:
     """Members of families of two and more, with the number of chunks their family is dealt into."""
     sizes = members.groupBy("family").agg(F.ceil(F.count("*") / FAMILY_ROWS).cast("long").alias("chunks"), F.count("*").alias("n"))
@@ -401,16 +408,16 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     kept = settle(counts.join(members.select("member", "needed"), "member").filter("n >= needed").select(F.col("member").alias("kept")), "kept")
     hubs = connected(shared.join(kept, F.col("member") == F.col("kept"), "left_semi").select(
         F.col("member").alias("a"), F.col("centre").alias("b")))
-    coarse = hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("hub"), "node")
+    coarse = settle(hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("hub"), "node"), "coarse")
     # A chance match of shortened keys can connect bands, whose sketches differ in width; links never do.
-    banded = coarse.join(members, F.col("node") == F.col("member")).select(
+    banded = members.join(small(coarse), F.col("node") == F.col("member")).select(
         F.xxhash64("hub", F.octet_length("sketch")).alias("family"), "set_id", "size", "sketch")
     sketched = in_families(settle(banded, "banded"))
     near = connected(tiles(sketched, ["size", "sketch"], sketch_links, "a long, b long"))
 
     fine = in_families(near.select(F.col("root").alias("family"), F.col("node").alias("set_id")))
     wanted = settle(fine.join(members.select(F.col("set_id").alias("s"), "first_id").distinct(), F.col("set_id") == F.col("s")).drop("s"), "families")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("family", "chunks", "set_id", "text")
+    texts = docs.join(small(wanted), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("family", "chunks", "set_id", "text")
     roots = connected(tiles(shingled(texts), ["shingles"], verified_links, "a long, b long"))
 
     grouped = sets.select("doc_id", "n_shingles", "set_id").join(roots, F.col("set_id") == F.col("node"), "left").withColumn(
