@@ -379,6 +379,18 @@ def in_families(members: DataFrame) -> DataFrame:
     return members.join(sizes.filter("n > 1").select(F.col("family").alias("f"), "chunks"), F.col("family") == F.col("f")).drop("f")
 
 
+def routes(shared: DataFrame, kept: DataFrame) -> DataFrame:
+    """Edges ``a, b`` that lead kept members which share a segment to each other.
+
+    A task sends on only its smallest member of a segment, so a kept member reaches the segment's smallest
+    member over its task's one. That one's rows count whether it is kept or not.
+    """
+    own = shared.join(kept, F.col("member") == F.col("kept"), "left_semi")
+    ways = settle(own.select(F.col("centre").alias("way")).unionAll(kept.select("kept")).distinct(), "ways")
+    return shared.join(ways, F.col("member") == F.col("way"), "left_semi").select(
+        F.col("member").alias("a"), F.col("centre").alias("b"))
+
+
 def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.75 or more.
 
@@ -406,8 +418,7 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     members = settle(each.select("set_id", "size", "first_id", F.inline("members")), "members")
     counts = shared.groupBy("member").agg(F.sum("n").alias("n"))
     kept = settle(counts.join(members.select("member", "needed"), "member").filter("n >= needed").select(F.col("member").alias("kept")), "kept")
-    hubs = connected(shared.join(kept, F.col("member") == F.col("kept"), "left_semi").select(
-        F.col("member").alias("a"), F.col("centre").alias("b")))
+    hubs = connected(routes(shared, kept))
     coarse = settle(hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("hub"), "node"), "coarse")
     # A chance match of shortened keys can connect bands, whose sketches differ in width; links never do.
     banded = members.join(small(coarse), F.col("node") == F.col("member")).select(
