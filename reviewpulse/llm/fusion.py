@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from ..sources.shared import settle
 from .common import text_chunks, with_unique_names
 
-# Labelled rows that the text model is fitted on: about this many, chosen by a hash of their ids.
+# Labelled rows that the text model is fitted on: about this many, chosen by a hash, and of each label at least
+# about so many, or all of a rarer one.
 TRAIN_ROWS = 20_000
+LABEL_ROWS = 2_000
 # Three-byte grams are hashed into this many slots; part of each distribution is uniform.
 SLOTS = 1 << 15
 UNIFORM = 0.1
@@ -58,25 +60,38 @@ class TextModel:
 
 
 def train(labelled: DataFrame, id_column: str, text_column: str, label_column: str, rows: int = TRAIN_ROWS) -> TextModel:
-    """Fit the text model on about ``rows`` labelled rows; rows with a null label are left out."""
+    """Fit the text model on about ``rows`` labelled rows, and at least about ``LABEL_ROWS`` of every label, or all it has.
+
+    Every label of the input is a class at any input size; rows with a null label are left out. Priors do
+    not come from here: ``identify`` takes them from all rows.
+    """
     data = with_unique_names(labelled, id=id_column, text=text_column, label=label_column).filter("label IS NOT NULL")
-    total = max(1, data.count())
-    share = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
+    # By id and text: rows whose ids are null or repeat are chosen one by one, too.
+    data = data.withColumn("share", F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(1 << 30)) / float(1 << 30))
+    labels = settle(data.groupBy("label").agg(F.count("*").alias("n"), F.min("share").alias("least")), "labels")
+    total = labels.agg(F.sum("n")).first()[0] or 1
+    # Up to its least share at least, so that no label is without rows.
+    limits = labels.select(F.col("label").alias("of"), F.greatest(
+        F.lit(rows / total), F.lit(float(LABEL_ROWS)) / F.col("n"), F.col("least")).alias("limit"))
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         held = np.zeros(SLOTS, np.int64)
         for text in pdf["text"]:
             held += gram_counts(text)
-        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "counts": [held]})
+        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "counts": [held.tobytes()]})
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = sum(np.frombuffer(counts, np.int64) for counts in pdf["counts"])
+        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "counts": [held.tobytes()]})
 
     # Dealt by row within each label, so that a language most rows have is counted by many tasks.
-    sample = data.filter(share < rows / total).withColumn("deal", F.pmod(F.xxhash64("id", "text"), F.lit(16)))
-    parts = sample.groupBy("label", "deal").applyInPandas(count, "label string, counts array<long>")
-    sums: dict[str, np.ndarray] = {}
-    # At most 16 rows of a fixed size per language.
-    for label, counts in zip(*(parts.toArrow().column(c).to_pylist() for c in ("label", "counts"))):
-        sums[label] = sums.get(label, 0) + np.array(counts)
-    return TextModel(sums)
+    sample = data.join(F.broadcast(limits), F.col("label") == F.col("of")).filter("share <= limit").withColumn(
+        "deal", F.pmod(F.xxhash64("id", "text"), F.lit(16)))
+    parts = sample.groupBy("label", "deal").applyInPandas(count, "label string, counts binary")
+    # One row of a fixed size per language.
+    sums = parts.groupBy("label").applyInPandas(add_up, "label string, counts binary").toArrow()
+    return TextModel({label: np.frombuffer(counts, np.int64) for label, counts in zip(
+        *(sums.column(c).to_pylist() for c in ("label", "counts")))})
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:

@@ -3,8 +3,9 @@
 from itertools import permutations
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from reviewpulse.llm import parity
+from reviewpulse.llm import fusion, parity
 
 
 def member_of(text):
@@ -30,3 +31,13 @@ def test_near_copies_in_different_tasks_meet_over_texts_that_quote_them(spark):
     docs = spark.createDataFrame(spark.sparkContext.parallelize(first + second, 2), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in parity.similar_groups(docs).collect()}
     assert got == {i: i - 2 if i % 10 == 2 else i for i, _ in first + second}
+
+
+def test_rare_labels_stay_classes_on_large_inputs(frame):
+    rows = [(i, "the cat and the dog of the house with this", "en") for i in range(2000)]
+    rare = [(5000 + i, "η γάτα και ο σκύλος του σπιτιού", "el") for i in range(3)] + [(None, "кошка и собака в этом доме", "ru")]
+    docs = frame(rows + rare, "id long, text string, lang string")
+    model = fusion.train(docs, "id", "text", "lang", rows=20)
+    assert model.classes == ["el", "en", "ru", "und"]
+    found = fusion.identify(docs, model, "id", "text", F.col("lang"), F.lit(None).cast("string"))
+    assert found.filter("declared <> language OR NOT accepted").count() == 0
