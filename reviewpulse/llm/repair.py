@@ -22,8 +22,7 @@ from .encoding import shared_encoder
 MAGIC = b"RPIDS1\n\x00"
 # Ids after which a task closes a shard; bounds the memory of grammar building and of reading.
 SHARD_IDS = 1 << 21
-# Rounds of replacement, and how often a pair must occur to get a rule.
-ROUNDS = 6
+# How often a pair must occur to get a rule; rounds of replacement go on as long as one does.
 LEAST_PAIRS = 24
 COUNTERS = 1 << 20
 # Odd numbers that spread pairs over the counters, one per round.
@@ -71,17 +70,46 @@ def replace_pairs(ids: np.ndarray, first_symbol: int, least: int, salt: int = 0)
     return out[keep], np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST_PAIRS) -> tuple[int, np.ndarray, np.ndarray]:
-    """Grammar of a sequence: the first nonterminal, the rules (pairs of symbols), the sequence left over."""
+def replace_most_frequent(ids: np.ndarray, symbol: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """One rule for the pair that occurs most, by exact counts; none if no pair occurs ``least`` times."""
+    none = np.empty((0, 2), np.uint32)
+    if len(ids) < 2:
+        return ids, none
+    pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
+    kinds, counts = np.unique(pair, return_counts=True)
+    if counts.max() < least:
+        return ids, none
+    most = kinds[counts.argmax()]
+    at = np.flatnonzero(pair == most)
+    # Occurrences overlap only in runs of one id: every other one is taken.
+    starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    run = np.repeat(starts, np.diff(np.r_[starts, len(at)]))
+    at = at[(np.arange(len(at)) - run) & 1 == 0]
+    out = ids.copy()
+    out[at] = symbol
+    keep = np.ones(len(ids), bool)
+    keep[at + 1] = False
+    return out[keep], np.array([[most >> np.uint64(32), most & np.uint64(0xFFFFFFFF)]], np.uint32)
+
+
+def compress(ids: np.ndarray, least: int = LEAST_PAIRS) -> tuple[int, np.ndarray, np.ndarray]:
+    """Grammar of a sequence: the first nonterminal, the rules (pairs of symbols), the sequence left over.
+
+    Ends when no pair of the sequence left occurs ``least`` times. Each rule shortens it, so it ends.
+    """
+    least = max(2, least)
     terminals = int(ids.max()) + 1 if len(ids) else 0
     rules, left = [np.empty((0, 2), np.uint32)], ids.astype(np.uint32)
-    first = terminals
-    for turn in range(rounds):
+    first, turn = terminals, 0
+    while True:
         left, new = replace_pairs(left, first, least, turn)
+        if not len(new):
+            # Frequent pairs can hide behind others of their counter.
+            left, new = replace_most_frequent(left, first, least)
         if not len(new):
             break
         rules.append(new)
-        first += len(new)
+        first, turn = first + len(new), turn + 1
     return terminals, np.concatenate(rules), left
 
 

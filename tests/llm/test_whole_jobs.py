@@ -5,7 +5,7 @@ from itertools import permutations
 import numpy as np
 from pyspark.sql import functions as F
 
-from reviewpulse.llm import fusion, parity
+from reviewpulse.llm import fusion, parity, repair
 
 
 def member_of(text):
@@ -41,3 +41,15 @@ def test_rare_labels_stay_classes_on_large_inputs(frame):
     assert model.classes == ["el", "en", "ru", "und"]
     found = fusion.identify(docs, model, "id", "text", F.col("lang"), F.lit(None).cast("string"))
     assert found.filter("declared <> language OR NOT accepted").count() == 0
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 50_000, 3000).astype(np.uint32)
+    ids = np.concatenate([np.r_[passage, rng.integers(0, 50_000, 50)] for _ in range(40)]).astype(np.uint32)
+    terminals, rules, left = repair.compress(ids)
+    pairs = (left[:-1].astype(np.uint64) << np.uint64(32)) | left[1:]
+    assert np.unique(pairs, return_counts=True)[1].max() < repair.LEAST_PAIRS
+    # A passage that 40 documents have is about one symbol in each.
+    assert len(left) < 40 * 60
+    assert (repair.expand(left, terminals, rules) == ids).all()
