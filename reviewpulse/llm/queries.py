@@ -13,6 +13,7 @@ from . import mixing
 from . import packing
 from . import parity
 from . import repair
+from . import runs
 from . import token_counts as tc
 from . import topk
 from . import warc
@@ -77,6 +78,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query("op11_word_runs")
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    repeated = documents.withColumn("text", runs.with_planted_repeat(F.col("text"), F.col("doc_id")))
+    return runs.run_digests(runs.word_runs(repeated))
+
+
 @query("page_language_id")
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages: the text model comes from labelled documents, the other evidence from markup and address."""
