@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import bloom_lm
 from . import fusion
 from . import itq
+from . import lexical
 from . import mixing
 from . import packing
 from . import parity
@@ -16,6 +17,7 @@ from . import repair
 from . import runs
 from . import token_counts as tc
 from . import topk
+from . import toxicity
 from . import warc
 from .common import table
 from .registry import query
@@ -85,6 +87,16 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.word_runs(repeated))
 
 
+@query("op12_ranked_lexical_search", lexical.SQL)
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("page_language_id")
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages: the text model comes from labelled documents, the other evidence from markup and address."""
