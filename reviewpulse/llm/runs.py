@@ -260,14 +260,18 @@ def with_planted_repeat(text: Column, doc_id: Column) -> Column:
     """
     check = F.crc32(doc_id.cast("string").cast("binary"))
     seed = F.floor(check / 10)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n = F.size(words)
-    first = (seed % n).cast("int")
-    period = F.lit(1) + F.floor((n - first) / (3 + seed % 8)).cast("int")
-    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < first, i).otherwise(first + (i - first) % period))
-    repeated = F.array_join(F.transform(place, lambda i: F.get(words, i)), " ")
-    planted = (check % 10 == 0) & text.rlike(WORD)
-    return F.when(planted, repeated).otherwise(text)
+
+    def changed(words: Column) -> Column:
+        n = F.size(words)
+        first = (seed % n).cast("int")
+        period = F.lit(1) + F.floor((n - first) / (3 + seed % 8)).cast("int")
+        times = F.ceil((n - first) / period).cast("int")
+        repeat = F.flatten(F.array_repeat(F.slice(words, first + 1, period), times))
+        return F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), first), repeat), F.lit(1), n), " ")
+
+    # Bound as a variable, the words are cut once and not once per use.
+    bound = F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), changed)[0]
+    return F.when((check % 10 == 0) & text.rlike(WORD), bound).otherwise(text)
 
 
 def run_digests(found: DataFrame) -> DataFrame:
