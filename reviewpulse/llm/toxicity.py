@@ -7,6 +7,7 @@ they stand to words of address, and how a text is written (capitals, punctuation
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,8 +42,10 @@ STEMS = range(4, 9)
 # Words within this distance of a word of address count as addressed to somebody.
 NEAR = 6
 TREES, DEPTH, STEP = 24, 4, 0.25
-# Distinct words a task remembers before it forgets them; counted terms it holds before it passes them on.
+# Distinct words a task remembers before it forgets them, also counted terms it holds before it passes them on; distinct
+# tokens whose terms it remembers while it counts.
 HELD_WORDS = 200_000
+HELD_TOKENS = 50_000
 
 # Pronouns of the second person (English, German, French, Spanish).
 ADDRESS = frozenset(
@@ -93,11 +96,17 @@ def term_documents(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Counter] = [Counter() for _ in names]
+        known: dict[str, list[str]] = {}
         for chunk in text_chunks(batches, max_bytes=2 << 20):
             kinds = (2 * chunk.column("fold").to_numpy() + chunk.column("toxic").to_numpy()).tolist()
             for text, kind in zip(chunk.column("text").to_pylist(), kinds):
-                own = {plain_word(t)[0] for t in set((text or "").split())}
-                held[kind].update({t for w in own if w for t in terms_of(w)})
+                own = set((text or "").split())
+                if len(known) > HELD_TOKENS:
+                    known.clear()
+                for token in own.difference(known):
+                    word = plain_word(token)[0]
+                    known[token] = terms_of(word) if word else []
+                held[kind].update(set().union(*map(known.__getitem__, own)))
             if sum(map(len, held)) > HELD_WORDS:
                 yield emit(held)
                 held = [Counter() for _ in names]
@@ -129,50 +138,57 @@ def lexicon(counts: DataFrame, sizes: dict[tuple[int, int], int], folds: list[in
 
 # ---- features --------------------------------------------------------------------------------
 
-def text_features(text: str | None, odds: dict[str, float], memo: dict) -> list[float]:
+class Words:
+    """What is known of each token, looked up once per distinct token; forgotten when too many are held."""
+
+    def __init__(self, odds: dict[str, float]) -> None:
+        self.odds, self.row, self.word = odds, {}, {}
+        self.facts = np.zeros((1 << 12, 7))
+
+    def look_up(self, tokens: list[str], distinct: set[str]) -> np.ndarray:
+        """Per token: log odds, address, disguised, shouted, capital, stretched, number of its plain word."""
+        new = distinct.difference(self.row)
+        if len(self.row) + len(new) > HELD_WORDS:
+            self.row, self.word, new = {}, {}, distinct
+        if len(self.row) + len(new) > len(self.facts):
+            grown = np.zeros((2 * (len(self.row) + len(new)), self.facts.shape[1]))
+            grown[:len(self.row)] = self.facts[:len(self.row)]
+            self.facts = grown
+        for token in new:
+            at = self.row[token] = len(self.row)
+            word, hidden = plain_word(token)
+            best = max((self.odds.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
+            self.facts[at] = (best, word in ADDRESS, hidden, len(word) > 1 and token.isupper(), token[:1].isupper(),
+                              STRETCHED.search(token.lower()) is not None, self.word.setdefault(word, len(self.word)))
+        return self.facts[np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))]
+
+
+def text_features(text: str | None, words: Words) -> list[float]:
     """The dense features of one text; an empty text has zeros."""
     tokens = text.split() if text else []
     n = len(tokens)
     if not n:
         return [0.0] * len(FEATURES)
-    strong, mild, address, seen = [], 0, [], {}
-    capitals = shouted = disguised = stretched = 0
-    for at, token in enumerate(tokens):
-        known = memo.get(token)
-        if known is None:
-            word, hidden = plain_word(token)
-            best = max((odds.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
-            upper = token[:1].isupper()
-            known = memo[token] = (word, best, word in ADDRESS, hidden, upper and len(word) > 1 and token.isupper(), upper,
-                                   STRETCHED.search(token.lower()) is not None)
-        word, best, to_you, hidden, shout, upper, long = known
-        if best >= MILD:
-            mild += 1
-            seen[word] = best
-            if best >= STRONG:
-                strong.append(at)
-        if to_you:
-            address.append(at)
-        disguised += hidden
-        shouted += shout
-        capitals += upper
-        stretched += long
-    size = len(text)
-    marks = sum(text.count(c) for c in "!?*#$%&@|")
-    digits = sum(text.count(c) for c in "0123456789")
+    distinct = set(tokens)
+    facts = words.look_up(tokens, distinct)
+    best, address = facts[:, 0], np.flatnonzero(facts[:, 1])
+    strong, mild = np.flatnonzero(best >= STRONG), np.flatnonzero(best >= MILD)
+    _, first = np.unique(facts[mild, 6], return_index=True)
+    odds = best[mild][first]
     near = 0.0
-    if strong and address:
-        places = np.array(address)
-        at = np.array(strong)
-        right = np.searchsorted(places, at)
-        gap = np.minimum(np.abs(places[np.minimum(right, len(places) - 1)] - at), np.abs(at - places[np.maximum(right - 1, 0)]))
+    if len(strong) and len(address):
+        right = np.searchsorted(address, strong)
+        gap = np.minimum(np.abs(address[np.minimum(right, len(address) - 1)] - strong), np.abs(strong - address[np.maximum(right - 1, 0)]))
         near = float((gap <= NEAR).mean())
-    kinds = sum(o >= STRONG for o in seen.values())
+    _, _, disguised, shouted, capitals, stretched = facts[:, :6].sum(axis=0).tolist()
+    size = len(text)
+    marks = sum(map(text.count, "!?*#$%&@|"))
+    digits = sum(map(text.count, "0123456789"))
     return [
-        len(strong) / n, float(np.log1p(len(strong))), float(kinds), mild / n, float(len(seen)), max(seen.values(), default=0.0),
-        sum(seen.values()) / max(1, len(set(tokens))), len(address) / n, near, capitals / n, shouted / n, marks / size,
-        len(SHOUT.findall(text)) / n, disguised / n, stretched / n, digits / size, float(np.log1p(n)),
-        len(set(tokens)) / n, size / n,
+        len(strong) / n, math.log1p(len(strong)), float((odds >= STRONG).sum()), len(mild) / n, float(len(odds)),
+        float(odds.max(initial=0.0)), float(odds.sum()) / len(distinct), len(address) / n, near, capitals / n, shouted / n,
+        marks / size, len(SHOUT.findall(text)) / n, disguised / n, stretched / n, digits / size, math.log1p(n),
+        len(distinct) / n, size / n,
     ]
 
 
@@ -181,14 +197,10 @@ def with_features(rows: DataFrame, lexicons: list[dict[str, float]], keep: dict[
     shared = rows.sparkSession.sparkContext.broadcast(lexicons)
 
     def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memos: list[dict] = [{} for _ in shared.value]
+        known = [Words(odds) for odds in shared.value]
         for chunk in text_chunks(batches, max_bytes=2 << 20):
-            folds = chunk.column("fold").to_pylist() if len(memos) > 1 else [0] * chunk.num_rows
-            found = []
-            for text, fold in zip(chunk.column("text").to_pylist(), folds):
-                if len(memos[fold]) > HELD_WORDS:
-                    memos[fold].clear()
-                found.append(text_features(text, shared.value[fold], memos[fold]))
+            folds = chunk.column("fold").to_pylist() if len(known) > 1 else [0] * chunk.num_rows
+            found = [text_features(text, known[fold]) for text, fold in zip(chunk.column("text").to_pylist(), folds)]
             yield pa.RecordBatch.from_arrays(
                 [*[chunk.column(c) for c in keep], pa.array(found, pa.list_(pa.float64()))], names=[*keep, "features"])
 

@@ -21,7 +21,7 @@ def test_plain_words(token, word, hidden):
 
 
 def features(text, odds=None):
-    return dict(zip(tox.FEATURES, tox.text_features(text, odds or {"idiot": 5.0, "fool~": 2.0}, {})))
+    return dict(zip(tox.FEATURES, tox.text_features(text, tox.Words(odds or {"idiot": 5.0, "fool~": 2.0}))))
 
 
 def test_features():
@@ -33,6 +33,14 @@ def test_features():
     assert set(features(None).values()) == set(features("").values()) == set(features(" \n").values()) == {0.0}
 
 
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tox, "HELD_WORDS", 5)
+    words = tox.Words({"idiot": 5.0})
+    for text in ("a b c d", "e f idiot h", "a idiot b c d e f g h i j", "idiot"):
+        alone = tox.text_features(text, tox.Words({"idiot": 5.0}))
+        assert tox.text_features(text, words) == alone and len(words.row) <= max(5, len(text.split()))
+
+
 def test_op13_held_out(spark):
     """The words of one table's labels find the toxic documents that the model has not seen."""
     folder = SF.replace("sf0.001", "sf0.01")
