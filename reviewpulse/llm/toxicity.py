@@ -33,6 +33,8 @@ FOLDS = 4
 CALIBRATION = 4
 # Bound of the learned lexicon; it is sent to the workers (about 20 bytes a term).
 LEXICON_TERMS = 4096
+# Bound of the terms that are counted among clean documents: the most frequent ones of the toxic ones.
+CANDIDATES = 1 << 18
 # A term needs so many toxic documents and this many standard errors between its log odds and none.
 LEAST_DOCUMENTS, LEAST_ERRORS = 3, 3.0
 # Log odds from which a term counts as strong, and those from which it counts at all.
@@ -90,23 +92,28 @@ def terms_of(word: str) -> list[str]:
 
 # ---- lexicon ---------------------------------------------------------------------------------
 
-def term_documents(rows: DataFrame) -> DataFrame:
-    """Documents per term over ``rows(text, toxic, fold)``: ``clean0, toxic0, clean1, ...``; counted per task first."""
-    names = [f"{kind}{fold}" for fold in range(FOLDS) for kind in ("clean", "toxic")]
+def term_documents(rows: DataFrame, name: str, only: list[str] | None = None) -> DataFrame:
+    """Documents per term and fold over ``rows(text, fold)`` as ``term, name0, name1, ...``, all terms or only some.
+
+    Counted per task first.
+    """
+    names = [f"{name}{fold}" for fold in range(FOLDS)]
+    shared = rows.sparkSession.sparkContext.broadcast(None if only is None else frozenset(only))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
         held: list[Counter] = [Counter() for _ in names]
         known: dict[str, list[str]] = {}
         for chunk in text_chunks(batches, max_bytes=2 << 20):
-            kinds = (2 * chunk.column("fold").to_numpy() + chunk.column("toxic").to_numpy()).tolist()
-            for text, kind in zip(chunk.column("text").to_pylist(), kinds):
+            for text, fold in zip(chunk.column("text").to_pylist(), chunk.column("fold").to_pylist()):
                 own = set((text or "").split())
                 if len(known) > HELD_TOKENS:
                     known.clear()
                 for token in own.difference(known):
                     word = plain_word(token)[0]
-                    known[token] = terms_of(word) if word else []
-                held[kind].update(set().union(*map(known.__getitem__, own)))
+                    listed = terms_of(word) if word else []
+                    known[token] = listed if wanted is None else [t for t in listed if t in wanted]
+                held[fold].update(set().union(*map(known.__getitem__, own)))
             if sum(map(len, held)) > HELD_WORDS:
                 yield emit(held)
                 held = [Counter() for _ in names]
@@ -117,10 +124,22 @@ def term_documents(rows: DataFrame) -> DataFrame:
         counts = [pa.array([c[t] for t in terms], pa.int64()) for c in held]
         return pa.RecordBatch.from_arrays([as_strings(terms), *counts], names=["term", *names])
 
-    partial = rows.select("text", "toxic", "fold").mapInArrow(count, "term string, " + ", ".join(f"{c} long" for c in names))
+    partial = rows.select("text", "fold").mapInArrow(count, "term string, " + ", ".join(f"{c} long" for c in names))
     return partial.groupBy("term").agg(*[F.sum(c).alias(c) for c in names])
 
 
+def term_counts(sample: DataFrame) -> DataFrame:
+    """Clean and toxic documents per fold of every term with enough toxic documents, at most ``CANDIDATES`` of them.
+
+    Most words never occur in a toxic document; they are not counted among the clean ones.
+    """
+    total = sum((F.col(f"toxic{f}") for f in range(FOLDS)), F.lit(0))
+    toxic = term_documents(sample.filter("toxic = 1"), "toxic").filter(total >= LEAST_DOCUMENTS)
+    toxic = settle(toxic.orderBy(F.desc(total), "term").limit(CANDIDATES), "toxic-terms")
+    clean = term_documents(sample.filter("toxic = 0"), "clean", toxic.select("term").toArrow().column(0).to_pylist())
+    return settle(toxic.join(clean, "term", "left").na.fill(0), "term-counts")
+
+
 def lexicon(counts: DataFrame, sizes: dict[tuple[int, int], int], folds: list[int]) -> dict[str, float]:
     """Terms and log odds in some folds, the surest ``LEXICON_TERMS`` of those that mark toxic documents."""
     n_clean, n_toxic = (sum(sizes.get((f, y), 0) for f in folds) for y in (0, 1))
@@ -138,29 +157,48 @@ def lexicon(counts: DataFrame, sizes: dict[tuple[int, int], int], folds: list[in
 
 # ---- features --------------------------------------------------------------------------------
 
-class Words:
-    """What is known of each token, looked up once per distinct token; forgotten when too many are held."""
+class Words(dict):
+    """Token -> row of ``facts``; looked up once per distinct token, and equal facts share a row.
+
+    A row holds log odds, address, disguised, shouted, capital, stretched, and the number of the word if its odds count.
+    """
 
     def __init__(self, odds: dict[str, float]) -> None:
-        self.odds, self.row, self.word = odds, {}, {}
-        self.facts = np.zeros((1 << 12, 7))
-
-    def look_up(self, tokens: list[str], distinct: set[str]) -> np.ndarray:
-        """Per token: log odds, address, disguised, shouted, capital, stretched, number of its plain word."""
-        new = distinct.difference(self.row)
-        if len(self.row) + len(new) > HELD_WORDS:
-            self.row, self.word, new = {}, {}, distinct
-        if len(self.row) + len(new) > len(self.facts):
-            grown = np.zeros((2 * (len(self.row) + len(new)), self.facts.shape[1]))
-            grown[:len(self.row)] = self.facts[:len(self.row)]
-            self.facts = grown
-        for token in new:
-            at = self.row[token] = len(self.row)
+        self.odds, self.heads = odds, {t[:min(STEMS)].rstrip("~") for t in odds}
+        self.start()
+
+    def start(self) -> None:
+        self.clear()
+        self.row: dict[tuple, int] = {}
+        self.word: dict[str, int] = {}
+        self.facts = np.zeros((64, 7))
+
+    def __missing__(self, token: str) -> int:
+        word = token.lower()
+        stretched = STRETCHED.search(word) is not None
+        hidden = False
+        if stretched or not word.isalpha():
             word, hidden = plain_word(token)
-            best = max((self.odds.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
-            self.facts[at] = (best, word in ADDRESS, hidden, len(word) > 1 and token.isupper(), token[:1].isupper(),
-                              STRETCHED.search(token.lower()) is not None, self.word.setdefault(word, len(self.word)))
-        return self.facts[np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))]
+        best = 0.0
+        if word[:min(STEMS)] in self.heads:
+            best = max(self.odds.get(t, 0.0) for t in terms_of(word))
+        facts = (best, word in ADDRESS, hidden, len(word) > 1 and token.isupper(), token[:1].isupper(), stretched,
+                 self.word.setdefault(word, len(self.word)) if best >= MILD else -1)
+        at = self.row.get(facts)
+        if at is None:
+            at = self.row[facts] = len(self.row)
+            if at == len(self.facts):
+                self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
+            self.facts[at] = facts
+        self[token] = at
+        return at
+
+    def look_up(self, tokens: list[str]) -> np.ndarray:
+        """The facts of each token."""
+        if len(self) > HELD_WORDS:
+            self.start()
+        rows = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        return self.facts[rows]
 
 
 def text_features(text: str | None, words: Words) -> list[float]:
@@ -170,7 +208,7 @@ def text_features(text: str | None, words: Words) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     distinct = set(tokens)
-    facts = words.look_up(tokens, distinct)
+    facts = words.look_up(tokens)
     best, address = facts[:, 0], np.flatnonzero(facts[:, 1])
     strong, mild = np.flatnonzero(best >= STRONG), np.flatnonzero(best >= MILD)
     _, first = np.unique(facts[mild, 6], return_index=True)
@@ -262,7 +300,7 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     if not clean or not toxic:
         return ToxicityModel({}, share)
 
-    counts = settle(term_documents(sample), "toxic-terms")
+    counts = term_counts(sample)
     everything = lexicon(counts, sizes, list(range(FOLDS)))
     crossed = [lexicon(counts, sizes, [f for f in range(FOLDS) if f != fold]) for fold in range(FOLDS)]
     described = settle(with_features(sample, crossed, {"toxic": "int", "held": "boolean"}), "toxic-features")
