@@ -6,13 +6,16 @@ Every function maps a DataFrame to a DataFrame. ``by`` names batch columns (for
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import stats, text, values
 from ..sources.shared import settle
-from .keyed import attach_facts, first_per_key, with_scalar
+from .keyed import attach_facts, with_scalar
 
 
 def derive(raw: DataFrame) -> DataFrame:
@@ -91,11 +94,12 @@ def busy_hour_threshold(hourly: DataFrame, by: list[str] | None = None) -> DataF
 def hour_facts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """One row per hour with its count and whether it is busy, plus one row for a missing time.
 
-    Without any parseable time the threshold is 0, so every row counts as anomalous.
+    Without any parseable time the threshold is 0, so every row counts as anomalous. Hours are counted in one pass
+    and stored; the threshold and the facts both read that table.
     """
     by = by or []
     counts = df.groupBy(*by, "hour_bucket").agg(F.count("*").alias("rows_in_hour"))
-    hourly = counts.withColumn(
+    hourly = settle(counts, "hours").withColumn(
         "hourly_count", F.when(F.col("hour_bucket").isNull(), F.lit(0)).otherwise(F.col("rows_in_hour"))
     )
     threshold = busy_hour_threshold(hourly.filter(F.col("hour_bucket").isNotNull()), by)
@@ -152,14 +156,14 @@ def flag_reviews(raw: DataFrame, by: list[str] | None = None, language: Column |
     return flag_labelled(label(raw, language), by, **join)
 
 
-def narrow(rows: DataFrame) -> DataFrame:
-    """Labelled rows without their texts, written once.
+def narrow(rows: DataFrame, *texts: str) -> DataFrame:
+    """Labelled rows without their texts (but for those named), written once.
 
     Rates, histories and counts need the flags but not the texts. They read this table several
     times instead of scanning and parsing all text again.
     """
-    texts = ["content", "content_clean", "reply_content", "at", "replied_at", "replied_at_parsed"]
-    return settle(rows.drop(*texts), "labelled")
+    wide = {"content", "content_clean", "reply_content", "at", "replied_at", "replied_at_parsed"}
+    return settle(rows.drop(*(wide - set(texts))), "labelled")
 
 
 def flag_labelled(rows: DataFrame, by: list[str] | None = None, **join) -> DataFrame:
@@ -168,8 +172,20 @@ def flag_labelled(rows: DataFrame, by: list[str] | None = None, **join) -> DataF
 
 
 def dedupe_first(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """First row per review id in file order."""
-    return first_per_key(df, [*(by or []), "review_id"], ["ingest_seq"])
+    """First row per review id in file order, found by its later repeats; ``ingest_seq`` is unique.
+
+    Ids are counted with map-side combine, and only ids that occur again are joined to (id, sequence) rows. What goes
+    is a list of sequence numbers of measured size: the rows themselves, with their texts, are neither sorted nor,
+    unless most of a large table repeats, shuffled.
+    """
+    keys = [*(by or []), "review_id"]
+    ids = df.select(*keys, "ingest_seq")
+    counts = ids.groupBy(*[F.col(k).alias(f"r_{k}") for k in keys]).agg(
+        F.min("ingest_seq").alias("first_seq"), F.count("*").alias("times"))
+    again = settle(counts.filter("times > 1").drop("times"), "repeated-ids")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys])
+    later = settle(ids.join(again, same).filter("ingest_seq > first_seq").select(F.col("ingest_seq").alias("later_seq")), "repeats")
+    return df.join(later, F.col("ingest_seq") == F.col("later_seq"), "left_anti")
 
 
 def clean_all(df: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -47,13 +47,13 @@ def p_text_hash_raw(spark, sf_dir):
 
 @query("p_time_anomaly", on_flagged("SELECT ingest_seq, hourly_count, is_time_anomaly FROM flagged"))
 def p_time_anomaly(spark, sf_dir):
-    return clean.with_time_anomaly(labelled(spark, sf_dir)).select("ingest_seq", "hourly_count", "is_time_anomaly")
+    return clean.with_time_anomaly(clean.narrow(labelled(spark, sf_dir))).select("ingest_seq", "hourly_count", "is_time_anomaly")
 
 
 @query("j_hourly_left", on_flagged("""SELECT l.ingest_seq, l.hour_bucket, COALESCE(h.hourly_count, 0) AS hourly_count
   FROM labelled l LEFT JOIN hourly h ON h.hour_bucket = l.hour_bucket"""))
 def j_hourly_left(spark, sf_dir):
-    return clean.with_time_anomaly(labelled(spark, sf_dir)).select("ingest_seq", "hour_bucket", "hourly_count")
+    return clean.with_time_anomaly(clean.narrow(labelled(spark, sf_dir))).select("ingest_seq", "hour_bucket", "hourly_count")
 
 
 @query("j_threshold_scalar", on_flagged("""SELECT h.hour_bucket, h.hourly_count, t.busy_from, h.hourly_count >= t.busy_from AS is_busy
@@ -222,12 +222,12 @@ def clean_en(spark, sf_dir):
 
 @query("w_dedupe_first", on_labelled("SELECT review_id, MIN(ingest_seq) AS ingest_seq FROM labelled GROUP BY review_id"))
 def w_dedupe_first(spark, sf_dir):
-    return clean.dedupe_first(labelled(spark, sf_dir)).select("review_id", "ingest_seq")
+    return clean.dedupe_first(clean.narrow(labelled(spark, sf_dir))).select("review_id", "ingest_seq")
 
 
 @query("w_apps_first", on_labelled("SELECT app_id, arg_min(app_name, ingest_seq) AS app_name FROM labelled GROUP BY app_id"))
 def w_apps_first(spark, sf_dir):
-    return warehouse.apps_table(labelled(spark, sf_dir))
+    return warehouse.apps_table(settle(labelled(spark, sf_dir).select("app_id", "app_name", "ingest_seq"), "app-names"))
 
 
 @query("quality_report", on_kept_flagged("""
@@ -277,5 +277,5 @@ def f_star_bands(spark, sf_dir):
 def set_distinct_characters(spark, sf_dir):
     """Reviews per distinct character."""
     chars = F.array_distinct(F.split(F.col("content_clean"), ""))
-    rows = kept(spark, sf_dir).filter("content_clean <> ''").select(F.explode(chars).alias("ch"))
+    rows = kept(spark, sf_dir, "content_clean").filter("content_clean <> ''").select(F.explode(chars).alias("ch"))
     return rows.groupBy("ch").agg(F.count("*").alias("n"))

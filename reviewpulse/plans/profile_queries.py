@@ -8,7 +8,7 @@ from ..functions import fixed_values as V
 from ..operators import clean, profile, warehouse
 from ..sources import sinks
 from ..sources.reviews import table
-from ..sources.shared import settle
+from ..sources.shared import new_path, settle
 from .base_sql import listed, on_flagged, on_kept, on_kept_flagged, on_labelled
 from .clean_queries import _names_sql
 from .registry import ORACLES, flagged, flagged_narrow, kept, kept_en, labelled, query, stored_en
@@ -118,13 +118,13 @@ def b4(spark, sf_dir):
 @query("t_inconsistent_sample", on_kept("""SELECT app_name, score, content, sentiment_keyword, is_inconsistent_rating
   FROM kept_en WHERE is_inconsistent_rating ORDER BY ingest_seq LIMIT 15"""))
 def t_inconsistent_sample(spark, sf_dir):
-    return profile.inconsistent_sample(kept_en(spark, sf_dir))
+    return profile.inconsistent_sample(kept_en(spark, sf_dir, "content"))
 
 
 @query("b5_top_duplicate_texts", on_kept("""SELECT text_hash, COUNT(*) AS duplicate_count, arg_min(content, ingest_seq) AS content
   FROM kept_en GROUP BY text_hash ORDER BY duplicate_count DESC, text_hash LIMIT 20"""))
 def b5(spark, sf_dir):
-    stored = settle(kept_en(spark, sf_dir).select("text_hash", "content", "ingest_seq"), "clean-texts")
+    stored = settle(kept_en(spark, sf_dir, "content").select("text_hash", "content", "ingest_seq"), "clean-texts")
     return profile.top_duplicate_texts(stored)
 
 
@@ -139,7 +139,7 @@ def t_top_hashes(spark, sf_dir):
   LEFT JOIN (SELECT text_hash, arg_min(content, ingest_seq) AS content FROM kept_en GROUP BY text_hash) e USING (text_hash)"""))
 def j_example_left(spark, sf_dir):
     """Top hashes of all languages; the example is English, so some have none."""
-    rows = settle(kept(spark, sf_dir).select("text_hash", "content", "ingest_seq", "is_en"), "clean-texts")
+    rows = settle(kept(spark, sf_dir, "content").select("text_hash", "content", "ingest_seq", "is_en"), "clean-texts")
     return profile.with_examples(profile.top_text_hashes(rows), rows.filter("is_en"))
 
 
@@ -217,18 +217,18 @@ _TOKENS = f""", tokens AS (
 @query("d1_top30_words", on_kept(
     _TOKENS + "SELECT token, COUNT(*) AS count FROM words GROUP BY token ORDER BY count DESC, token LIMIT 30"))
 def d1(spark, sf_dir):
-    return profile.top_words(kept_en(spark, sf_dir), 30)
+    return profile.top_words(kept_en(spark, sf_dir, "content_clean"), 30)
 
 
 @query("t_topk_words", on_kept(
     _TOKENS + "SELECT token, COUNT(*) AS count FROM words GROUP BY token ORDER BY count DESC, token LIMIT 25"))
 def t_topk_words(spark, sf_dir):
-    return profile.top_words(kept_en(spark, sf_dir), 25)
+    return profile.top_words(kept_en(spark, sf_dir, "content_clean"), 25)
 
 
 @query("j_stopword_anti", on_kept(_TOKENS + "SELECT token, COUNT(*) AS count FROM words GROUP BY token"))
 def j_stopword_anti(spark, sf_dir):
-    return profile.tokens(kept_en(spark, sf_dir)).groupBy("token").agg(F.count("*").alias("count"))
+    return profile.tokens(kept_en(spark, sf_dir, "content_clean")).groupBy("token").agg(F.count("*").alias("count"))
 
 
 _LOW_HIGH = _TOKENS + """, low AS (
@@ -242,13 +242,13 @@ FROM low FULL OUTER JOIN high ON low.token = high.token"""
 
 @query("d2_top_words_low_vs_high", on_kept(_LOW_HIGH))
 def d2(spark, sf_dir):
-    return profile.top_words_low_vs_high(kept_en(spark, sf_dir))
+    return profile.top_words_low_vs_high(kept_en(spark, sf_dir, "content_clean"))
 
 
 @query("j_outer_wordlists", on_kept(_LOW_HIGH))
 def j_outer_wordlists(spark, sf_dir):
     """Two separately ranked word lists aligned by a full outer join; the words are counted once."""
-    counts = settle(profile.band_word_counts(kept_en(spark, sf_dir)), "band-words").withColumnRenamed("n", "count")
+    counts = settle(profile.band_word_counts(kept_en(spark, sf_dir, "content_clean")), "band-words").withColumnRenamed("n", "count")
 
     def leaders(band):
         return counts.filter(F.col("band") == band).orderBy(F.desc("count"), "token").limit(25)
@@ -480,10 +480,9 @@ _NOT_NULL = "".join(
     SELECT app_id FROM labelled WHERE is_en)){_NOT_NULL}"""))
 def warehouse_constraints(spark, sf_dir):
     """Checked on rows that still hold repeats, with the apps of the English rows only."""
-    rows = flagged_narrow(spark, sf_dir)
-    built = warehouse.tables(rows, "raw", "2024-02-01T00:00:00Z")
-    built["apps"] = warehouse.apps_table(rows.filter("is_en"))
-    return warehouse.constraint_violations(built)
+    loaded, observed = warehouse.stage(flagged_narrow(spark, sf_dir), "raw", new_path(spark, "staged"), "2024-02-01T00:00:00Z")
+    english = loaded["reviews"].filter("is_en = 1").select("app_id").distinct()
+    return warehouse.key_violations({**loaded, "apps": english}).unionByName(warehouse.null_violations(spark, observed))
 
 
 @query("j_fk_check", on_kept("""SELECT app_id, COUNT(*) AS n_rows FROM kept WHERE app_id NOT IN (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean
 from ..sources.reviews import raw_reviews
+from ..sources.shared import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,8 +45,13 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.label(raw_reviews(spark, sf_dir))
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows written once: raw texts are scanned and parsed in one job, whatever reads them afterwards."""
+    return settle(labelled(spark, sf_dir), "labelled-rows")
+
+
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.flag_reviews(raw_reviews(spark, sf_dir))
+    return clean.flag_labelled(stored(spark, sf_dir))
 
 
 def flagged_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,18 +59,18 @@ def flagged_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.flag_labelled(clean.narrow(labelled(spark, sf_dir)))
 
 
-def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean table without the flags that need other rows."""
-    return clean.clean_all(labelled(spark, sf_dir))
+def kept(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
+    """Clean table without the flags that need other rows, and of its texts only those named."""
+    return clean.clean_all(clean.narrow(labelled(spark, sf_dir), *texts))
 
 
-def kept_en(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_en(labelled(spark, sf_dir))
+def kept_en(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
+    return kept(spark, sf_dir, *texts).filter("is_en")
 
 
 def stored_en(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English clean rows without the texts, written once: the input of sampling, which reads it often."""
-    return clean.narrow(kept_en(spark, sf_dir))
+    return settle(kept_en(spark, sf_dir), "clean-en")
 
 
 def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def scan_clean_reviews(spark, sf_dir):
 def sink_overwrite(spark, sf_dir):
     """The second write replaces the first."""
     path = new_path(spark, "table")
-    rows = kept(spark, sf_dir).select("review_id", "app_id", "content", "is_en")
+    rows = kept(spark, sf_dir, "content").select("review_id", "app_id", "content", "is_en")
     sinks.overwrite(rows, path, partition_by=["is_en"])
     sinks.overwrite(rows.filter("is_en"), path)
     return spark.read.parquet(path)

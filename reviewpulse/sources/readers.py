@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import strip
-from .schemas import APP_PLAN_SCHEMA, RAW_SCHEMA, REVIEW_CLEAN_SCHEMA
+from .schemas import APP_PLAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, REVIEW_CLEAN_SCHEMA
+from .shared import settle
 
 
 def _csv(spark: SparkSession, schema):
@@ -19,23 +20,22 @@ def _csv(spark: SparkSession, schema):
 
 
 def scan_raw_reviews(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
-    """Raw review CSV with an ``ingest_seq`` that sorts in file order; an empty source is an error.
+    """Raw review CSV with its row number in file order as ``ingest_seq``, from 0; an empty source is an error.
 
-    ``monotonically_increasing_id`` rises inside one file, and the file and block come first, so
-    the order is the same however the files are packed into tasks. Only an unquoted empty field
-    is null; the words NA, None or null in a review stay text.
+    The CSV is parsed once and stored as Parquet. A block of a file is read by one task, so its rows have consecutive
+    ids there; the rows of the blocks before it are added up over the list of blocks, which has a row per block and
+    is joined by its measured size. The numbers are the same however files are packed into tasks. Only an unquoted
+    empty field is null; the words NA, None or null in a review stay text.
     """
-    df = _csv(spark, RAW_SCHEMA).csv(path)
-    if df.isEmpty():
+    rows = settle(_csv(spark, RAW_SCHEMA).csv(path).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place")), "raw")
+    if rows.isEmpty():
         raise ValueError(f"raw input is empty: {path}")
-    df = df.select(
-        "*",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("ingest_seq"),
-    )
+    blocks = rows.groupBy("file", "block").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block")) - F.col("n")
+    shifts = settle(blocks.select("file", "block", (before - F.col("first")).alias("shift")), "raw-blocks")
+    df = rows.join(shifts, ["file", "block"]).select(*RAW_COLUMNS, (F.col("place") + F.col("shift")).alias("ingest_seq"))
     return df.withColumn("ingest_date", F.lit(ingest_date).cast("date")) if ingest_date else df
 
 

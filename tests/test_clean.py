@@ -78,7 +78,7 @@ def test_first_arrival_wins_and_null_ids_collapse(spark, raw):
 
 
 def test_group_limit_precedes_the_shuffle(spark, raw):
-    plan = clean.dedupe_first(clean.label(raw([{}])))._jdf.queryExecution().executedPlan().toString()
+    plan = keyed.first_per_key(clean.label(raw([{}])), ["review_id"], ["ingest_seq"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 

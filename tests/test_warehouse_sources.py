@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from reviewpulse.operators import clean, warehouse
+from reviewpulse.operators import clean, ingest, warehouse
 from reviewpulse.sources import readers, shared, sinks
 from reviewpulse.sources.schemas import RAW_COLUMNS
 
@@ -42,6 +42,44 @@ def test_violations_stop_the_load(spark, flagged):
         warehouse.load(flagged.withColumn("is_en", F.lit(None).cast("boolean")), "x", shared.new_path(spark, "wh"))
 
 
+def test_failed_load_leaves_the_old_version(spark, flagged):
+    folder = shared.new_path(spark, "wh")
+    assert warehouse.current(spark, folder) is None
+    warehouse.load(flagged, "first", folder)
+    with pytest.raises(ValueError, match="primary_key"):
+        warehouse.load(flagged.unionByName(flagged), "second", folder)
+    assert as_dict(warehouse.current(spark, folder)["ingestion_meta"])["source_file"] == "first"
+    assert warehouse.current(spark, folder)["reviews"].count() == 4
+    warehouse.load(flagged.filter("app_id = 'b'"), "third", folder)
+    newest = warehouse.current(spark, folder)
+    assert as_dict(newest["apps"]) == {"b": "First"} and newest["reviews"].count() == 2
+    got = [(r.version, r.source, r.review_rows, r.app_rows) for r in warehouse.versions(spark, folder).orderBy("version").collect()]
+    assert got == [(1, "first", 4, 2), (2, "third", 2, 1)]
+
+
+def test_load_computes_the_clean_rows_once(spark, flagged):
+    rows = shared.settle(flagged, "rows")
+    passed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        passed.add(1)
+        return text
+
+    loaded = warehouse.load(rows.withColumn("content", counted("content")), "x", shared.new_path(spark, "wh"))
+    assert passed.value == 4 and loaded["reviews"].count() == 4
+
+
+def test_observed_nulls(spark, flagged):
+    gaps = flagged.withColumn("is_noise", F.when(F.col("review_id") != "r1", F.col("is_noise")))
+    loaded, observed = warehouse.stage(gaps, "x", shared.new_path(spark, "wh"))
+    assert observed["reviews"]["rows"] == 4 and observed["reviews"]["null_is_noise"] == 1 and observed["apps"] == {
+        "rows": 2, "null_app_id": 0, "null_app_name": 0}
+    seen = sorted(map(tuple, warehouse.key_violations(loaded).unionByName(warehouse.null_violations(spark, observed)).collect()))
+    assert seen == sorted(map(tuple, warehouse.constraint_violations(loaded).collect()))
+    assert "app_name" not in loaded["reviews"].columns
+
+
 def test_orphans_are_counted_in_rows(spark, flagged):
     built = warehouse.tables(flagged, "x")
     built["apps"] = built["apps"].filter("app_id = 'a'")
@@ -70,11 +108,46 @@ def test_raw_scan_sorts_in_file_order(spark, tmp_path):
         lines = [f"app,App,{i},5,some text,2024-01-01 00:00:00,0,," for i in ids]
         (tmp_path / f"{name}.csv").write_text("﻿" + header + "\n" + "\n".join(lines) + "\n")
     df = readers.scan_raw_reviews(spark, str(tmp_path))
-    assert [r.review_id for r in df.orderBy("ingest_seq").collect()] == list("abcd")
+    assert [(r.review_id, r.ingest_seq) for r in df.orderBy("ingest_seq").collect()] == list(zip("abcd", range(4)))
+    assert dict(df.dtypes)["ingest_seq"] == "bigint"
     flagged = clean.flag_reviews(df.withColumn("declared_lang", F.lit("en")))
     assert clean.clean_all(flagged).count() == 4
 
 
+def test_row_numbers_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+    header, want = ",".join(RAW_COLUMNS), []
+    for k in range(9):
+        ids = [f"{k}-{i}" for i in range(k % 4 * 5)]
+        want += ids
+        lines = [f'app,App,{i},5,"some\ntext",2024-01-01 00:00:00,0,,' for i in ids]
+        (tmp_path / f"part-{k}.csv").write_text(header + "\n" + "".join(line + "\n" for line in lines))
+    for size in ("200", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = readers.scan_raw_reviews(spark, str(tmp_path))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        assert [(r.review_id, r.ingest_seq) for r in df.orderBy("ingest_seq").collect()] == [(i, n) for n, i in enumerate(want)]
+
+
+def test_no_sort_aggregate_over_scanned_files(spark, tmp_path):
+    lines = [f"app,App,{i},5,some text,2024-01-01 00:00:00,0,," for i in "aab"]
+    (tmp_path / "x.csv").write_text(",".join(RAW_COLUMNS) + "\n" + "\n".join(lines) + "\n")
+    raw = readers.scan_raw_reviews(spark, str(tmp_path)).withColumn("declared_lang", F.lit("en"))
+    flagged = clean.flag_reviews(raw)
+    for df in (clean.quality_metrics(flagged), ingest.raw_collection_metrics(raw), warehouse.apps_table(flagged), clean.clean_all(flagged)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+    assert clean.quality_metrics(flagged).first().duplicate_rate == 0.3333
+
+
+def test_repeats_go_without_moving_texts(spark, raw):
+    rows = shared.settle(clean.label(raw([{"review_id": f"r{i % 7}", "content": f"text number {i}"} for i in range(40)])), "rows")
+    once = clean.dedupe_first(rows)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort " not in plan
+    assert sorted(r.ingest_seq for r in once.collect()) == list(range(7))
+
+
 def test_empty_or_missing_raw_source(spark, tmp_path):
     (tmp_path / "e.csv").write_text(",".join(RAW_COLUMNS) + "\n")
     with pytest.raises(ValueError):
