@@ -16,6 +16,8 @@ from ..functions import fixed_values as V
 from ..functions import stats
 from ..sources.schemas import ALERT_COLUMNS
 from ..sources.shared import settle
+from ..sources.sinks import replace_runs
+from . import reports
 from .clean import quality_metrics
 from .keyed import with_scalar
 
@@ -64,21 +66,13 @@ def quality_history(flagged: DataFrame, dataset: str = "reviews") -> DataFrame:
 
 def quality_history_from_reports(report: DataFrame, raw_metrics: DataFrame, run_ts: str,
                                  dataset: str = "reviews") -> DataFrame:
-    """The same row from stored long tables: metrics turned into columns, missing ones null.
-
-    ``raw_rows`` is taken from the collection metrics when they have it.
-    """
-    names = ["raw_rows", "duplicate_rate", "empty_text_rate", "short_text_rate_lt5", "parseable_time_rate",
-             "parseable_score_rate", "english_rate_after_p0", "noise_rate_after_p0", "missing_key_fields_rate",
-             "inconsistent_rating_rate", "time_anomaly_rate", "spam_bot_suspect_rate", "clean_all_rows",
-             "clean_en_rows"]
-    wide = report.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in names])
-    raw = raw_metrics.agg(
-        F.max(F.when(F.col("metric") == "total_rows", F.col("value"))).alias("total_rows"),
-        F.max(F.when(F.col("metric") == "apps_count", F.col("value"))).alias("apps_count"),
-    )
-    one = with_scalar(wide, raw).withColumn("raw_rows", F.coalesce("total_rows", "raw_rows")).drop("total_rows")
-    return one.select(F.lit(dataset).alias("dataset"), F.lit(run_ts).alias("run_ts"), "*")
+    """The row of one run from tables of (metric, value), whatever their sections; missing metrics are null."""
+    run = [F.lit(dataset).alias("dataset"), F.lit(run_ts).alias("run_ts")]
+    places = F.create_map(*[F.lit(x) for pair in reports.QUALITY_PLACES.items() for x in pair])
+    return reports.quality_history({
+        "quality": report.select(*run, places[F.col("metric")].alias("section"), "metric", "value"),
+        "collection": raw_metrics.select(*run, "metric", "value"),
+    })
 
 
 def last_seven(daily: DataFrame) -> DataFrame:
@@ -306,21 +300,29 @@ def apply_mutes(alerts: DataFrame, mutes: DataFrame, today: str) -> DataFrame:
 
 def guard_alerts(spark: SparkSession, quality: DataFrame | None, distribution: DataFrame | None,
                  config_state: str = "ok", run_ts: str = "now", dataset: str = "reviews") -> DataFrame:
-    """Alerts about absent inputs; these cannot be muted."""
-    rows = []
+    """Alerts about absent inputs; these cannot be muted.
 
-    def add(metric, current, rule, message):
-        rows.append((dataset, run_ts, "WARN", metric, current, None, rule, message, None))
-
-    if config_state != "ok":
-        add("config_file", None, config_state, "no usable configuration, defaults apply")
+    They belong to the batches of the quality history: an unusable configuration concerns each batch, a missing
+    distribution row the batch that lacks it. Without any batch they belong to (``dataset``, ``run_ts``), the alert
+    run itself. Conditions are columns, so nothing is collected to find them.
+    """
+    itself = spark.range(1).select(F.lit(dataset).alias("dataset"), F.lit(run_ts).alias("run_ts"))
+    unusable = _alert(F.lit(config_state != "ok"), "WARN", "config_file", None, None, config_state, "no usable configuration, defaults apply")
     if quality is None:
-        add("data_quality_history", None, "missing", "no quality history")
-    elif quality.isEmpty():
-        add("data_quality_history", 0.0, "empty", "quality history has no rows")
-    elif distribution is None or distribution.isEmpty():
-        add("distribution_history", None, "missing", "no distribution history, drift rules skipped")
-    return spark.createDataFrame(rows, f"dataset string, run_ts string, {ALERT_FIELDS}")
+        return _alert_rows(itself, [
+            unusable, _alert(F.lit(True), "WARN", "data_quality_history", None, None, "missing", "no quality history")])
+    kind = dict(quality.dtypes)["run_ts"]
+    batches = quality.select(*BATCH)
+    listed = batches.limit(0) if distribution is None else distribution.select(*BATCH)
+    known = listed.distinct().withColumn("known", F.lit(True))
+    of_batches = _alert_rows(batches.join(known, BATCH, "left"), [
+        unusable, _alert(F.col("known").isNull(), "WARN", "distribution_history", None, None, "missing",
+                         "no distribution row, drift rules skipped")])
+    none = with_scalar(itself.withColumn("run_ts", F.lit(run_ts).try_cast(kind)), batches.agg(F.count("*").alias("n_batches")))
+    empty = F.col("n_batches") == 0
+    of_run = _alert_rows(none.filter(empty), [
+        unusable, _alert(empty, "WARN", "data_quality_history", 0.0, None, "empty", "quality history has no rows")])
+    return of_batches.unionByName(of_run)
 
 
 def alerts(quality: DataFrame, distribution: DataFrame | None, cfg: dict, store: DataFrame | None = None,
@@ -356,6 +358,38 @@ def overall_status(batches: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+# ---- alert runs ------------------------------------------------------------------------------
+
+STORED_ALERT = ALERT_FIELDS + ", dataset string, run_ts {kind}"
+
+
+def alert_run(spark: SparkSession, quality: DataFrame | None, distribution: DataFrame | None, folder: str, cfg: dict | None = None,
+              config_state: str = "ok", stored_counts: DataFrame | None = None, mutes: DataFrame | None = None,
+              today: str | None = None, run_ts: str = "now", dataset: str = "reviews") -> DataFrame:
+    """One run over all batches: guards, rules, reconciliation and drift; stores the alerts, returns the status per batch.
+
+    Alerts are stored by batch and a repeated run replaces those of its batches, so running twice adds nothing; a
+    batch without alerts leaves a mark, which replaces the alerts that an earlier run found. Without a quality
+    history only the guards speak, under ``run_ts``; the status is then WARN.
+    """
+    cfg = cfg or config()
+    found = guard_alerts(spark, quality, distribution, config_state, run_ts, dataset)
+    batches = found.select(*BATCH)
+    if quality is not None:
+        found = found.unionByName(alerts(quality, distribution, cfg, stored_counts, mutes, today))
+        batches = batches.unionByName(quality.select(*BATCH))
+    found = settle(found, "alerts")
+    batches = settle(batches.distinct(), "batches")
+    marks = batches.select("*", *[F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in ALERT_FIELDS.split(", ")])
+    replace_runs(found.unionByName(marks), folder, BATCH)
+    return overall_status(batches, found)
+
+
+def stored_alerts(spark: SparkSession, folder: str, run_type: str = "string") -> DataFrame:
+    """All alerts in a store, in their published columns."""
+    return published(spark.read.schema(STORED_ALERT.format(kind=run_type)).parquet(folder).filter("level IS NOT NULL"))
+
+
 def fail_on_error(status: DataFrame) -> None:
     """Non-zero job outcome when any batch has an error."""
     if not status.filter("status = 'ERROR'").isEmpty():

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators import clean, keyed, monitor
+from ..operators import clean, keyed, monitor, reports
 from ..sources.schemas import QUALITY_HISTORY_COLUMNS
-from ..sources.shared import settle
+from ..sources.shared import new_path, settle
 from .base_sql import on_batches
 from .registry import batch_rows, batched, query
 
@@ -28,7 +28,7 @@ def distribution(spark, sf_dir, rows=None):
 
 def histories(spark, sf_dir):
     rows = batch_rows(spark, sf_dir)
-    return quality(spark, sf_dir, rows), distribution(spark, sf_dir, rows)
+    return quality(spark, sf_dir, rows), settle(distribution(spark, sf_dir, rows), "distribution-history")
 
 
 QUALITY = """raw_side AS (
@@ -220,10 +220,16 @@ RECONCILE = f"""kinds AS (SELECT *, day(run_ts) % 6 AS kind FROM quality), recon
 )"""
 
 
-@query("m_reconcile_rows", on_batches(f"{QUALITY}, {RECONCILE}", f"SELECT {_SHOWN} FROM reconcile"))
+@query("m_reconcile_rows", on_batches(f"{QUALITY}, {RECONCILE}", f"""SELECT r.run_ts, level, metric, current, baseline_or_threshold, rule,
+    CASE rule WHEN 'unknown_subset' THEN 'count not compared for subset {V.SUBSET_OTHER}' WHEN 'eq' THEN 'stored count differs from the history'
+      WHEN 'mismatch' THEN 'load metadata may be stale' ELSE 'no stored table' END AS message FROM reconcile r
+  UNION ALL SELECT run_ts, 'WARN', '{V.STORED_COUNT_METRIC}', clean_en_rows, NULL, 'missing', 'expected count unknown' FROM kinds
+  WHERE kind = 0 AND raw_rows % 2 = 1"""))
 def m_reconcile_rows(spark, sf_dir):
+    """Every state of the store; batches with an odd row count have no English count to compare with."""
     history = quality(spark, sf_dir)
-    return monitor.reconcile_alerts(history, store(history)).select(*_SHOWN_COLS)
+    gaps = history.withColumn("clean_en_rows", F.when(F.col("raw_rows") % 2 == 0, F.col("clean_en_rows")))
+    return monitor.reconcile_alerts(gaps, store(history)).select(*_SHOWN_COLS, "message")
 
 
 @query("j_reconcile", on_batches(QUALITY, """SELECT 'clean_all_rows' AS label, SUM(clean_all_rows) AS expected, (SELECT COUNT(*) FROM kept) AS stored FROM quality
@@ -270,7 +276,20 @@ _STATUS = """per AS (
 @query("m_overall_status", on_batches(f"{_ALL_ALERTS}, {_STATUS}", "SELECT 'reviews' AS dataset, * FROM status"))
 def m_overall_status(spark, sf_dir):
     q, d = histories(spark, sf_dir)
-    return monitor.overall_status(q, monitor.alerts(q, d, CFG, store(q)))
+    return monitor.alert_run(spark, q, d, new_path(spark, "alerts"), CFG, stored_counts=store(q))
+
+
+@query("m_alert_store", on_batches(f"{QUALITY}, {HARD}, {RECONCILE}", f"""SELECT run_ts, level, metric, current, baseline_or_threshold, rule FROM (
+  SELECT * EXCLUDE (mute_key) FROM hard UNION ALL SELECT * EXCLUDE (mute_key) FROM reconcile
+  UNION ALL SELECT run_ts, 'WARN', 'config_file', NULL, NULL, 'parse_error' FROM quality
+  UNION ALL SELECT run_ts, 'WARN', 'distribution_history', NULL, NULL, 'missing' FROM quality)"""))
+def m_alert_store(spark, sf_dir):
+    """Two runs into one store, the second without distribution history and configuration: it replaces the first."""
+    rows = batch_rows(spark, sf_dir)
+    q, folder = quality(spark, sf_dir, rows), new_path(spark, "alerts")
+    monitor.alert_run(spark, q.withColumn("raw_rows", F.lit(0)), None, folder, CFG)
+    monitor.alert_run(spark, q, None, folder, CFG, "parse_error", store(q))
+    return monitor.stored_alerts(spark, folder, "date").select(*_SHOWN_COLS)
 
 
 @query("m_report_snapshot", on_batches(f"{_ALL_ALERTS}, {_STATUS}", """SELECT 'reviews' AS dataset, q.run_ts, clean_en_rows, clean_all_rows,
@@ -281,13 +300,37 @@ def m_report_snapshot(spark, sf_dir):
     return monitor.snapshot(q, d, monitor.overall_status(q, monitor.alerts(q, d, CFG, store(q))))
 
 
-@query("m_input_guards", on_batches(QUALITY, """SELECT 'WARN' AS level, 'config_file' AS metric, CAST(NULL AS DOUBLE) AS current, 'missing' AS rule
-  UNION ALL SELECT 'WARN', 'distribution_history', NULL, 'missing' FROM quality GROUP BY ALL HAVING COUNT(*) > 0"""))
+@query("m_input_guards", on_batches(QUALITY, """SELECT run_ts, 'WARN' AS level, 'config_file' AS metric, CAST(NULL AS DOUBLE) AS current,
+    'missing' AS rule FROM quality
+  UNION ALL SELECT run_ts, 'WARN', 'distribution_history', NULL, 'missing' FROM quality WHERE raw_rows % 2 = 1"""))
 def m_input_guards(spark, sf_dir):
-    """Quality history present, distribution history empty, no configuration."""
+    """No configuration; batches with an odd row count have lost their distribution row."""
     q = quality(spark, sf_dir)
-    empty = q.filter(F.col("raw_rows") < 0)
-    return monitor.guard_alerts(spark, q, empty, "missing").select("level", "metric", "current", "rule")
+    return monitor.guard_alerts(spark, q, q.filter("raw_rows % 2 = 0"), "missing").select("run_ts", "level", "metric", "current", "rule")
+
+
+def report_store(spark, sf_dir):
+    """The reports of every batch, stored twice; the second time replaces the first."""
+    flagged = settle(clean.flag_labelled(batch_rows(spark, sf_dir), ["run_ts"]), "flagged")
+    found = reports.run_reports(flagged, settle(clean.clean_all(flagged, ["run_ts"]), "clean"))
+    folder = new_path(spark, "reports")
+    reports.store({"collection": found["collection"].withColumn("value", F.col("value") + 1)}, folder)
+    reports.store(found, folder)
+    return reports.stored(spark, folder, "date")
+
+
+@query("m_quality_history_reports", on_batches(QUALITY, "SELECT 'reviews' AS dataset, run_ts, "
+       + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in QUALITY_HISTORY_COLUMNS if c != "run_ts") + " FROM quality"))
+def m_quality_history_reports(spark, sf_dir):
+    return reports.quality_history(report_store(spark, sf_dir))
+
+
+@query("m_distribution_history_reports", on_batches(DISTRIBUTION, "SELECT 'reviews' AS dataset, run_ts, "
+       + ", ".join(f"round({c}, 6) AS {c}" for c in _DIST_COLS if not c.startswith("last7d"))
+       + """, CAST(NULLIF(volume, 0) AS DOUBLE) AS last7d_reviews_sum, round(NULLIF(volume, 0) / 7.0::DOUBLE, 6) AS last7d_daily_mean FROM shape"""))
+def m_distribution_history_reports(spark, sf_dir):
+    """A report's last days are its run's own: here the one day of the batch."""
+    return reports.distribution_history(report_store(spark, sf_dir))
 
 
 @query("set_config_overlay", on_batches(QUALITY, """SELECT run_ts, metric, baseline_or_threshold FROM (

@@ -25,6 +25,11 @@ def append_history(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*fixed).write.mode("append").parquet(path)
 
 
+def replace_runs(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Store rows by run: the runs that ``df`` holds replace what was stored of them, all others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -1,9 +1,12 @@
+from datetime import date
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from reviewpulse.functions import fixed_values as V
-from reviewpulse.operators import monitor
+from reviewpulse.operators import monitor, reports
+from reviewpulse.sources.shared import new_path
 
 Q = ("dataset string, run_ts string, raw_rows double, apps_count double, duplicate_rate double, empty_text_rate double, short_text_rate_lt5 double, "
      "parseable_time_rate double, parseable_score_rate double, english_rate_after_p0 double, missing_key_fields_rate double, clean_all_rows long, clean_en_rows long")
@@ -135,6 +138,35 @@ def test_guards(spark):
     assert metrics(q, d) == []
 
 
+def test_guards_belong_to_batches(spark):
+    two = quality(spark).unionByName(quality(spark, run_ts="2024-01-02"))
+    found = monitor.guard_alerts(spark, two, dist(spark, [{}]), "missing")
+    assert sorted((r.run_ts, r.metric) for r in found.collect()) == [
+        ("2024-01-01", "config_file"), ("2024-01-02", "config_file"), ("2024-01-02", "distribution_history")]
+    alone = monitor.guard_alerts(spark, two.limit(0), None, "missing", "2024-02-01")
+    assert sorted((r.run_ts, r.metric, r.rule) for r in alone.collect()) == [
+        ("2024-02-01", "config_file", "missing"), ("2024-02-01", "data_quality_history", "empty")]
+
+
+def test_alert_runs_replace_their_batches(spark):
+    folder = new_path(spark, "alerts")
+    two = quality(spark, raw_rows=1.0).unionByName(quality(spark, run_ts="2024-01-02 10:00:00 UTC"))
+
+    def run(q, d):
+        status = {r.run_ts: r.status for r in monitor.alert_run(spark, q, d, folder, CFG, run_ts="2024-03-01").collect()}
+        return status, sorted((r.run_ts, r.metric) for r in monitor.stored_alerts(spark, folder).collect())
+
+    lost = [("2024-01-01", "distribution_history"), ("2024-01-01", "raw_rows"), ("2024-01-02 10:00:00 UTC", "distribution_history")]
+    assert run(two, None) == run(two, None) == ({"2024-01-01": "ERROR", "2024-01-02 10:00:00 UTC": "WARN"}, lost)
+    # A clean second run of one batch takes its alerts away and leaves the other batch alone.
+    full = dist(spark, [{}]).withColumn("run_ts", F.lit("2024-01-02 10:00:00 UTC"))
+    status, stored = run(two.filter("raw_rows > 1"), full)
+    assert status == {"2024-01-02 10:00:00 UTC": "OK"} and stored == [*lost[:2], ("2024-01-02 10:00:00 UTC", "drift")]
+    # Without a quality history only the guards speak.
+    assert run(None, None)[0] == {"2024-03-01": "WARN"} == run(two.limit(0), None)[0]
+    assert [r.rule for r in monitor.stored_alerts(spark, folder).filter("run_ts = '2024-03-01'").collect()] == ["empty"]
+
+
 DAILY = "dataset string, run_ts string, day string, reviews long"
 
 
@@ -168,6 +200,35 @@ def test_history_from_stored_reports_prefers_collection_counts(spark):
     assert monitor.quality_history_from_reports(report, raw.limit(0), "t").first().raw_rows == 10.0
 
 
+def test_histories_from_the_reports_of_many_runs(spark):
+    def table(kind, rows):
+        layout = "dataset string, run_ts string, " + reports.LAYOUTS[kind]
+        return spark.createDataFrame([("d", *r) for r in rows], layout)
+
+    some = {
+        "quality": table("quality", [("a", "p0", "raw_rows", 10.0), ("a", "p0", "duplicate_rate", 0.1), ("a", "p1", "duplicate_rate", 0.7),
+                                     ("b", "output", "clean_en_rows", float("nan")), ("b", "p0", "raw_rows", 3.0)]),
+        "collection": table("collection", [("a", "total_rows", 12.0), ("c", "apps_count", 2.0)]),
+        "ratings": table("ratings", [("a", 1.0, 3.0), ("a", 5.0, 5.0), ("a", 9.0, 2.0), ("b", 2.0, 0.0)]),
+        "lengths": table("lengths", [("a", " mean ", 7.5), ("a", "50%", 6.0), ("a", "max", 99.0)]),
+        "english": table("english", [("a", reports.ENGLISH_SHARE, 0.25), ("a", "other", 9.0)]),
+    }
+    days = [("a", date(2024, 1, i), float(i)) for i in range(1, 10)] + [("a", None, 100.0), ("c", date(2024, 1, 1), 4.0)]
+    folder = new_path(spark, "reports")
+    reports.store(some, folder)
+    reports.store({"daily": table("daily", days)}, folder)
+    reports.store({"collection": table("collection", [("a", "total_rows", 11.0)])}, folder)
+    back = reports.stored(spark, folder)
+    q = {r.run_ts: r for r in reports.quality_history(back).collect()}
+    assert sorted(q) == ["a", "b", "c"] and (q["a"].raw_rows, q["a"].duplicate_rate, q["b"].raw_rows) == (11.0, 0.1, 3.0)
+    assert q["b"].clean_en_rows is None and (q["c"].raw_rows, q["c"].apps_count) == (None, 2.0)
+    d = {r.run_ts: r for r in reports.distribution_history(back).collect()}
+    assert (d["a"].score_1_pct, d["a"].score_2_pct, d["a"].score_5_pct) == (0.3, 0.0, 0.5) and d["b"].score_2_pct is None
+    assert (d["a"].len_mean, d["a"].len_p50, d["a"].len_p90, d["a"].en_share) == (7.5, 6.0, None, 0.25)
+    assert d["a"].last7d_reviews_sum == sum(range(3, 10)) and d["a"].last7d_daily_mean == 6.0 and d["c"].last7d_reviews_sum == 4.0
+    assert reports.quality_history(reports.stored(spark, new_path(spark, "none"))).count() == 0
+
+
 def test_latest_goes_by_time_not_position(spark):
     rows = quality(spark, run_ts="2024-01-09").unionByName(quality(spark, run_ts="2024-01-02"))
     assert monitor.latest(rows).first().run_ts == "2024-01-09"
