@@ -1,13 +1,18 @@
-"""Language detection: naive Bayes over character n-grams, trained and scored as Spark joins.
+"""Language detection: naive Bayes over character n-grams, trained as Spark aggregates and scored inside each row.
 
-Scores are sums of whole numbers (scaled log probabilities), so the result does not depend on the
+The gram table is sent to the tasks where its measured size allows that, and a row needs no other row; a larger table is
+joined. Spark looks up a map's keys one after another, so the rows are scored in Arrow batches. Scores are sums of whole numbers (scaled log probabilities), so the result does not depend on the
 order in which partial sums meet, and a recomputed task gives the same answer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +20,10 @@ from ..functions import fixed_values as V
 from ..sources.shared import settle
 
 SCALE = 10_000
+# Bound of a gram table that is sent to the tasks, in bytes of grams and scores; it has up to three letters per gram.
+MODEL_BYTES = 64 << 20
+# Words whose scores a task remembers before it forgets them.
+HELD_WORDS = 200_000
 # Runs of letters, whole, however long.
 WORD_PATTERN = r"\p{L}+"
 
@@ -75,11 +84,69 @@ def train(df: DataFrame, text: str, lang: str) -> LanguageModel:
     return LanguageModel([row["lang"] for row in sums], settle(table, "language-model"))
 
 
-def detect(df: DataFrame, model: LanguageModel, text: str = "content_clean", row_id: str = "ingest_seq") -> DataFrame:
-    """(row id, detected_lang) for every row with a known gram in a text that is not short.
+def detect(df: DataFrame, model: LanguageModel, text: str = "content_clean", row_id: str = "ingest_seq",
+           model_bytes: int = MODEL_BYTES) -> DataFrame:
+    """(row id, found_lang) for every row with a known gram in a text that is not short. Ties go to the first language by name.
 
-    Words are counted per row, and every distinct word of the corpus is scored once. Row ids, words
-    and whole numbers are all that is shuffled; no text is. Ties go to the first language by name.
+    Both ways give the same rows: inside each row if the gram table has at most ``model_bytes``, else by joins.
+    """
+    each = 8 * len(model.languages)
+    size = model.scores.agg(F.sum(F.octet_length("gram") + each)).first()[0] or 0
+    long = df.filter(F.length(text) >= V.SHORT_TEXT_LEN)
+    return _detect_in_rows(long, model, text, row_id) if size <= model_bytes else _detect_by_joins(long, model, text, row_id)
+
+
+class WordScores(dict):
+    """Word -> row of ``table``: its scores per language and how many of its grams are known; summed once per word."""
+
+    def __init__(self, grams_: dict[str, int], scores: np.ndarray) -> None:
+        self.grams, self.scores = grams_, scores
+        self.table = np.zeros((1024, scores.shape[1] + 1), np.int64)
+
+    def __missing__(self, word: str) -> int:
+        padded = f" {word} "
+        cut = [*word, *(padded[i:i + 2] for i in range(len(word) + 1)), *(padded[i:i + 3] for i in range(len(word)))]
+        known = [i for i in map(self.grams.get, cut) if i is not None]
+        at = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at, :-1] = self.scores[known].sum(axis=0) if known else 0
+        self.table[at, -1] = len(known)
+        self[word] = at
+        return at
+
+    def best(self, words: list[str]) -> int | None:
+        """Place of the language with the greatest sum, None without a known gram."""
+        if len(self) > HELD_WORDS:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        sums = self.table[at].sum(axis=0)
+        return int(sums[:-1].argmax()) if sums[-1] else None
+
+
+def _detect_in_rows(df: DataFrame, model: LanguageModel, text: str, row_id: str) -> DataFrame:
+    rows = model.scores.select("gram", "scores").toArrow()
+    names = rows.column("gram").to_pylist()
+    scores = np.array(rows.column("scores").to_pylist(), np.int64).reshape(len(names), len(model.languages))
+    shared = df.sparkSession.sparkContext.broadcast((dict(zip(names, range(len(names)))), scores, model.languages))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams_, table, languages = shared.value
+        words, letters = WordScores(grams_, table), regex.compile(WORD_PATTERN)
+        for batch in batches:
+            places = [words.best(letters.findall(t)) for t in batch.column("text").to_pylist()]
+            found = pa.array([None if p is None else languages[p] for p in places], pa.string())
+            out = pa.RecordBatch.from_arrays([batch.column("row_id"), found], names=["row_id", "found_lang"])
+            yield out.filter(found.is_valid())
+
+    kind = dict(df.select(F.col(row_id).alias("row_id")).dtypes)["row_id"]
+    texts = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("text"))
+    return texts.mapInArrow(find, f"row_id {kind}, found_lang string").withColumnRenamed("row_id", row_id)
+
+
+def _detect_by_joins(df: DataFrame, model: LanguageModel, text: str, row_id: str) -> DataFrame:
+    """For a gram table of any size: words are counted per row, and every distinct word of the corpus is scored once. Row ids, words
+    and whole numbers are all that is shuffled; no text is.
     """
     each = range(len(model.languages))
 
@@ -87,7 +154,7 @@ def detect(df: DataFrame, model: LanguageModel, text: str = "content_clean", row
         return F.array(*[F.sum(F.col("scores")[i] * times) for i in each]).alias("scores")
 
     used = settle(
-        df.filter(F.length(text) >= V.SHORT_TEXT_LEN).select(row_id, F.explode(words_of(F.col(text))).alias("word"))
+        df.select(row_id, F.explode(words_of(F.col(text))).alias("word"))
         .groupBy(row_id, "word").agg(F.count("*").alias("n")), "words")
     cut = used.select("word").distinct().select("word", F.explode(grams(F.col("word"))).alias("gram"))
     scored = settle(cut.join(model.scores, "gram").groupBy("word").agg(summed(F.lit(1))), "word-scores")

@@ -27,6 +27,22 @@ def test_short_and_foreign_text_is_unknown(spark):
     assert got == {1: "unknown", 2: "unknown", 3: "en", 4: "fr"}
 
 
+def test_both_ways_of_detection_agree(spark):
+    docs = documents(spark, SF)
+    model = language.train(docs.filter("doc_id % 3 = 0"), "text", "lang")
+    odd = spark.createDataFrame([(-1, "12345 67"), (-2, "日本語のテキスト"), (-3, "Ⅷ²³ ab"), (-4, "e\u0301te\u0301 naïve straße"), (-5, "abc")],
+                                "doc_id long, content_clean string")
+    rows = docs.select("doc_id", F.lower("text").alias("content_clean")).unionByName(odd)
+    one, two = (sorted(map(tuple, language.detect(rows, model, row_id="doc_id", model_bytes=b).collect())) for b in (1 << 30, 0))
+    assert one == two and len(one) > docs.count() and {r[0] for r in one} & {-1, -5} == set()
+
+
+def test_words_are_forgotten_and_scored_again(monkeypatch):
+    monkeypatch.setattr(language, "HELD_WORDS", 2)
+    scores = language.WordScores({"a": 0, "b": 1}, language.np.array([[5, 1], [1, 9]]))
+    assert [scores.best(list(t)) for t in ("ab", "aaa", "cd", "ba", "a", "")] == [1, 0, None, 1, 0, None]
+
+
 def test_grams_of_a_word(spark):
     row = spark.range(1).select(language.grams(F.lit("abc")).alias("g")).first()
     assert list(row.g) == ["a", "b", "c", " a", "ab", "bc", "c ", " ab", "abc", "bc "]
