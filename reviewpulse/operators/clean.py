@@ -99,7 +99,12 @@ def hour_facts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     by = by or []
     counts = df.groupBy(*by, "hour_bucket").agg(F.count("*").alias("rows_in_hour"))
-    hourly = settle(counts, "hours").withColumn(
+    return hour_facts_of(settle(counts, "hours"), by)
+
+
+def hour_facts_of(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Hour facts from stored counts ``hour_bucket, rows_in_hour``."""
+    hourly = counts.withColumn(
         "hourly_count", F.when(F.col("hour_bucket").isNull(), F.lit(0)).otherwise(F.col("rows_in_hour"))
     )
     threshold = busy_hour_threshold(hourly.filter(F.col("hour_bucket").isNotNull()), by)
@@ -205,22 +210,32 @@ def quality_metrics(flagged: DataFrame, by: list[str] | None = None) -> DataFram
     row, so one pass gives both denominators and a hot id does no harm.
     """
     by = by or []
-    seq = F.col("ingest_seq")
-    first = {
-        "kept": ~F.col("is_empty_text") & ~F.col("is_short_text"),
-        "en": F.col("is_en"), "noise": F.col("is_noise"), "spam": F.col("is_spam_bot_suspect"),
-        "inconsistent": F.col("is_inconsistent_rating"), "anomaly": F.col("is_time_anomaly"),
+    first = {**first_row_flags(), "spam": F.col("is_spam_bot_suspect"), "anomaly": F.col("is_time_anomaly")}
+    return quality_totals(per_id_counts(flagged, [*by, "review_id"], first), by)
+
+
+def first_row_flags() -> dict[str, Column]:
+    """What counts of the first row of an id, as far as the row itself tells."""
+    return {
+        "kept": ~F.col("is_empty_text") & ~F.col("is_short_text"), "en": F.col("is_en"), "noise": F.col("is_noise"),
+        "inconsistent": F.col("is_inconsistent_rating"),
     }
+
+
+def per_id_counts(rows: DataFrame, keys: list[str], first: dict[str, Column], *more: Column) -> DataFrame:
+    """Sums over the rows of an id and values of its first row; combined on the map side."""
     sums = {
         "empty": F.col("is_empty_text"), "short": F.col("is_short_text"),
         "timed": F.col("at_parsed").isNotNull(), "scored": F.col("score").isNotNull(),
         "missing": F.col("is_missing_key_fields"),
     }
-    per_id = flagged.groupBy(*by, "review_id").agg(
-        F.count("*").alias("n"),
-        *[F.count_if(c).alias(k) for k, c in sums.items()],
-        *[F.min_by(c, seq).alias(f"first_{k}") for k, c in first.items()],
-    )
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in sums.items()],
+        *[F.min_by(c, F.col("ingest_seq")).alias(f"first_{k}") for k, c in first.items()], *more)
+
+
+def quality_totals(per_id: DataFrame, by: list[str]) -> DataFrame:
+    """Quality numbers from counts per id."""
     rows = F.sum("n")
     kept = F.count_if(F.col("first_kept"))
 
@@ -231,7 +246,7 @@ def quality_metrics(flagged: DataFrame, by: list[str] | None = None) -> DataFram
         hits = F.count_if(F.col("first_kept") & F.col(f"first_{name}"))
         return F.round(F.coalesce(F.try_divide(hits, kept), F.lit(0.0)), 4)
 
-    totals = per_id.groupBy(*by).agg(
+    return per_id.groupBy(*by).agg(
         rows.alias("raw_rows"),
         F.round((rows - F.count("*")) / rows, 4).alias("duplicate_rate"),
         over_rows("empty").alias("empty_text_rate"),
@@ -247,7 +262,6 @@ def quality_metrics(flagged: DataFrame, by: list[str] | None = None) -> DataFram
         over_kept("anomaly").alias("time_anomaly_rate"),
         F.count_if(F.col("first_kept") & F.col("first_en")).alias("clean_en_rows"),
     )
-    return totals
 
 
 QUALITY_LAYOUT = [

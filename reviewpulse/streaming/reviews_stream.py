@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, monitor
 from ..operators.keyed import first_per_key
 from ..sources.schemas import QUALITY_HISTORY_COLUMNS
+from . import day_state
 
 
 def read_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
@@ -66,20 +66,20 @@ def volume(stream: DataFrame, ts: str, size: str, folder: str) -> DataFrame:
 
 
 def append_quality_history(stream: DataFrame, folder: str, dataset: str = "reviews") -> DataFrame:
-    """Quality row per day, recomputed from all rows of the day whenever a micro-batch brings some.
+    """Quality row per day, brought up to date whenever a micro-batch brings rows of the day.
 
-    Rows are stored by micro-batch, days are replaced as whole partitions; a retry replaces the same
-    files, so neither a failure nor the split into micro-batches shows in the history.
+    What is kept of a day are counts that can be added up (see ``day_state``), not its rows. A micro-batch counts its
+    own rows, adds the newest state of the days it touches, and stores the sums as their state after it; days are
+    replaced as whole partitions. A repeated micro-batch starts from the state before it, so neither a
+    failure nor the split into micro-batches shows in the history.
     """
     spark = stream.sparkSession
-    schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
-        arrived = spark.read.schema(schema).parquet(f"{folder}/rows/batch={batch_id}").select("ingest_date").distinct()
-        rows = spark.read.schema(schema).parquet(f"{folder}/rows").withColumn("run_ts", F.col("ingest_date"))
-        days = rows.join(arrived.select(F.col("ingest_date").alias("day")), F.col("run_ts").eqNullSafe(F.col("day")), "left_semi")
-        history = monitor.quality_history(clean.flag_reviews(days, ["run_ts"]), dataset)
+        own = day_state.of_rows(batch, f"{folder}/arrived/batch={batch_id}")
+        days = day_state.days_of(own)
+        state = day_state.merged(own, day_state.read(spark, folder, days, batch_id), folder, batch_id)
+        history = day_state.history(state, dataset)
         history.select("dataset", *QUALITY_HISTORY_COLUMNS).withColumn("day", F.col("run_ts")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{folder}/data")
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from reviewpulse.operators import clean, language, monitor
 from reviewpulse.sources.reviews import documents, raw_reviews, table
 from reviewpulse.sources.shared import new_path
-from reviewpulse.streaming import reviews_stream as rs
+from reviewpulse.streaming import day_state, reviews_stream as rs
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +73,28 @@ def test_stream_history_does_not_depend_on_micro_batches(spark):
     flagged = clean.flag_reviews(rows.withColumn("run_ts", F.col("ingest_date")), ["run_ts"])
     want = monitor.quality_history(flagged).select(*got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_micro_batch_reads_the_state_of_its_days_only(spark):
+    folder, sizes = new_path(spark, "history"), []
+    for batch, days in enumerate([["2024-01-01", "2024-01-02"], ["2024-01-03"], ["2024-01-02"], ["2024-01-02", "2024-01-04"]]):
+        own = {
+            "ids": [(d, f"r{batch}", 1, 0, 0, 1, 1, 0, batch, True, True, False, False, False, "h", None) for d in days],
+            "texts": [(d, "h", 1) for d in days], "hours": [(d, None, 1) for d in days], "apps": [(d, f"a{batch}") for d in days],
+        }
+        own = {k: spark.createDataFrame(v, f"day string, {day_state.LAYOUTS[k]}") for k, v in own.items()}
+        earlier = day_state.read(spark, folder, days, batch)
+        sizes.append(0 if earlier is None else sum(len(_opened(df)) for df in earlier.values()))
+        # A repeated micro-batch starts from the state before it.
+        for _ in range(2):
+            state = day_state.merged(own, day_state.read(spark, folder, days, batch), folder, batch)
+        got = {r.run_ts and str(r.run_ts): r.raw_rows for r in day_state.history(state, "d").collect()}
+        assert got == [{"2024-01-01": 1, "2024-01-02": 1}, {"2024-01-03": 1}, {"2024-01-02": 2}, {"2024-01-02": 3, "2024-01-04": 1}][batch]
+    assert sizes[:2] == [0, 0] and sizes[2] == 4 and sizes[3] == 4
+    last = day_state.history(state, "d").filter("run_ts = '2024-01-02'").first()
+    assert (last.apps_count, last.clean_all_rows, last.duplicate_rate, last.spam_bot_suspect_rate) == (3, 3, 0.0, 1.0)
+
+
+def _opened(df):
+    """Files that a scan opens, after its partitions are pruned."""
+    return {r[0] for r in df.select(F.input_file_name()).collect()}
