@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import settle
 
-# Resolutions, coarse to fine: segments per vector.
-LEVELS = (4, 16)
+# Resolutions, coarse to fine: (leading directions that are segments of their own, segments of all others), the first
+# as shares of the vector's length.
+LEVELS = ((0, 4), (1 / 4, 4), (3 / 4, 1))
+# Survivors of a tile are scored as one product from this share on, pair by pair below.
+DENSE = 1 / 64
 # Rows per block of the two sides, and per tile of a task.
-CANDIDATE_ROWS = 1 << 14
+CANDIDATE_ROWS = 1 << 13
 QUERY_ROWS = 1 << 12
 TILE = (512, 2048)
 
@@ -23,15 +26,32 @@ def usable(vector: Column) -> Column:
         F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))), F.lit(True))
 
 
-def segments(matrix: np.ndarray, parts: int) -> np.ndarray:
+def directions(rows: np.ndarray) -> np.ndarray:
+    """An orthogonal matrix that turns rows so that their first components hold most of their length.
+
+    Turning both sides leaves inner products as they are, and makes the leading segments tell rows apart.
+    """
+    _, axes = np.linalg.eigh(rows.T @ rows / max(1, len(rows)))
+    return axes[:, ::-1]
+
+
+def edges_of(dim: int, level: tuple[float, int]) -> np.ndarray:
+    """Where the segments of a resolution begin and end."""
+    leading = int(level[0] * dim)
+    return np.unique(np.concatenate([np.arange(leading), np.linspace(leading, dim, level[1] + 1).astype(int)]))
+
+
+def segments(matrix: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Means and deviations of each row's segments, scaled by the root of the segment's length.
 
     For two rows q, c the sum over segments of len * ((mean_q - mean_c)^2 + (dev_q - dev_c)^2) is at most
     |q - c|^2, so the inner product of these statistics is at least that of the rows.
     """
-    edges = np.unique(np.linspace(0, matrix.shape[1], parts + 1).astype(int))
     out = []
     for a, b in zip(edges, edges[1:]):
+        if b == a + 1:
+            out.append(matrix[:, a])  # no deviation
+            continue
         out += [matrix[:, a:b].mean(1) * np.sqrt(b - a), matrix[:, a:b].std(1) * np.sqrt(b - a)]
     return np.stack(out, 1) if out else np.zeros((len(matrix), 1))
 
@@ -55,10 +75,14 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
     """Top k of each query among the rows of one block, its own id left out.
 
     Bounds are compared coarse to fine with the query's k-th score so far; inner products are computed
-    for the survivors only. A small allowance covers the rounding of the bounds.
+    for the survivors only, as one product where a tile has many. A small allowance covers the rounding of the bounds.
     """
     floats = queries.astype(np.float64), rows.astype(np.float64)
-    stats = [(segments(floats[0], n), segments(floats[1], n)) for n in LEVELS]
+    turn = directions(floats[1])
+    edges = [edges_of(rows.shape[1], level) for level in LEVELS]
+    stats = [tuple(segments(side @ turn, e) for side in floats) for e in edges]
+    # Integers of this size are exact as doubles.
+    whole = np.abs(floats[0]).max(initial=0) * np.abs(floats[1]).max(initial=0) * rows.shape[1] < 2 ** 53
     slack = 1e-9 * (1 + np.sqrt((floats[0] ** 2).sum(1).max(initial=0) * (floats[1] ** 2).sum(1).max(initial=0)))
     found = (np.zeros(0, np.int64),) * 3
     for a in range(0, len(queries), TILE[0]):
@@ -79,11 +103,18 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
                 # Finer bounds for the queries and rows that the coarser ones left.
                 some_q, some_c = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
                 near[np.ix_(some_q, some_c)] &= fine_q[q[some_q]] @ fine_c[c + some_c].T >= (limit[some_q] - slack)[:, None]
-            qi, ci = np.nonzero(near)
-            ci += c
+            some_q, some_c = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            if whole and near.sum() > DENSE * near.size:
+                product = floats[0][q[some_q]] @ floats[1][c + some_c].T
+                qi, ci = np.nonzero(near[np.ix_(some_q, some_c)] & (product >= limit[some_q][:, None]))
+                scores = product[qi, ci].astype(np.int64)
+                qi, ci = some_q[qi], c + some_c[ci]
+            else:
+                qi, ci = np.nonzero(near)
+                ci += c
+                scores = exact(queries[q], rows, qi, ci)
             other = query_ids[q[qi]] != ids[ci]
-            qi, ci = qi[other], ci[other]
-            scores = exact(queries[q], rows, qi, ci)
+            qi, ci, scores = qi[other], ci[other], scores[other]
             held = best(*(np.concatenate(x) for x in zip(held, (qi, ids[ci], scores))), k)
             filled, counts = np.unique(held[0], return_counts=True)
             last = np.cumsum(counts) - 1
