@@ -74,18 +74,22 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
     Every document of a source is taken ``floor(target / source_size)`` times (complete epochs). The
     rest of the budget goes to the documents first in key order, up to the one in whose middle the
     running sum passes it. Null sources form one source; null or empty texts have size 0 and take no
-    words; rows that agree in id, size and weight have the same place and are taken alike.
+    words. Rows that share an id, or have none, are told apart by a hash of all their columns; of rows that are equal
+    altogether as many are taken as the budget has room for. So repeated rows and null ids meet the target like others.
 
     A hot source is never sorted as a whole: running sums over parts of the key range find the part
-    with the border, twice; only the rows of that last part are ordered. All rows are then compared
-    with one border per source.
+    with the border, twice; only the distinct rows of that last part are ordered, with their numbers. All rows are then
+    compared with one border per source.
     """
-    key = sampling_key(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")), F.coalesce(weight, F.lit(1.0)), seed)
+    columns = [F.col(f"`{c}`") for c in documents.columns if c != "mix"]
+    own = F.xxhash64(*columns)
+    # Rows without an id would all have one key.
+    id_text = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.concat(F.lit("#"), own.cast("string")))
+    key = sampling_key(id_text, F.coalesce(weight, F.lit(1.0)), seed)
     share = (1 - F.exp(-F.col("key"))) * PARTS
     fields = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "mix"]).alias("row"),
-        F.col(f"`{source_column}`").alias("source"), F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).alias("id"),
-        size.alias("size"), key.alias("key"),
+        F.struct(*columns).alias("row"), F.col(f"`{source_column}`").alias("source"),
+        F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).alias("id"), size.alias("size"), key.alias("key"), own.alias("own"),
     ).withColumn("part", F.least(F.floor(share), F.lit(PARTS - 1))).withColumn(
         "subpart", F.least(F.floor((share - F.col("part")) * PARTS), F.lit(PARTS - 1)))
     sized = settle(fields.drop("row"), "sized")
@@ -105,22 +109,37 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
         F.sum("size").alias("words"))
     second = settle(same(_first_over(subparts, ["source", "part"], "subpart"),
                          plan.select("source", "budget"), ["source"]), "borders")
-    order = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    # Equal rows are one row with a number; of the last one that is taken, so many as have their middle within the budget.
+    order = Window.partitionBy("source").orderBy("key", "id", "size", "own").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.when(F.col("size") > 0, F.floor((F.col("budget") - F.col("before")) / F.col("size") + 0.5)).otherwise(
+        F.when(F.col("before") <= F.col("budget"), F.col("equal")).otherwise(0))
     last = (
         same(sized, second, ["source", "part", "subpart"])
-        .withColumn("upto", F.col("prior") + F.sum("size").over(order) - F.col("size") / 2)
-        .filter(F.col("upto") <= F.col("budget"))
-        .groupBy("source").agg(F.max(F.struct("key", "id", "size")).alias("border"))
+        .groupBy("source", "budget", "prior", "key", "id", "size", "own").agg(F.count("*").alias("equal"))
+        .withColumn("before", F.col("prior") + F.coalesce(F.sum(F.col("size") * F.col("equal")).over(order), F.lit(0)))
+        .withColumn("fit", F.least(room, F.col("equal"))).filter("fit > 0")
+        .groupBy("source").agg(F.max(F.struct("key", "id", "size", "own", "fit", "equal")).alias("border"))
     )
     borders = settle(
         same(same(plan.drop("budget"), second.select("source", F.col("part").alias("cut_part"), F.col("subpart").alias("cut_subpart")),
                   ["source"], "left"), last, ["source"], "left"), "borders")
 
     place, cut = F.struct("part", "subpart"), F.struct(F.col("cut_part").alias("part"), F.col("cut_subpart").alias("subpart"))
-    within = F.coalesce(F.struct("key", "id", "size") <= F.col("border"), F.lit(False))
+    mine = F.struct("key", "id", "size", "own")
+    at_border = F.struct("border.key", "border.id", "border.size", "border.own")
+    within = F.coalesce(mine <= at_border, F.lit(False))
     drawn = F.col("cut_part").isNull() | (place < cut) | ((place == cut) & within)
-    copies = (F.col("epochs") + F.when(drawn & (F.col("source_size") > 0), 1).otherwise(0)).cast("long")
-    decided = same(fields, borders, ["source"]).withColumn("copies", F.least(copies, F.lit(MOST_EPOCHS).cast("long")))
+    placed = same(fields, borders, ["source"]).withColumn("drawn", drawn)
+    if not borders.filter("border.fit < border.equal").isEmpty():
+        # Some equal rows are taken and some are not: they are counted and numbered.
+        split = F.coalesce((place == cut) & (mine == at_border) & (F.col("border.fit") < F.col("border.equal")), F.lit(False))
+        numbered = (
+            placed.filter(split).groupBy(*placed.columns).agg(F.count("*").cast("int").alias("rows"))
+            .withColumn("number", F.explode(F.sequence(F.lit(1), F.col("rows")))).withColumn("drawn", F.col("number") <= F.col("border.fit"))
+        )
+        placed = placed.filter(~split).unionByName(numbered.select(*placed.columns))
+    copies = (F.col("epochs") + F.when(F.col("drawn") & (F.col("source_size") > 0), 1).otherwise(0)).cast("long")
+    decided = placed.withColumn("copies", F.least(copies, F.lit(MOST_EPOCHS).cast("long")))
     return decided.select("row.*", F.struct(
         "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")).alias("mix"))
 
