@@ -16,6 +16,7 @@ from ..functions import fixed_values as V
 from ..functions import stats, text, values
 from ..sources.shared import settle
 from .keyed import attach_facts, with_scalar
+from .language import LanguageModel, with_detected_language
 
 
 def derive(raw: DataFrame) -> DataFrame:
@@ -150,12 +151,18 @@ def with_spam_suspect(df: DataFrame, by: list[str] | None = None, facts: DataFra
     return counted.withColumn("is_spam_bot_suspect", suspect).drop("dup_text_count")
 
 
-def label(raw: DataFrame, language: Column | str = "declared_lang") -> DataFrame:
-    """Derived columns, language and row flags: everything that needs no other row."""
+def label(raw: DataFrame, language: Column | str | LanguageModel = "declared_lang") -> DataFrame:
+    """Derived columns, language and row flags: everything that needs no other row.
+
+    ``language`` is a trained model, whose detection decides, or a column that declares the language. With a model the
+    derived rows are stored first, since detection and flags both read them.
+    """
+    if isinstance(language, LanguageModel):
+        return with_row_flags(with_detected_language(settle(derive(raw), "derived"), language))
     return with_row_flags(with_language(derive(raw), language))
 
 
-def flag_reviews(raw: DataFrame, by: list[str] | None = None, language: Column | str = "declared_lang",
+def flag_reviews(raw: DataFrame, by: list[str] | None = None, language: Column | str | LanguageModel = "declared_lang",
                  **join) -> DataFrame:
     """All flags, computed on the raw rows with repeats still in, before any row is dropped."""
     return flag_labelled(label(raw, language), by, **join)

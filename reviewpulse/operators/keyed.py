@@ -95,6 +95,24 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, r
     return df.join(chosen, F.col(row_id) == F.col("chosen_id")).drop("chosen_id")
 
 
+def with_row_numbers(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """Consecutive numbers from 1 in a unique order, however many rows there are.
+
+    Rows are written in range parts; a row's number is its place in its part, ranked there, behind the rows of the
+    parts before it. Only the sizes of the parts, at most one per shuffle partition, reach the driver.
+    """
+    parts = settle(df.repartitionByRange(*order).withColumn("range_part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy("range_part").agg(F.count("*").alias("n")).orderBy("range_part").collect()
+    before, shifts = 0, []
+    for r in sizes:
+        shifts.append((r["range_part"], before))
+        before += r["n"]
+    offsets = df.sparkSession.createDataFrame(shifts, "of_part int, rows_before bigint")
+    place = F.row_number().over(Window.partitionBy("range_part").orderBy(*order))
+    return parts.join(offsets, F.col("range_part") == F.col("of_part")).withColumn(name, F.col("rows_before") + place).select(
+        *df.columns, name)
+
+
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Put the columns of a global aggregate next to every row, as a scalar subquery: no join, no shuffle."""
     names = one_row.columns

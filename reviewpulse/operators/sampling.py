@@ -95,37 +95,49 @@ def sample(df: DataFrame, spikes: DataFrame | None = None, cap: int | None = Non
     return per_day_cap(rows, cap, seed) if cap and cap > 0 else rows
 
 
-def sampling_manifest(df: DataFrame, spikes: DataFrame, cap: int, cutoff: str, seed: int = 42,
+def sampling_manifest(df: DataFrame, spikes: DataFrame | None = None, cap: int | None = None, cutoff: str | None = None, seed: int = 42,
                       source: str = "clean_en", generated_at: str | None = None,
-                      outputs: dict[str, str] | None = None) -> DataFrame:
-    """One row describing a full sampling run, ready for ``write_json``.
+                      outputs: dict[str, str] | None = None, drop_missing: bool = True) -> DataFrame:
+    """One row describing a sampling run, ready for ``write_json``; it tells of the steps that ran and no others.
 
-    Step counts are sums over (app, day) counts. Only the split of the capped rows needs the
-    capped rows themselves.
+    Spike days, cap and cutoff are optional, but one of them is needed. Step counts are sums over (app, day) counts.
+    Only the split of the capped rows needs the capped rows themselves. Without a cutoff there is one output.
     """
+    cap = cap if cap and cap > 0 else None
+    if spikes is None and cap is None and cutoff is None:
+        raise ValueError("nothing to do: give a spike list, a cap or a cutoff")
     timed = with_time(df)
-    rows = timed.filter(F.col("ts").isNotNull())
-    kept = exclude_days(rows, spikes)
-    capped = per_day_cap(kept, cap, seed)
-    start = timed.agg(F.count("*").alias("input_rows"), F.count_if(F.col("ts").isNull()).alias("dropped_missing_time"))
-    after = kept.agg(F.count("*").alias("rows_after_exclude_spikes"))
-    sides = capped.agg(
-        F.count("*").alias("rows_after_per_day_cap"),
-        F.count_if(side_of(cutoff) == "train").alias("train_rows"),
-        F.count_if(side_of(cutoff) == "val").alias("val_rows"),
-    )
-    days = spike_dates(spikes).agg(F.array_sort(F.collect_list(F.col("day").cast("string"))).alias("excluded_spike_days"))
-    one = with_scalar(with_scalar(with_scalar(start, after), sides), days)
+    rows = require_time(timed, drop_missing)
+    one = timed.agg(F.count("*").alias("input_rows"), F.count_if(F.col("ts").isNull()).alias("dropped_missing_time"))
+    left = F.col("input_rows") - F.col("dropped_missing_time")
+    shown = [F.col("input_rows"), *([F.col("dropped_missing_time")] if drop_missing else [])]
+    steps = []
+    if spikes is not None:
+        rows = exclude_days(rows, spikes)
+        one = with_scalar(one, rows.agg(F.count("*").alias("rows_after_exclude_spikes")))
+        one = with_scalar(one, spike_dates(spikes).agg(
+            F.array_sort(F.collect_list(F.col("day").cast("string"))).alias("excluded_spike_days")))
+        after = F.col("rows_after_exclude_spikes")
+        shown += [F.col("excluded_spike_days"), after, (left - after).alias("dropped_for_spike_days")]
+        left, steps = after, [*steps, "exclude_spikes"]
+    if cap is not None:
+        rows = per_day_cap(rows, cap, seed)
+    if cap is not None or cutoff is not None:
+        side = side_of(cutoff) if cutoff else F.lit(None)
+        one = with_scalar(one, rows.agg(
+            F.count("*").alias("rows_after_per_day_cap"), F.count_if(side == "train").alias("train_rows"),
+            F.count_if(side == "val").alias("val_rows")))
+    if cap is not None:
+        after = F.col("rows_after_per_day_cap")
+        shown += [F.lit(cap).alias("per_day_cap"), F.lit(seed).alias("random_state"), after, (left - after).alias("dropped_for_cap")]
+        steps.append("per_day_cap")
+    if cutoff is not None:
+        shown += [F.lit(cutoff).alias("split_cutoff"), F.col("train_rows"), F.col("val_rows")]
+        steps.append("time_split")
     stamp = F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    where = outputs or {"train": "train", "val": "val"}
+    where = outputs or ({"train": "train", "val": "val"} if cutoff else {"single": "single"})
     return one.select(
         F.lit(source).alias("source_file"), F.col("input_rows").alias("source_rows"), stamp.alias("generated_at_utc"),
-        F.array(*[F.lit(s) for s in ("exclude_spikes", "per_day_cap", "time_split")]).alias("steps"),
-        "input_rows", "dropped_missing_time", "excluded_spike_days", "rows_after_exclude_spikes",
-        (F.col("input_rows") - F.col("dropped_missing_time") - F.col("rows_after_exclude_spikes"))
-        .alias("dropped_for_spike_days"),
-        F.lit(cap).alias("per_day_cap"), F.lit(seed).alias("random_state"), "rows_after_per_day_cap",
-        (F.col("rows_after_exclude_spikes") - F.col("rows_after_per_day_cap")).alias("dropped_for_cap"),
-        F.lit(cutoff).alias("split_cutoff"), "train_rows", "val_rows",
+        F.array(*[F.lit(s) for s in steps]).alias("steps"), *shown,
         F.struct(*[F.lit(v).alias(k) for k, v in where.items()]).alias("outputs"),
     )

@@ -9,7 +9,7 @@ from ..functions import text, values
 from ..operators import clean, keyed, language, profile, sampling, warehouse
 from ..sources.reviews import documents, raw_reviews
 from ..sources.shared import settle
-from .base_sql import on_flagged, on_kept, on_kept_flagged, on_labelled, on_raw, WS
+from .base_sql import FLAGGED, KEPT, on_flagged, on_kept, on_kept_flagged, on_labelled, on_raw, WS
 from .registry import flagged, flagged_narrow, kept, kept_en, labelled, query
 
 
@@ -131,22 +131,22 @@ def p_detect_lang(spark, sf_dir):
 
 
 def detected(spark, sf_dir):
-    """Derived rows with the detected language in place of the declared one."""
-    model = language.train(documents(spark, sf_dir), "text", "lang")
-    rows = settle(clean.derive(raw_reviews(spark, sf_dir)), "derived")
-    return language.with_detected_language(rows, model)
+    """Labelled rows with the detected language in place of the declared one."""
+    return clean.label(raw_reviews(spark, sf_dir), language.train(documents(spark, sf_dir), "text", "lang"))
 
 
-@query("clean_en_detected", on_labelled(_DETECTED + """, coded AS (
-  SELECT l.* EXCLUDE (detected_lang, is_en), COALESCE(b.lang, 'unknown') AS detected_lang
+_CODED = """, coded AS MATERIALIZED (
+  SELECT l.* EXCLUDE (detected_lang, is_en), COALESCE(b.lang, 'unknown') AS detected_lang, COALESCE(b.lang, 'unknown') = 'en' AS is_en
   FROM labelled l LEFT JOIN best b ON b.ingest_seq = l.ingest_seq AND b.rn = 1
-), firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY ingest_seq) AS rn FROM coded)
+)"""
+
+
+@query("clean_en_detected", on_labelled(_DETECTED + _CODED + """, firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY ingest_seq) AS rn FROM coded)
 SELECT review_id, ingest_seq, detected_lang, is_noise, sentiment_keyword FROM firsts
 WHERE rn = 1 AND NOT is_empty_text AND NOT is_short_text AND detected_lang = 'en'"""))
 def clean_en_detected(spark, sf_dir):
     """The English clean table as the detector finds it: flags, de-duplication and filter on detected codes."""
-    rows = clean.with_row_flags(detected(spark, sf_dir))
-    return clean.clean_en(rows).select("review_id", "ingest_seq", "detected_lang", "is_noise", "sentiment_keyword")
+    return clean.clean_en(detected(spark, sf_dir)).select("review_id", "ingest_seq", "detected_lang", "is_noise", "sentiment_keyword")
 
 
 def _names_sql(code: str) -> str:
@@ -230,7 +230,7 @@ def w_apps_first(spark, sf_dir):
     return warehouse.apps_table(settle(labelled(spark, sf_dir).select("app_id", "app_name", "ingest_seq"), "app-names"))
 
 
-@query("quality_report", on_kept_flagged("""
+_QUALITY = """
 , raw_side AS (
   SELECT COUNT(*) AS n, COUNT(DISTINCT review_id) AS ids, AVG(CAST(is_empty_text AS INT)) AS e, AVG(CAST(is_short_text AS INT)) AS s,
     AVG(CAST(at_parsed IS NOT NULL AS INT)) AS t, AVG(CAST(score IS NOT NULL AS INT)) AS sc,
@@ -255,11 +255,22 @@ UNION ALL SELECT 'p2', 'missing_key_fields_rate', round(m, 4), NULL FROM raw_sid
 UNION ALL SELECT 'p2', 'spam_bot_suspect_rate', round(spam, 4), NULL FROM kept_side
 UNION ALL SELECT 'p2', 'inconsistent_rating_rate', round(inc, 4), NULL FROM kept_side
 UNION ALL SELECT 'p2', 'time_anomaly_rate', round(an, 4), NULL FROM kept_side
-UNION ALL SELECT 'output', 'clean_en_rows', CAST(n_en AS DOUBLE), NULL FROM kept_side"""))
+UNION ALL SELECT 'output', 'clean_en_rows', CAST(n_en AS DOUBLE), NULL FROM kept_side"""
+
+
+@query("quality_report", on_kept_flagged(_QUALITY))
 def quality_report(spark, sf_dir):
     return clean.quality_report(flagged_narrow(spark, sf_dir), "2024-02-01 00:00:00", "documents")
 
 
+@query("quality_report_detected", on_labelled(
+    _DETECTED + _CODED + ", " + FLAGGED.replace("labelled", "coded") + ", " + KEPT.format(source="flagged") + _QUALITY))
+def quality_report_detected(spark, sf_dir):
+    """The report of the main clean step with the detector in it: English rates are of detected codes."""
+    rows = clean.flag_labelled(clean.narrow(detected(spark, sf_dir)))
+    return clean.quality_report(rows, "2024-02-01 00:00:00", "documents")
+
+
 @query("f_flag_rows", on_kept("""SELECT review_id, app_name, score, sentiment_keyword FROM kept_en WHERE is_inconsistent_rating"""))
 def f_flag_rows(spark, sf_dir):
     return profile.flag_rows(kept_en(spark, sf_dir), "is_inconsistent_rating",

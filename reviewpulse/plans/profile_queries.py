@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators import clean, profile, warehouse
+from ..operators import clean, keyed, profile, warehouse
 from ..sources import sinks
 from ..sources.reviews import table
 from ..sources.shared import new_path, settle
@@ -429,10 +429,22 @@ def _bundle_sql() -> str:
 @query("section_report_bundle", _bundle_sql())
 def section_report_bundle(spark, sf_dir):
     return sinks.report_bundle([
-        sinks.report_rows(df, section, sub, name, order) for section, sub, name, df, order in report_parts(spark, sf_dir)
+        sinks.report_rows(df, section, sub, name, _numbered(name, df, order)) for section, sub, name, df, order in report_parts(spark, sf_dir)
     ])
 
 
+# Tables with a row per app or day; all others have a fixed number of rows or one per language.
+_GROWING = {"a2_rating_counts_by_app", "a2_mean_score_by_app", "b1_per_app_stats", "b2_score_skew_by_app", "b3_daily_volume"}
+
+
+def _numbered(name, df, order):
+    """Row numbers in range parts, or of a table of bounded size by its places in one ordered array."""
+    if name in _GROWING:
+        return keyed.with_row_numbers(df, order, "row_no")
+    ordered = df.orderBy(*order).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
+    return ordered.select(F.posexplode("rows").alias("place", "row")).select("row.*", (F.col("place") + 1).alias("row_no"))
+
+
 # ---- warehouse checks ------------------------------------------------------------------------
 
 def _check(name: str, sql: str):

@@ -124,6 +124,24 @@ def sink_json_manifest(spark, sf_dir):
         "per_day_cap", "random_state", "rows_after_per_day_cap", "dropped_for_cap", "split_cutoff", "train_rows", "val_rows")
 
 
+@query("sink_json_manifest_single", on_kept(", ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY app_id, CAST(at_parsed AS DATE) ORDER BY "
+    + TICKET.format(id="review_id") + """, review_id) AS place FROM kept_en WHERE at_parsed IS NOT NULL)
+SELECT 'per_day_cap' AS steps, (SELECT COUNT(*) FROM kept_en) AS input_rows,
+  (SELECT COUNT(*) FROM kept_en WHERE at_parsed IS NULL) AS dropped_missing_time,
+  (SELECT COUNT(*) FROM ranked WHERE place <= 3) AS rows_after_per_day_cap,
+  (SELECT COUNT(*) FROM ranked WHERE place > 3) AS dropped_for_cap, 'sample' AS single"""))
+def sink_json_manifest_single(spark, sf_dir):
+    """A run with a cap alone: one step, one output."""
+    from ..sources.shared import new_path
+    from ..sources.sinks import write_json
+    manifest = sampling.sampling_manifest(stored_en(spark, sf_dir), cap=3, outputs={"single": "sample"})
+    path = new_path(spark, "manifest")
+    write_json(manifest, path)
+    back = spark.read.schema(manifest.schema).json(path)
+    return back.select(F.array_join("steps", ",").alias("steps"), "input_rows", "dropped_missing_time", "rows_after_per_day_cap",
+                       "dropped_for_cap", "outputs.single")
+
+
 # ---- collection ------------------------------------------------------------------------------
 
 def plan_of(spark, sf_dir):

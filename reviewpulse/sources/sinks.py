@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,12 +34,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def report_rows(df: DataFrame, section: str, subsection: str, table: str, order: list) -> DataFrame:
+def report_rows(df: DataFrame, section: str, subsection: str, table: str, numbered: DataFrame) -> DataFrame:
     """One report table as (section, subsection, table, row_no, payload).
 
     The payload is a JSON object of text values: fractions with six decimals, everything else as is.
-    Report tables are aggregates that were small enough to print; ``row_no`` needs one ordered pass
-    over one such table.
+    ``numbered`` is the table with its ``row_no``.
     """
     def as_text(field):
         col = F.col(field.name)
@@ -47,7 +46,6 @@ def report_rows(df: DataFrame, section: str, subsection: str, table: str, order:
             col = col.cast("decimal(30,6)")
         return col.cast("string").alias(field.name)
 
-    numbered = df.withColumn("row_no", F.row_number().over(Window.partitionBy(F.lit(table)).orderBy(*order)))
     payload = F.to_json(F.struct(*[as_text(f) for f in df.schema.fields]), {"ignoreNullFields": "false"})
     return numbered.select(
         F.lit(section).alias("section"), F.lit(subsection).alias("subsection"),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewpulse.functions import stats
-from reviewpulse.operators import clean, profile
+from reviewpulse.operators import clean, keyed, profile
 from reviewpulse.sources import sinks
 
 from .conftest import as_dict
@@ -112,9 +112,19 @@ def test_union_of_frames(spark):
 
 
 def test_report_bundle_orders_rows_and_tolerates_missing_tables(spark, scores):
-    part = sinks.report_rows(profile.rating_distribution(scores), "A", "A1", "a1", ["score"])
+    table = profile.rating_distribution(scores)
+    part = sinks.report_rows(table, "A", "A1", "a1", keyed.with_row_numbers(table, ["score"], "row_no"))
     rows = sinks.report_bundle([part, None]).orderBy("row_no").collect()
     assert [r.row_no for r in rows] == [1, 2, 3, 4, 5, 6][:len(rows)]
     assert rows[0].payload == '{"score":"1.000000","count":"2"}'
     with pytest.raises(ValueError):
         sinks.report_bundle([None])
+
+
+def test_row_numbers_in_range_parts(spark):
+    rows = spark.range(5000).select(F.pmod(F.col("id") * 7919, F.lit(5000)).alias("k"), F.lit("x").alias("v"))
+    got = keyed.with_row_numbers(rows, [F.desc("k")], "row_no")
+    assert sorted((r.row_no, r.k) for r in got.collect()) == [(i + 1, 4999 - i) for i in range(5000)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number()" in plan and "[range_part" in plan
+    assert keyed.with_row_numbers(rows.limit(0), ["k"], "row_no").count() == 0

@@ -70,6 +70,23 @@ def test_manifest_adds_up(spark, timed):
     assert m.train_rows == 5 and m.val_rows == 6 and list(m.excluded_spike_days) == ["2024-01-03"]
 
 
+def test_manifest_tells_of_the_steps_that_ran(timed):
+    spikes = sampling.spike_days(timed.groupBy(F.to_date("at_parsed").alias("day")).agg(F.count("*").alias("reviews")), 1)
+    full = sampling.sampling_manifest(timed, spikes, 4, "2024-01-02").first()
+    assert list(full.steps) == ["exclude_spikes", "per_day_cap", "time_split"] and full.outputs.asDict() == {"train": "train", "val": "val"}
+    split = sampling.sampling_manifest(timed, cutoff="2024-01-02")
+    assert {"per_day_cap", "excluded_spike_days"}.isdisjoint(split.columns) and list(split.first().steps) == ["time_split"]
+    assert split.first().train_rows + split.first().val_rows == split.first().input_rows - 1
+    capped = sampling.sampling_manifest(timed, cap=1, cutoff=None).first()
+    assert (capped.rows_after_per_day_cap, capped.dropped_for_cap) == (6, 18) and capped.outputs.asDict() == {"single": "single"}
+    days = sampling.sampling_manifest(timed, spikes).first()
+    assert list(days.steps) == ["exclude_spikes"] and "split_cutoff" not in days and days.dropped_for_spike_days == 11
+    with pytest.raises(ValueError, match="nothing to do"):
+        sampling.sampling_manifest(timed)
+    with pytest.raises(ValueError, match="1 rows"):
+        sampling.sampling_manifest(timed, cap=1, drop_missing=False)
+
+
 def test_nothing_to_do_is_an_error(timed):
     with pytest.raises(ValueError):
         sampling.sample(timed)
