@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,21 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(a, b - a)
 
 
+def releasing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The work of a task, which at its end gives what it freed back to the system: workers stay for later stages."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 class RowIds:
     """Numbers the rows of a task; the same rows get the same numbers when a task runs again on its split."""
 

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import settle
-from .common import text_chunks, with_unique_names
+from .common import releasing, text_chunks, with_unique_names
 from .encoding import shared_encoder
 
 CAPACITY = 2048
+# Text that a task encodes at once; its words, as many objects, are what takes memory.
+CHUNK_BYTES = 2 << 20
 # A piece may fall this many tokens short of its class before it is cut instead.
 SLACK = 8
 
@@ -55,7 +57,7 @@ def document_pieces(documents: DataFrame, tokenizer: str, end_id: int = 1, capac
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, task = shared_encoder(tokenizer, keeps_space=False), defaultdict(int), TaskContext.get().partitionId()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             at, rows, pieces = [], [], []
             for i, found in enumerate(encoder.encode(chunk.column("text").to_pylist())):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
@@ -77,7 +79,7 @@ def document_pieces(documents: DataFrame, tokenizer: str, end_id: int = 1, capac
                 "doc_id", "start", "length", "ids_crc32", "doc_tokens", "kind", "place", "task"] + ["ids"] * with_ids)
 
     schema = f"doc_id {doc_kind}, start long, length long, ids_crc32 long, doc_tokens long, kind long, place long, task long"
-    return docs.mapInArrow(cut_all, schema + (", ids array<long>" if with_ids else ""))
+    return docs.mapInArrow(releasing(cut_all), schema + (", ids array<long>" if with_ids else ""))
 
 
 def first_fit(bins: pd.DataFrame, capacity: int) -> pd.DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import settle
-from .common import mix64, sliced, slices_for, text_chunks, with_unique_names, words
+from .common import mix64, releasing, sliced, slices_for, text_chunks, with_unique_names, words
 from .components import connected
 
 SHINGLE = 5
@@ -149,7 +149,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.mapInArrow(
-        describe, f"doc_id {kind}, n_shingles long, set_id long, members array<struct<member:long,needed:long,sketch:binary>>")
+        releasing(describe), f"doc_id {kind}, n_shingles long, set_id long, members array<struct<member:long,needed:long,sketch:binary>>")
 
 
 def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
@@ -220,10 +220,10 @@ def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
                  pa.array([None] if member is None else n, pa.int64())],
                 names=["slice", "keys", "members", "member", "centre", "n"])
 
-    sent = docs.mapInArrow(send, "slice long, keys binary, members binary, member long, centre long, n long")
+    sent = docs.mapInArrow(releasing(send), "slice long, keys binary, members binary, member long, centre long, n long")
     # Rows counted in their task already are dealt out by member; blobs meet by slice.
     place = F.coalesce("slice", F.col("member"))
-    return sent.repartition(place).sortWithinPartitions("slice").mapInArrow(meet, "member long, centre long, n long")
+    return sent.repartition(place).sortWithinPartitions("slice").mapInArrow(releasing(meet), "member long, centre long, n long")
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +320,7 @@ def tiles(rows: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
         if len(held) > 1:
             yield from work(held, current[1] != current[2])
 
-    return tiled.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(walk, schema)
+    return tiled.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(releasing(walk), schema)
 
 
 def edges_of(ids: list[int], found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +365,7 @@ def shingled(texts: DataFrame) -> DataFrame:
                 [chunk.column(c).take(pa.array(same, pa.int64())) for c in ("family", "chunks", "set_id")] +
                 [pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["family", "chunks", "set_id", "shingles"])
 
-    return texts.mapInArrow(read, "family long, chunks long, set_id long, shingles binary")
+    return texts.mapInArrow(releasing(read), "family long, chunks long, set_id long, shingles binary")
 
 
 def small(stored: DataFrame) -> DataFrame:
