@@ -24,7 +24,7 @@ PARTS = re.compile(f" ?{LETTER}+|{MARK}+|\n")
 # Marks a piece that is not behind a blank; texts with this character are cut in another way.
 BARE = "\x00"
 # Pieces held per worker; beyond it the memory starts anew.
-HELD_PIECES = 400_000
+HELD_PIECES = 150_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -114,7 +114,7 @@ class Encoder:
                 plain[unit] = PARTS.findall(text if self.keeps_space else text.lower())
             else:
                 other.append((unit, text))
-        new = list({p for parts in plain.values() for p in parts} - self.parts.keys())
+        new = [p for p in set(chain.from_iterable(plain.values())) if p not in self.parts]
         # The model alone sees bytes as their stand-ins, which make up all of a part but keep the joining zero byte.
         seen = BARE.join(new).encode().decode("latin-1").translate(self.letters).split(BARE) if new else []
         tokenize = self.whole.model.tokenize

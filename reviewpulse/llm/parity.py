@@ -29,7 +29,9 @@ FIRST_BAND, BAND_FACTOR = 64, 4
 FILL = 2.1
 SMALL_SEGMENTS = 1 << 20
 # Segment rows a task gathers before it combines and sends them.
-HELD_ROWS = 1 << 21
+HELD_ROWS = 1 << 20
+# Text that a task shingles at once.
+CHUNK_BYTES = 2 << 20
 # Members of a family that one task compares with each other; larger families are tiled.
 FAMILY_ROWS = 1024
 HELD_WORDS = 400_000
@@ -130,7 +132,7 @@ def described(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_id`` per row and the set's one or two members: needed equal segments and dense sketch."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             sizes, sets, members = [], [], []
             for s in shingle_sets(chunk.column("text").to_pylist(), hashes):
                 sizes.append(len(s))
@@ -160,7 +162,7 @@ def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
     """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys, members, held = WordHashes(), [], [], 0
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             for s in shingle_sets(chunk.column("text").to_pylist(), hashes):
                 if not len(s):
                     continue
@@ -356,7 +358,7 @@ def shingled(texts: DataFrame) -> DataFrame:
     """Whole shingle sets for ``family, chunks, set_id, text``."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             sets = shingle_sets(chunk.column("text").to_pylist(), hashes)
             # Rows that only share an id with the wanted document have another set.
             same = [i for i, (s, want) in enumerate(zip(sets, chunk.column("set_id").to_pylist()))
