@@ -154,23 +154,31 @@ def described(docs: DataFrame) -> DataFrame:
         releasing(describe), f"doc_id {kind}, n_shingles long, set_id long, members array<struct<member:long,needed:long,sketch:binary>>")
 
 
-def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
-    """``member, centre, n``: segments that a member has in common with others, by the smallest member that has them.
+def shared_segments(docs: DataFrame, slices: int, chosen: bool = False) -> DataFrame:
+    """``member, centre, n``: segments that a member has in common with others.
 
-    A task combines its rows first: of the members that share a segment only the smallest is sent on,
-    so a segment common to a third of all documents costs one row per task, not one task all rows.
+    As sums per member (then its own centre); or, if ``docs`` names in ``chosen`` the members that take
+    part, by the smallest member that has the segments. A task combines its rows first: of the members
+    that share a segment only the smallest is sent on, so a segment common to a third of all documents
+    costs one row per task, not one task all rows.
     """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys, members, held = WordHashes(), [], [], 0
         for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
-            for s in shingle_sets(chunk.column("text").to_pylist(), hashes):
+            sets = shingle_sets(chunk.column("text").to_pylist(), hashes)
+            wanted = chunk.column("chosen").to_pylist() if chosen else [None] * len(sets)
+            for s, want in zip(sets, wanted):
                 if not len(s):
                     continue
                 identity = set_id(s)
                 for band in bands(len(s)):
+                    member = member_id(identity, band)
+                    # Rows that only share an id with a chosen document have other members.
+                    if chosen and int(member.view(np.int64)) not in want:
+                        continue
                     found = segments(s, band)
                     keys.append(found)
-                    members.append(np.full(len(found), member_id(identity, band)))
+                    members.append(np.full(len(found), member))
                     held += len(found)
             if held > HELD_ROWS:
                 yield from combine(np.concatenate(keys), np.concatenate(members))
@@ -183,7 +191,7 @@ def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
         yield from emit([(s, rest(k), m, None, None, None) for s, k, m in sliced(keys[first], slices, members[first])])
         if len(again):
             # The smallest of a group comes with the flag; it is counted where its segment arrives.
-            m, c, n = pairs(rows[again], centre[again])
+            m, c, n = pairs(rows[again], (centre if chosen else rows)[again])
             yield from emit([(None, None, None, m.view(np.int64), c.view(np.int64), n)])
 
     def rest(blob: bytes) -> bytes:
@@ -225,12 +233,14 @@ def shared_segments(docs: DataFrame, slices: int) -> DataFrame:
     sent = docs.mapInArrow(releasing(send), "slice long, keys binary, members binary, member long, centre long, n long")
     # Rows counted in their task already are dealt out by member; blobs meet by slice.
     place = F.coalesce("slice", F.col("member"))
-    return sent.repartition(place).sortWithinPartitions("slice").mapInArrow(releasing(meet), "member long, centre long, n long")
+    return sent.repartition(place).sortWithinPartitions("slice").mapInArrow(
+        releasing(lambda batches: meet(batches, chosen)), "member long, centre long, n long")
 
 
-def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def meet(batches: Iterator[pa.RecordBatch], by_centre: bool) -> Iterator[pa.RecordBatch]:
     """Members of each shared segment of a slice; blobs come sorted by slice, one slice is held at a time."""
     current, keys, members = None, [], []
+    found, held = [], 0
     for batch in batches:
         counted = batch.filter(pa.compute.is_null(batch.column("slice")))
         if counted.num_rows:
@@ -239,34 +249,47 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if s is None:
                 continue
             if s != current and keys:
-                yield from meet_slice(np.concatenate(keys), np.concatenate(members))
+                found.append(meet_slice(np.concatenate(keys), np.concatenate(members)))
+                held += len(found[-1][0])
                 keys, members = [], []
+                if held > HELD_ROWS:
+                    yield summed(found, by_centre)
+                    found, held = [], 0
             current = s
             keys.append(np.frombuffer(k, np.uint32))
             members.append(np.frombuffer(m, np.uint64))
     if keys:
-        yield from meet_slice(np.concatenate(keys), np.concatenate(members))
+        found.append(meet_slice(np.concatenate(keys), np.concatenate(members)))
+    if found:
+        yield summed(found, by_centre)
 
 
-def meet_slice(keys: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
+def meet_slice(keys: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members of the shared segments, and the smallest member of each one's segment."""
     order = np.argsort(keys)
     keys, members = keys[order], members[order]
     same = keys[1:] == keys[:-1]
     flagged = (members & np.uint64(1)).astype(bool)
     many = np.flatnonzero(np.r_[False, same] | np.r_[same, False] | flagged)
     keys, members, flagged = keys[many], members[many] & ~np.uint64(1), flagged[many]
+    if not len(keys):
+        return members, members
     order = np.lexsort((members, keys))
     keys, members, flagged = keys[order], members[order], flagged[order]
-    new = np.r_[True, keys[1:] != keys[:-1]][:len(keys)]
-    fresh = new | np.r_[True, members[1:] != members[:-1]][:len(keys)]
+    new = np.r_[True, keys[1:] != keys[:-1]]
+    fresh = new | np.r_[True, members[1:] != members[:-1]]
     which = np.cumsum(new) - 1
     # Copies of one set alone share nothing.
-    groups = np.bincount(which, fresh) if len(which) else np.zeros(0)
-    shared = (groups >= 2) | (np.bincount(which, flagged) > 0) if len(which) else groups
-    at = np.flatnonzero(fresh & shared[which]) if len(which) else np.zeros(0, int)
-    if len(at):
-        m, c, n = pairs(members[at], members[np.flatnonzero(new)][which[at]])
-        yield pa.RecordBatch.from_arrays([pa.array(m.view(np.int64)), pa.array(c.view(np.int64)), pa.array(n)], names=["member", "centre", "n"])
+    shared = (np.bincount(which, fresh) >= 2) | (np.bincount(which, flagged) > 0)
+    at = np.flatnonzero(fresh & shared[which])
+    return members[at], members[np.flatnonzero(new)][which[at]]
+
+
+def summed(found: list[tuple[np.ndarray, np.ndarray]], by_centre: bool) -> pa.RecordBatch:
+    members, centres = (np.concatenate(side) for side in zip(*found))
+    m, c, n = pairs(members, centres if by_centre else members)
+    return pa.RecordBatch.from_arrays([pa.array(m.view(np.int64)), pa.array(c.view(np.int64)), pa.array(n, pa.int64())],
+                                      names=["member", "centre", "n"])
 
 
 def pairs(members: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -381,18 +404,6 @@ def in_families(members: DataFrame) -> DataFrame:
     return members.join(sizes.filter("n > 1").select(F.col("family").alias("f"), "chunks"), F.col("family") == F.col("f")).drop("f")
 
 
-def routes(shared: DataFrame, kept: DataFrame) -> DataFrame:
-    """Edges ``a, b`` that lead kept members which share a segment to each other.
-
-    A task sends on only its smallest member of a segment, so a kept member reaches the segment's smallest
-    member over its task's one. That one's rows count whether it is kept or not.
-    """
-    own = shared.join(kept, F.col("member") == F.col("kept"), "left_semi")
-    ways = settle(own.select(F.col("centre").alias("way")).unionAll(kept.select("kept")).distinct(), "ways")
-    return shared.join(ways, F.col("member") == F.col("way"), "left_semi").select(
-        F.col("member").alias("a"), F.col("centre").alias("b"))
-
-
 def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.75 or more.
 
@@ -402,7 +413,8 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
 
     1. Equal sets are one set. Each goes to its size band, and to the one below if partners can lie there.
     2. Segments of the sketches meet by key. A similar pair has all but ``most_difference`` segments in
-       common, so sets with fewer shared segments than that have no partner and leave.
+       common, so members with fewer shared segments than that have no partner and leave. A first pass only
+       counts; a second one sends the segments of what is left, one text per set.
     3. What is left falls into families connected by shared segments. Dense sketches are compared within
        them: pairs that differ in too many bits are ruled out, which leaves small families.
     4. Whole sets of these are read, and pairs that are not connected already are verified by their
@@ -413,15 +425,18 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     docs = with_unique_names(documents, doc_id=id_column, text=text_column)
     sets = settle(described(docs), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = settle(shared_segments(docs, slices_for(total)), "segments")
-
     each = sets.filter("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("size"), F.first("members").alias("members"))
     members = settle(each.select("set_id", "size", "first_id", F.inline("members")), "members")
-    counts = shared.groupBy("member").agg(F.sum("n").alias("n"))
-    kept = settle(counts.join(members.select("member", "needed"), "member").filter("n >= needed").select(F.col("member").alias("kept")), "kept")
-    hubs = connected(routes(shared, kept))
-    coarse = settle(hubs.join(kept, F.col("node") == F.col("kept"), "left_semi").select(F.col("root").alias("hub"), "node"), "coarse")
+    counts = shared_segments(docs, slices_for(total)).groupBy("member").agg(F.sum("n").alias("n"))
+    kept = counts.join(members.select("member", "needed", "set_id", "first_id", "size"), "member").filter("n >= needed")
+    # A set has two members at most.
+    chosen = settle(kept.groupBy("set_id", "first_id", "size").agg(F.collect_list("member").alias("chosen")), "chosen")
+    total = chosen.agg(F.sum("size")).first()[0] or 0
+    again = docs.join(small(chosen), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "chosen")
+    shared = shared_segments(again, slices_for(2 * total), chosen=True)
+    hubs = connected(shared.select(F.col("member").alias("a"), F.col("centre").alias("b")))
+    coarse = settle(hubs.select(F.col("root").alias("hub"), "node"), "coarse")
     # A chance match of shortened keys can connect bands, whose sketches differ in width; links never do.
     banded = members.join(small(coarse), F.col("node") == F.col("member")).select(
         F.xxhash64("hub", F.octet_length("sketch")).alias("family"), "set_id", "size", "sketch")
