@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import chain, pairwise
 
@@ -23,7 +24,7 @@ PLAIN = re.compile(f"(?: ?{LETTER}+{MARK}*|\n)(?:{LETTER}+{MARK}*)*")
 PARTS = re.compile(f" ?{LETTER}+|{MARK}+|\n")
 # Marks a piece that is not behind a blank; texts with this character are cut in another way.
 BARE = "\x00"
-# Pieces held per worker; beyond it the memory starts anew.
+# Pieces held per worker; beyond it only those stay that the last texts repeat.
 HELD_PIECES = 150_000
 
 
@@ -91,18 +92,19 @@ class Encoder:
         found = list(map(self.held.get, units))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            if len(self.held) > HELD_PIECES:
-                self.held = {}
             if len(self.parts) > HELD_PIECES:
                 self.parts = {}
+            lacking = [units[i] for i in missing]
             # Many small lists are made and dropped at once, none of them in cycles.
             gc.disable()
             try:
-                known = self.learn({units[i] for i in missing})
+                known = self.learn(set(lacking))
             finally:
                 gc.enable()
-            for i in missing:
-                found[i] = known[units[i]]
+            for i, ids in zip(missing, map(known.__getitem__, lacking)):
+                found[i] = ids
+            if len(self.held) > HELD_PIECES:
+                self.held = {unit: self.held[unit] for unit, n in Counter(units).items() if n > 1}
         return [np.frombuffer(b"".join(found[a:b]), "<u4") for a, b in zip([0, *ends], ends)]
 
     def learn(self, units: set) -> dict:
