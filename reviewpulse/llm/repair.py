@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_path, settle
-from .common import text_chunks, with_unique_names
+from .common import releasing, text_chunks, with_unique_names
 from .encoding import shared_encoder
 
 MAGIC = b"RPIDS1\n\x00"
@@ -25,89 +25,84 @@ SHARD_IDS = 1 << 21
 # How often a pair must occur to get a rule; rounds of replacement go on as long as one does.
 LEAST_PAIRS = 24
 COUNTERS = 1 << 20
+# Positions that are counted exactly, by sorting; more of them by hash.
+EXACT_PAIRS = 1 << 18
 # Odd numbers that spread pairs over the counters, one per round.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
 
-def replace_pairs(ids: np.ndarray, first_symbol: int, least: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def replace_pairs(ids: np.ndarray, active: np.ndarray, first_symbol: int, least: int, salt: int = 0, hashed: bool = True) -> tuple:
     """One round: give frequent pairs nonterminals and put them in place of the pairs.
 
-    Pairs are counted by hash. A counter of at least ``least`` stands for one of its pairs, whose
-    occurrences are chosen from left to right without overlap; other pairs of that counter wait for
-    the next round, which hashes differently. Returns the shorter sequence and the rules' pairs in
-    order of their symbols.
+    Only ``active`` positions are counted, which are all occurrences of every pair that occurs ``least``
+    times. Returns the shorter sequence, its active positions, and the rules' pairs in order of their
+    symbols. A position stays active if its pair may still be frequent; next to a new symbol it becomes so.
     """
-    none = np.empty((0, 2), np.uint32)
-    if len(ids) < 2:
-        return ids, none
-    pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
-    slot = ((pair * np.uint64(MULTIPLIERS[salt % len(MULTIPLIERS)])) >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
-    at = np.flatnonzero((np.bincount(slot, minlength=COUNTERS) >= least)[slot])
-    pair, slot = pair[at], slot[at]
-    stands = np.zeros(COUNTERS, np.uint64)
-    stands[slot] = pair
-    same = np.flatnonzero(stands[slot] == pair)
-    at, slot = at[same], slot[same]
-    if not len(at):
-        return ids, none
-    # In a run of overlapping candidates every other one is taken.
-    fresh = np.diff(at, prepend=-2) != 1
-    starts = np.flatnonzero(fresh)
-    in_run = np.arange(len(at)) - starts[np.cumsum(fresh) - 1]
-    taken = np.flatnonzero((in_run & 1) == 0)
+    at = np.flatnonzero(active[:-1])
+    pair = (ids[at].astype(np.uint64) << np.uint64(32)) | ids[at + 1]
+    exact = not hashed or len(at) <= EXACT_PAIRS
+    if exact:
+        kinds, slot = np.unique(pair, return_inverse=True)
+    else:
+        slot = ((pair * np.uint64(MULTIPLIERS[salt % len(MULTIPLIERS)])) >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
+        kinds = np.zeros(COUNTERS, np.uint64)
+    counts = np.bincount(slot, minlength=len(kinds))
+    often = np.flatnonzero(counts[slot] >= least)
+    at, pair, slot = at[often], pair[often], slot[often]
+    active = np.zeros(len(ids), bool)
+    active[at] = True
+    if exact:
+        rank = np.empty(len(kinds), np.int64)
+        rank[np.lexsort((kinds, counts))] = np.arange(len(kinds))
+        taken = most_frequent_first(at, rank[slot])
+    else:
+        # A counter stands for one of its pairs; others wait for a round that hashes differently.
+        kinds[slot] = pair
+        same = np.flatnonzero(kinds[slot] == pair)
+        at, slot = at[same], slot[same]
+        taken = every_other(np.diff(at, prepend=-2) != 1)
     at, slot = at[taken], slot[taken]
-    counts = np.bincount(slot, minlength=COUNTERS)
-    used = np.flatnonzero(counts >= max(2, least // 2))
-    number = np.full(COUNTERS, -1, np.int64)
+    used = np.flatnonzero(np.bincount(slot, minlength=len(kinds)) >= max(2, least // 2))
+    number = np.full(len(kinds), -1, np.int64)
     number[used] = first_symbol + np.arange(len(used))
     symbol = number[slot]
     at, symbol = at[symbol >= 0], symbol[symbol >= 0]
-    out = ids.copy()
-    out[at] = symbol
-    keep = np.ones(len(ids), bool)
-    keep[at + 1] = False
-    kinds = stands[used]
-    return out[keep], np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-
-
-def replace_most_frequent(ids: np.ndarray, symbol: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """One rule for the pair that occurs most, by exact counts; none if no pair occurs ``least`` times."""
-    none = np.empty((0, 2), np.uint32)
-    if len(ids) < 2:
-        return ids, none
-    pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
-    kinds, counts = np.unique(pair, return_counts=True)
-    if counts.max() < least:
-        return ids, none
-    most = kinds[counts.argmax()]
-    at = np.flatnonzero(pair == most)
-    # Occurrences overlap only in runs of one id: every other one is taken.
-    starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-    run = np.repeat(starts, np.diff(np.r_[starts, len(at)]))
-    at = at[(np.arange(len(at)) - run) & 1 == 0]
-    out = ids.copy()
-    out[at] = symbol
-    keep = np.ones(len(ids), bool)
-    keep[at + 1] = False
-    return out[keep], np.array([[most >> np.uint64(32), most & np.uint64(0xFFFFFFFF)]], np.uint32)
+    out, keep = ids.copy(), np.ones(len(ids), bool)
+    out[at], keep[at + 1] = symbol, False
+    # The symbol before a new one: if it is new as well, it is active and the position between them goes.
+    active[at] = True
+    active[at[at > 0] - 1] = True
+    kinds = kinds[used]
+    return out[keep], active[keep], np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+
+
+def every_other(fresh: np.ndarray) -> np.ndarray:
+    """Whether a position is the first, third, ... of its run; ``fresh`` marks where runs begin."""
+    starts = np.flatnonzero(fresh)
+    return (np.arange(len(fresh)) - starts[np.cumsum(fresh) - 1]) & 1 == 0
+
+
+def most_frequent_first(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of overlapping pairs those of a higher rank than both neighbours; in a run of one pair every other one."""
+    after = np.diff(at, prepend=-2) == 1
+    left = np.where(after, np.r_[-1, rank[:-1]][:len(at)], -1)
+    right = np.where(np.r_[after[1:], False][:len(at)], np.r_[rank[1:], -1][:len(at)], -1)
+    return (rank >= left) & (rank >= right) & every_other(rank != left)
 
 
 def compress(ids: np.ndarray, least: int = LEAST_PAIRS) -> tuple[int, np.ndarray, np.ndarray]:
     """Grammar of a sequence: the first nonterminal, the rules (pairs of symbols), the sequence left over.
 
-    Ends when no pair of the sequence left occurs ``least`` times. Each rule shortens it, so it ends.
+    Ends when no pair of the sequence left occurs ``least`` times (three at least: less saves nothing). In
+    a round with exact counts the most frequent pair always gets its rule, and a round with hashed ones
+    that makes no rule is followed by such a round; each rule shortens the sequence.
     """
-    least = max(2, least)
+    least = max(3, least)
     terminals = int(ids.max()) + 1 if len(ids) else 0
     rules, left = [np.empty((0, 2), np.uint32)], ids.astype(np.uint32)
-    first, turn = terminals, 0
-    while True:
-        left, new = replace_pairs(left, first, least, turn)
-        if not len(new):
-            # Frequent pairs can hide behind others of their counter.
-            left, new = replace_most_frequent(left, first, least)
-        if not len(new):
-            break
+    active, first, turn = np.ones(len(left), bool), terminals, 0
+    while active[:-1].any():
+        left, active, new = replace_pairs(left, active, first, least, turn, hashed=not turn or len(rules[-1]) > 0)
         rules.append(new)
         first, turn = first + len(new), turn + 1
     return terminals, np.concatenate(rules), left
@@ -244,7 +239,7 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: str, end_id: int
             yield close()
 
     shards = settle(ordered.select("doc_id", "text").mapInArrow(
-        write, "task long, part long, file string, documents long, ids long"), "shards")
+        releasing(write), "task long, part long, file string, documents long, ids long"), "shards")
     # One row per shard: a running sum over the list, not over documents.
     before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
     return shards.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
@@ -273,7 +268,7 @@ def read_shards(spark: SparkSession, folder: str, shards: DataFrame, id_type: st
 
     # A row stands for a whole file, so the list is dealt out evenly.
     dealt = shards.repartition(max(1, shards.count()), F.xxhash64("file"))
-    return dealt.mapInArrow(read, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
+    return dealt.mapInArrow(releasing(read), f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
 
 
 def round_trip(documents: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

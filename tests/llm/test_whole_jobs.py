@@ -53,3 +53,32 @@ def test_no_frequent_pair_is_left():
     # A passage that 40 documents have is about one symbol in each.
     assert len(left) < 40 * 60
     assert (repair.expand(left, terminals, rules) == ids).all()
+
+
+def test_grammar_rounds_leave_no_frequent_pair_however_pairs_are_counted(monkeypatch):
+    rng = np.random.default_rng(1)
+    for _ in range(150):
+        ids = rng.integers(0, rng.integers(1, 6), rng.integers(0, 600)).astype(np.uint32)
+        least = int(rng.integers(2, 30))
+        monkeypatch.setattr(repair, "EXACT_PAIRS", int(rng.choice([0, 20, 1 << 18])))
+        monkeypatch.setattr(repair, "COUNTERS", int(rng.choice([16, 64, 1 << 20])))
+        terminals, rules, left = repair.compress(ids, least)
+        assert (repair.expand(left, terminals, rules) == ids).all()
+        pairs = (left[:-1].astype(np.uint64) << np.uint64(32)) | left[1:]
+        assert len(left) < 2 or np.unique(pairs, return_counts=True)[1].max() < max(3, least)
+
+
+def test_a_full_memory_of_pieces_changes_no_ids(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from reviewpulse.llm import encoding
+
+    monkeypatch.setattr(encoding, "HELD_PIECES", 20)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{w}{m}" for w, m in zip(rng.choice(["the", "Été", "word", "x1", "%%%"], 40), rng.choice(["", "!", "a", "9"], 40)))
+             for _ in range(30)]
+    for name, keeps_space in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        encoder, whole = encoding.Encoder(public_tokenizers.path(name), keeps_space), Tokenizer.from_file(public_tokenizers.path(name))
+        for part in (texts[:10], texts[10:20], texts[20:] + texts[:10]):
+            assert [x.tolist() for x in encoder.encode(part)] == [whole.encode(t, add_special_tokens=False).ids for t in part]
