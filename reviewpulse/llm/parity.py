@@ -296,7 +296,7 @@ def pairs(members: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Distinct (member, centre) pairs and how often each occurs."""
     order = np.lexsort((centres, members))
     m, c = members[order], centres[order]
-    starts = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (c[1:] != c[:-1])])
+    starts = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (c[1:] != c[:-1])][:len(m)])
     return m[starts], c[starts], np.diff(np.r_[starts, len(m)])
 
 
