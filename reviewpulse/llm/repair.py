@@ -51,18 +51,20 @@ def replace_pairs(ids: np.ndarray, active: np.ndarray, first_symbol: int, least:
     at, pair, slot = at[often], pair[often], slot[often]
     active = np.zeros(len(ids), bool)
     active[at] = True
-    if exact:
-        rank = np.empty(len(kinds), np.int64)
-        rank[np.lexsort((kinds, counts))] = np.arange(len(kinds))
-        taken = most_frequent_first(at, rank[slot])
-    else:
+    if not exact:
         # A counter stands for one of its pairs; others wait for a round that hashes differently.
         kinds[slot] = pair
         same = np.flatnonzero(kinds[slot] == pair)
         at, slot = at[same], slot[same]
-        taken = every_other(np.diff(at, prepend=-2) != 1)
+    taken = every_other(np.diff(at, prepend=-2) != 1)
+    used = often_enough(slot[taken], len(kinds), least)
+    if exact and not len(used):
+        # No pair has enough places of its own in the runs of overlapping pairs.
+        rank = np.empty(len(kinds), np.int64)
+        rank[np.lexsort((kinds, counts))] = np.arange(len(kinds))
+        taken = most_frequent_first(at, rank[slot])
+        used = often_enough(slot[taken], len(kinds), least)
     at, slot = at[taken], slot[taken]
-    used = np.flatnonzero(np.bincount(slot, minlength=len(kinds)) >= max(2, least // 2))
     number = np.full(len(kinds), -1, np.int64)
     number[used] = first_symbol + np.arange(len(used))
     symbol = number[slot]
@@ -76,6 +78,10 @@ def replace_pairs(ids: np.ndarray, active: np.ndarray, first_symbol: int, least:
     return out[keep], active[keep], np.stack([kinds >> np.uint64(32), kinds & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
 
 
+def often_enough(slot: np.ndarray, kinds: int, least: int) -> np.ndarray:
+    return np.flatnonzero(np.bincount(slot, minlength=kinds) >= max(2, least // 2))
+
+
 def every_other(fresh: np.ndarray) -> np.ndarray:
     """Whether a position is the first, third, ... of its run; ``fresh`` marks where runs begin."""
     starts = np.flatnonzero(fresh)
