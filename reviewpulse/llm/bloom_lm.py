@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,23 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import settle
-from .common import RowIds, as_strings, cut, mix64, sliced, slices_for, text_chunks, with_unique_names, words
+from .common import RowIds, as_strings, mix64, releasing, slices_for, text_chunks, with_unique_names, words
 from .lookup import count_terms, frequent_terms
 
-# The filter is broadcast: 32 MB at any size of the corpus. Bits are tested at HASHES places per level.
-FILTER_BITS = 1 << 28
+# Least count with which an n-gram of one, two, ... words enters; as many orders as entries.
+LEAST = (1, 1, 2, 2)
+# Counts are kept as levels, which begin at the least count times powers of BASE, rounded up.
+BASE = 1.25
+# Bits are tested at HASHES places per level.
 HASHES = 4
-# Counts are kept as levels: level q stands for least * BASE ** (q - 1).
-BASE = 1.5
-# Least count with which a word and a pair enters, and what is taken off a pair's count for unseen ones.
-LEAST = (1, 2)
-DISCOUNT = 0.5
-# Words that serve as context of pairs, the most frequent ones; other contexts fall back to single words.
-CONTEXTS = 1 << 15
-START, SINGLE = CONTEXTS, (1 << 18) - 1
+# A context that occurs n times is taken to have n ** GROWTH different words behind it.
+GROWTH = 0.8
+# The filter grows with the corpus. Up to this size it is broadcast, beyond it n-grams go to its stored segments.
+BROADCAST_BYTES = 192 << 20
+# Tokens a task holds before it passes its partial counts on, and about as many of the corpus for each segment.
+HELD_TOKENS, SLICE_TOKENS = 1 << 22, 1 << 20
+# Longest word that is hashed along with others, eight bytes at a time.
+WORD_BYTES = 64
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
-UNSPREAD = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-HELD_GRAMS = 1 << 21
+LOW = np.uint64(0xFFFFFFFF)
+START, END = mix64(np.array([1, 2], np.uint64))
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -36,279 +40,347 @@ def tokens(text: str | None) -> list[bytes]:
     return [*words(text), b""]
 
 
-def hash_word(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+def thresholds(least: int) -> np.ndarray:
+    """Least count of each level from the first; a level's counts end below the next one's. Fewer than 255 levels."""
+    return np.unique(np.ceil(least * BASE ** np.arange(180) - 1e-9).astype(np.int64))
 
 
 def level_of(counts: np.ndarray, least: int) -> np.ndarray:
-    """Quantised count, 1 for ``least``; 0 below it."""
-    safe = np.maximum(counts, least) / least
-    return np.where(counts >= least, 1 + np.floor(np.log(safe) / np.log(BASE) + 1e-9), 0).astype(np.uint8)
+    """Quantised count, 1 from ``least`` on; 0 below it."""
+    return np.searchsorted(thresholds(least), counts, side="right").astype(np.uint8)
 
 
-def value_of(level: np.ndarray, least: int) -> np.ndarray:
-    """Least count of a level; 0 for level 0."""
-    return np.where(level > 0, least * BASE ** (level.astype(np.float64) - 1), 0.0)
+def padded(values: np.ndarray) -> np.ndarray:
+    """Values of all levels that probes may find."""
+    return np.r_[values, np.full(256 - len(values), values[-1])]
 
 
-class Filter:
-    """Bits in as many segments as the grams have slices, a power of two; a gram's slice is its segment."""
-
-    def __init__(self, segments: int, bits: np.ndarray | None = None) -> None:
-        self.segments, self.width = segments, FILTER_BITS // segments
-        self.bits = bits
-
-    def probes(self, grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """First place and step of a gram's places within its segment at a level."""
-        mixed = mix64(grams + np.array([level], np.uint64) * SPREAD)
-        return mixed & np.uint64(0xFFFFFFFF), (mixed >> np.uint64(32)) | np.uint64(1)
-
-    def place(self, low: np.ndarray, step: np.ndarray, j: int) -> np.ndarray:
-        return ((low + np.uint64(j) * step) & np.uint64(self.width - 1)).astype(np.int64)
-
-    def segment(self, grams: np.ndarray, levels: np.ndarray) -> bytes:
-        """Bits of a segment that holds all levels of its grams up to the given ones."""
-        bits = np.zeros(self.width, bool)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            low, step = self.probes(grams[levels >= level], level)
-            for j in range(HASHES):
-                bits[self.place(low, step, j)] = True
-        return np.packbits(bits, bitorder="little").tobytes()
-
-    def levels(self, grams: np.ndarray) -> np.ndarray:
-        """Highest level up to which every membership probe of a gram succeeds; 0 if the first one fails."""
-        out = np.zeros(len(grams), np.uint8)
-        alive, level = np.arange(len(grams)), 1
-        base = cut(grams, self.segments) * self.width
-        while len(alive) and level < 255:
-            low, step = self.probes(grams[alive], level)
-            held = np.arange(len(alive))
-            for j in range(HASHES):
-                at = base[alive[held]] + self.place(low[held], step[held], j)
-                held = held[(self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-            alive = alive[held]
-            out[alive] = level
-            level += 1
+def least_counts(least: int) -> np.ndarray:
+    """Least count of levels 0, 1, ...: what an n-gram counts for."""
+    return padded(np.r_[0.0, thresholds(least)])
+
+
+def most_counts(least: int) -> np.ndarray:
+    """Highest count of levels 0, 1, ...: what a context counts for, so that probabilities behind it sum to 1 at most."""
+    limits = thresholds(least)
+    return padded(np.r_[0, limits[1:] - 1, limits[-1] * BASE])
+
+
+class Tokens:
+    """Token hashes of texts, each a start, its words and an end.
+
+    ``place``: a token's number in its text, ``first``: where texts start, ``begins`` and ``ends``: where
+    words lie in ``data``, ``at``: which tokens they are.
+    """
+
+    def __init__(self, texts: list[str | None]) -> None:
+        parts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        self.data = b" ".join(parts).lower() + b" " * 9
+        raw = np.frombuffer(self.data, np.uint8)
+        inside = np.r_[False, (raw != 32) & ((raw < 9) | (raw > 13))]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.begins, self.ends = edges[::2], edges[1::2]
+        of = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), self.begins, side="right")
+        counts = np.bincount(of, minlength=len(texts)) + 2
+        self.first = np.cumsum(counts) - counts
+        self.at = np.arange(len(of)) + 2 * of + 1
+        self.hashes = np.empty(int(counts.sum()), np.uint64)
+        self.hashes[self.first], self.hashes[self.first + counts - 1] = START, END
+        self.hashes[self.at] = self.hash_words(raw)
+        self.place = np.arange(len(self.hashes)) - np.repeat(self.first, counts)
+
+    def hash_words(self, raw: np.ndarray) -> np.ndarray:
+        sizes = self.ends - self.begins
+        windows = np.lib.stride_tricks.sliding_window_view(raw, 8)
+        out, at = sizes.astype(np.uint64) * SPREAD, np.arange(len(sizes))
+        for k in range(0, WORD_BYTES, 8):
+            at = at[sizes[at] > k]
+            if not len(at):
+                break
+            block = windows[self.begins[at] + k].view("<u8")[:, 0] & MASKS[np.minimum(sizes[at] - k, 8)]
+            out[at] = mix64(out[at] ^ block)
+        for i in np.flatnonzero(sizes > WORD_BYTES):
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.begins[i]:self.ends[i]])
         return out
 
 
-class Reader:
-    """Token ids, hashes and contexts of texts under a bounded vocabulary."""
+def hash_of(terms: list[str]) -> np.ndarray:
+    """Hashes of single tokens; an empty one is the end."""
+    out, some = np.full(len(terms), END), np.array([bool(t) for t in terms], bool)
+    read = Tokens([t for t in terms if t])
+    out[some] = read.hashes[read.at]
+    return out
+
+
+def grams(hashes: np.ndarray, place: np.ndarray, slices: int, orders: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per order the key of the n-gram that ends at each token, and whether the text has one there.
+
+    A key is a slice and 32 bits of a hash within it. Slices grow in number with the corpus, so of the
+    n-grams of a slice about one in two thousand shares its key, far fewer than the filter confuses.
+    """
+    shift = np.uint64(32 - (slices.bit_length() - 1))
+    gram = mix64(hashes)
+    for order in range(1, orders + 1):
+        if order > 1:
+            gram = mix64(np.r_[np.uint64(0), gram[:-1]] * SPREAD + hashes)
+        yield gram >> shift, place >= order - 1
+
+
+def by_slice(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Slices of sorted keys and where each begins and ends."""
+    of = keys >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
+    for a, b in zip(starts, [*starts[1:], len(of)]):
+        yield int(of[a]), int(a), int(b)
+
+
+def places(low: np.ndarray, step: np.ndarray, j: int, width: np.ndarray | np.uint64) -> np.ndarray:
+    """A key's place number ``j`` among ``width`` bits, fewer than 2**32."""
+    return (((low + np.uint64(j) * step) & LOW) * width >> np.uint64(32)).astype(np.int64)
+
 
-    def __init__(self, vocabulary: list[bytes]) -> None:
-        class Ids(dict):
-            def __missing__(self, _: bytes) -> int:
-                return -1
+def probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place and step of keys at a level, before they are scaled to a segment."""
+    mixed = mix64((keys & LOW) | np.uint64(level << 32))
+    return mixed & LOW, (mixed >> np.uint64(32)) | np.uint64(1)
 
-        self.ids = Ids((w, i) for i, w in enumerate(vocabulary))
-        self.hashes = np.array([*map(hash_word, vocabulary), 0], np.uint64)
 
-    def read(self, texts: list[str | None]) -> tuple:
-        """Tokens, ends of the texts, vocabulary ids (-1: not there), grams of single words and of pairs (and where)."""
-        flat: list[bytes] = []
-        ends = []
-        for text in texts:
-            flat += tokens(text)
-            ends.append(len(flat))
-        ids = np.fromiter(map(self.ids.__getitem__, flat), np.int64, len(flat))
-        hashes = self.hashes[ids]
-        for i in np.flatnonzero(ids < 0):
-            hashes[i] = hash_word(flat[i])
-        context = np.concatenate([[-1], ids[:-1]]) if len(flat) else ids
-        context = np.where(context < CONTEXTS, context, -1)
-        context[[0, *ends[:-1]]] = START
-        paired = np.flatnonzero(context >= 0)
-        tail = hashes >> np.uint64(18)
-        single = ((np.uint64(SINGLE) << np.uint64(46)) | tail) * SPREAD
-        pair = ((context[paired].astype(np.uint64) << np.uint64(46)) | tail[paired]) * SPREAD
-        return flat, np.array(ends), ids, single, pair, paired, context
+def segment(keys: np.ndarray, levels: np.ndarray, hashes: int) -> bytes:
+    """Bits, half of them set, that hold all levels of a slice's n-grams up to the given ones."""
+    width = 64 * max(1, int(np.ceil(levels.sum(dtype=np.int64) * hashes / np.log(2) / 64)))
+    bits = np.zeros(width, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        low, step = probes(keys[levels >= level], level)
+        for j in range(hashes):
+            bits[places(low, step, j, np.uint64(width))] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
-def context_of(grams: np.ndarray) -> np.ndarray:
-    return ((grams * UNSPREAD) >> np.uint64(46)).astype(np.int64)
+class Filter:
+    """Segments one after another; ``edges`` says at which byte each slice's segment begins."""
+
+    def __init__(self, bits: bytes, edges: np.ndarray, hashes: int) -> None:
+        self.bits, self.edges, self.hashes = np.frombuffer(bits, np.uint8), edges, hashes
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Highest level up to which every membership probe of a key succeeds; 0 if the first one fails."""
+        out = np.zeros(len(keys), np.uint8)
+        of = (keys >> np.uint64(32)).astype(np.int64)
+        base = self.edges[of]
+        width = ((self.edges[of + 1] - base) * 8).astype(np.uint64)
+        alive, level = np.flatnonzero(width), 1
+        while len(alive) and level < 255:
+            low, step = probes(keys[alive], level)
+            held = np.arange(len(alive))
+            for j in range(self.hashes):
+                bit = places(low[held], step[held], j, width[alive[held]])
+                found = self.bits[base[alive[held]] + (bit >> 3)] >> (bit & 7).astype(np.uint8)
+                held = held[found & 1 == 1]
+            alive = alive[held]
+            out[alive] = level
+            level += 1
+        return out
 
 
-def gram_levels(texts: DataFrame, vocabulary, slices: int) -> DataFrame:
-    """Count n-grams of all texts; per slice the kept grams, their levels and a histogram of levels.
+def segments(texts: DataFrame, slices: int, least: tuple = LEAST, hashes: int = HASHES) -> DataFrame:
+    """Count all n-grams of all texts; one row ``(slice long, bits binary)`` per slice that has any.
 
-    A task counts its grams first, so a hot gram is one row per task and slice. Counts of a slice meet
+    A task counts its n-grams first, so a hot one is one row per task and order. Counts of a slice meet
     in one task; slices grow in number with the corpus, not in size.
     """
+    names = ["slice", "length", "once", "more", "counts"]
+    kind = "slice long, length int, once binary, more binary, counts binary"
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, grams, held = Reader(vocabulary.value), [], 0
+        held, size = [], 0
         for chunk in text_chunks(batches):
-            _, _, _, single, pair, _, _ = reader.read(chunk.column("text").to_pylist())
-            grams += [single, pair]
-            held += len(single) + len(pair)
-            if held > HELD_GRAMS:
-                yield emit(np.concatenate(grams))
-                grams, held = [], 0
+            read = Tokens(chunk.column("text").to_pylist())
+            held.append((read.hashes, np.minimum(read.place, len(least)).astype(np.uint8)))
+            size += len(read.hashes)
+            if size >= HELD_TOKENS:
+                yield from emit(held)
+                held, size = [], 0
         if held:
-            yield emit(np.concatenate(grams))
-
-    def emit(grams: np.ndarray) -> pa.RecordBatch:
-        kinds, counts = np.unique(grams, return_counts=True)
-        s, k, n = zip(*sliced(kinds, slices, counts.astype(np.uint32)))
-        return pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(k, pa.binary()), pa.array(n, pa.binary())], names=["slice", "grams", "counts"])
+            yield from emit(held)
+
+    def emit(held: list) -> Iterator[pa.RecordBatch]:
+        found = grams(*map(np.concatenate, zip(*held)), slices, len(least))
+        for length, (keys, there) in enumerate(found, 1):
+            keys, counts = np.unique(keys[there], return_counts=True)
+            rows = []
+            for s, a, b in by_slice(keys):
+                key, n = keys[a:b].astype(np.uint32), counts[a:b]
+                more = n > 1
+                rows.append((s, length, key[~more].tobytes(), key[more].tobytes(), n[more].astype(np.uint32).tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=names)
+
+    def total(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of one slice and order. A key and its count are one number, sorted as such."""
+        packed = np.sort(np.concatenate([(k.astype(np.uint64) << np.uint64(32)) | n for k, n in parts]))
+        keys = packed >> np.uint64(32)
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return keys[starts], np.add.reduceat((packed & LOW).astype(np.int64), starts)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, grams, counts = None, [], []
-        for batch in batches:
-            for s, k, n in zip(*(batch.column(c).to_pylist() for c in ("slice", "grams", "counts"))):
-                if s != current and grams:
-                    yield total(current, np.concatenate(grams), np.concatenate(counts))
-                    grams, counts = [], []
-                current = s
-                grams.append(np.frombuffer(k, np.uint64))
-                counts.append(np.frombuffer(n, np.uint32))
-        if grams:
-            yield total(current, np.concatenate(grams), np.concatenate(counts))
-
-    def total(s: int, grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(grams)
-        grams, counts = grams[order], counts[order]
-        starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-        grams, counts = grams[starts], np.add.reduceat(counts.astype(np.int64), starts)
-        single = context_of(grams) == SINGLE
-        levels = np.where(single, level_of(counts, LEAST[0]), level_of(counts, LEAST[1]))
-        kept = levels > 0
-        grams, levels, single = grams[kept], levels[kept], single[kept]
-        histogram = np.bincount(levels.astype(np.int64) + 256 * ~single, minlength=512)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([s], pa.int64()), pa.array([grams.tobytes()], pa.binary()), pa.array([levels.tobytes()], pa.binary()),
-             pa.array([histogram], pa.list_(pa.int64()))], names=["slice", "grams", "levels", "histogram"])
+        current, parts, kept = None, [], []
 
-    sent = texts.select("text").mapInArrow(send, "slice long, grams binary, counts binary")
-    return sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(
-        meet, "slice long, grams binary, levels binary, histogram array<long>")
+        def count() -> None:
+            keys, counts = total(parts)
+            levels = level_of(counts, least[current[1] - 1])
+            kept.append((keys[levels > 0], levels[levels > 0]))
+            parts.clear()
 
+        def close() -> pa.RecordBatch:
+            bits = segment(np.concatenate([k for k, _ in kept]), np.concatenate([n for _, n in kept]), hashes)
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array([current[0]], pa.int64()), pa.array([bits], pa.binary())], names=["slice", "bits"])
 
-def admitted(histogram: np.ndarray) -> tuple[int, int]:
-    """Least level of single words and of pairs that enter, so that the filter is at most half full.
-
-    Everything enters as long as it fits. Beyond that rare pairs, then rare words stay out and are
-    scored as unseen: the model's resolution is what the filter's size bounds, never the counting.
-    """
-    room = FILTER_BITS * np.log(2) / HASHES
-    cost = histogram.reshape(2, 256) * np.arange(256)
-    upwards = cost[:, ::-1].cumsum(1)[:, ::-1]
-    pairs = int(np.flatnonzero(np.r_[upwards[1, 1:] + upwards[0, 1] <= room, True])[0]) + 1
-    single = 1 if pairs < 256 else int(np.flatnonzero(np.r_[upwards[0, 1:] <= room, True])[0]) + 1
-    return single, pairs
+        for batch in batches:
+            for s, length, once, more, counts in zip(*(batch.column(c).to_pylist() for c in names)):
+                if current not in (None, (s, length)):
+                    count()
+                    if current[0] != s:
+                        yield close()
+                current = (s, length)
+                once = np.frombuffer(once, np.uint32)
+                parts += [(once, np.uint64(1)), (np.frombuffer(more, np.uint32), np.frombuffer(counts, np.uint32).astype(np.uint64))]
+        if parts:
+            count()
+            yield close()
+
+    sent = texts.select("text").mapInArrow(releasing(send), kind)
+    return sent.repartition("slice").sortWithinPartitions("slice", "length").mapInArrow(releasing(meet), "slice long, bits binary")
 
 
 class Model:
-    """What workers need to score: vocabulary, filter, unseen mass per context, totals. Bounded in size."""
-
-    def __init__(self, vocabulary: list[bytes], counts: np.ndarray, segments: int, bits: bytes, mass: np.ndarray,
-                 total: float, types: int, starts: int) -> None:
-        self.vocabulary, self.counts, self.segments, self.bits = vocabulary, counts, segments, bits
-        self.mass, self.total, self.types, self.starts = mass, total, types, starts
-
-
-class Scorer:
-    """Scores token sequences with a model."""
-
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.reader = Reader(model.vocabulary)
-        self.filter = Filter(model.segments, np.frombuffer(model.bits, np.uint8))
-        self.context_count = np.zeros(CONTEXTS + 1)
-        n = min(CONTEXTS, len(model.counts))
-        self.context_count[:n] = model.counts[:n]
-        self.context_count[START] = model.starts
-        known = np.maximum(self.context_count, 1)
-        self.unseen = np.where(self.context_count > 0, 1 - model.mass / known, 1.0)
-        self.context_count = known
-        single = ((np.uint64(SINGLE) << np.uint64(46)) | (self.reader.hashes[:-1] >> np.uint64(18))) * SPREAD
-        self.frequent = np.append(self.single(single), 0.0)
-
-    def single(self, grams: np.ndarray) -> np.ndarray:
-        """Add-one probability of single words from their probed counts; all words and one unknown sum to 1."""
-        return (value_of(self.filter.levels(grams), LEAST[0]) + 1) / (self.model.total + self.model.types + 1)
-
-    def probabilities(self, texts: list[str | None]) -> tuple:
-        """Tokens, ends of the texts, vocabulary ids, and each token's probability behind the one before it.
-
-        A pair has its probed count less a discount over its context's count, and the context's mass that
-        stored pairs do not take goes to single words.
+    """What workers need to score besides the filter: the frequent words with their counts, totals, parameters."""
+
+    def __init__(self, vocabulary: list[str], counts: np.ndarray, total: int, types: int, slices: int, least: tuple) -> None:
+        hashes = hash_of(vocabulary)
+        order = np.argsort(hashes)
+        self.vocabulary, self.counts = hashes[order], counts[order]
+        self.total, self.types, self.slices, self.least = total, types, slices, least
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of frequent words, -1 for others."""
+        if not len(self.vocabulary):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == hashes, at, -1)
+
+    def keys(self, read: Tokens) -> np.ndarray:
+        """Distinct keys of all n-grams of texts, in ascending order."""
+        return np.unique(np.concatenate([k[there] for k, there in grams(read.hashes, read.place, self.slices, len(self.least))]))
+
+    def probabilities(self, read: Tokens, find: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Each token's probability behind the tokens before it; 1 for starts. ``find`` gives levels of distinct keys.
+
+        Single words have add-one probabilities; all words and one unknown sum to 1 at most. An n-gram
+        counts for its level's least count, its context for its level's highest one, and the context
+        leaves the next shorter one as much as words are expected behind it. A context that is too rare
+        for any stored n-gram changes nothing. A gram is only looked up if both shorter ones in it are there.
         """
-        flat, ends, ids, single, pair, paired, context = self.reader.read(texts)
-        p = self.frequent[ids]
-        rare = np.flatnonzero(ids < 0)
-        p[rare] = self.single(single[rare])
-        levels = self.filter.levels(pair)
-        at = context[paired]
-        seen = np.maximum(value_of(levels, LEAST[1]) - DISCOUNT, 0) / self.context_count[at]
-        p[paired] = seen + self.unseen[at] * p[paired]
-        return flat, ends, ids, p
-
-    def score(self, texts: list[str | None]) -> tuple:
-        """Tokens, ends, vocabulary ids, and the log10 probability of each text."""
-        flat, ends, ids, p = self.probabilities(texts)
-        return flat, ends, ids, np.add.reduceat(np.log10(p), np.r_[0, ends[:-1]]) if len(ends) else np.zeros(0)
-
-
-def train(texts: DataFrame, counts: DataFrame, total: int, documents: int) -> Model:
-    """Fill the filter from all training texts. ``counts``: their exact token counts."""
-    spark = texts.sparkSession
-    top = frequent_terms(counts).orderBy(F.desc("n"), "term").toArrow()
-    vocabulary = [t.encode() for t in top.column("term").to_pylist()]
-    slices = min(slices_for(total), FILTER_BITS >> 12)
-    grams = settle(gram_levels(texts, spark.sparkContext.broadcast(vocabulary), slices), "grams")
-    rows = grams.select(F.posexplode("histogram")).groupBy("pos").agg(F.sum("col").alias("n")).collect()
-    histogram = np.zeros(512, np.int64)
-    for row in rows:
-        histogram[row["pos"]] = row["n"]
-    least = admitted(histogram)
-
-    def kept(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        g, levels = np.frombuffer(row["grams"], np.uint64), np.frombuffer(row["levels"], np.uint8)
-        context = context_of(g)
-        inside = levels >= np.where(context == SINGLE, least[0], least[1])
-        return g[inside], levels[inside], context[inside]
-
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                g, levels, _ = kept(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["slice"]], pa.int64()), pa.array([Filter(slices).segment(g, levels)], pa.binary())], names=["slice", "bits"])
+        p, level = np.ones(len(read.hashes)), np.zeros(len(read.hashes), np.uint8)
+        for order, (keys, there) in enumerate(grams(read.hashes, read.place, self.slices, len(self.least)), 1):
+            before = np.r_[np.uint8(0), level[:-1]]
+            at = np.flatnonzero(there if order == 1 else there & (level > 0) & (before > 0))
+            kinds, back = np.unique(keys[at], return_inverse=True)
+            level = np.zeros(len(keys), np.uint8)
+            level[at] = find(kinds)[back]
+            counts = least_counts(self.least[order - 1])[level]
+            if order == 1:
+                p = (counts + 1) / (self.total + self.types + 1)
+            else:
+                context = most_counts(self.least[order - 2])[before]
+                known = there & (context >= self.least[order - 1])
+                context, rest = context[known], context[known] ** GROWTH
+                p[known] = (np.minimum(counts[known], context) + rest * p[known]) / (context + rest)
+        p[read.first] = 1
+        return p
+
+
+def train(texts: DataFrame, counts: DataFrame, total: int, types: int, least: tuple = LEAST, hashes: int = HASHES) -> tuple[Model, DataFrame]:
+    """The model of all ``texts`` and its filter as a stored table of segments. ``counts``: exact token counts."""
+    top = frequent_terms(counts).select("term", "n").toArrow()
+    slices = slices_for(total, SLICE_TOKENS, most=1 << 24)
+    model = Model(top.column("term").to_pylist(), np.array(top.column("n").to_pylist(), np.float64), total, types, slices, least)
+    return model, settle(segments(texts, slices, least, hashes), "segments")
+
+
+def gather(stored: DataFrame, slices: int, hashes: int = HASHES) -> Filter:
+    """The whole filter, for broadcasting; its size is to be checked before."""
+    rows = stored.orderBy("slice").toArrow()
+    sizes = np.zeros(slices + 1, np.int64)
+    bits = rows.column("bits").to_pylist()
+    sizes[np.array(rows.column("slice").to_pylist(), np.int64) + 1] = [len(b) for b in bits]
+    return Filter(b"".join(bits), np.cumsum(sizes), hashes)
+
+
+def look_up(docs: DataFrame, stored: DataFrame, model, hashes: int) -> DataFrame:
+    """Texts in chunks, each with the levels of its distinct n-grams: ``(chunk, kind, slice, blob)`` rows.
+
+    Chunks are written once. Their keys go to the slice's segment, which answers one byte a key, and
+    the answers meet their chunk again: rows of kind 1 in order of slices, then the chunk, kind 2.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, chunks = RowIds(), RowIds()
+        for chunk in text_chunks(batches):
+            chunk = chunk.append_column("number", pa.array(numbers.take(chunk.num_rows)))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, chunk.schema) as out:
+                out.write_batch(chunk)
+            yield pa.RecordBatch.from_arrays([pa.array(chunks.take(1)), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "blob"])
 
-    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass = np.zeros(SINGLE + 1)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                _, levels, context = kept(row)
-                value = np.where(context == SINGLE, value_of(levels, LEAST[0]), value_of(levels, LEAST[1]) - DISCOUNT)
-                mass += np.bincount(context, value, SINGLE + 1)
-        used = np.flatnonzero(mass)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(mass[used])], names=["context", "mass"])
-
-    bits = bytearray(FILTER_BITS // 8)
-    width = FILTER_BITS // slices // 8
-    # The whole filter, a fixed number of bytes, passes through the driver to be broadcast.
-    for row in grams.select("slice", "grams", "levels").mapInArrow(segments, "slice long, bits binary").toArrow().to_pylist():
-        bits[row["slice"] * width:(row["slice"] + 1) * width] = row["bits"]
-    mass = np.zeros(SINGLE + 1)
-    for row in grams.select("grams", "levels").mapInArrow(masses, "context long, mass double").groupBy("context").agg(
-            F.sum("mass").alias("mass")).toArrow().to_pylist():
-        mass[row["context"]] = row["mass"]
-    types = int(histogram[least[0]:256].sum())
-    n = np.array(top.column("n").to_pylist(), np.float64)
-    return Model(vocabulary, n, slices, bytes(bits), mass[:CONTEXTS + 1], float(mass[SINGLE]), types, documents)
-
-
-def score_documents(documents: DataFrame, folds: int = 7, held_fold: int = 2, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
+            for number, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist()):
+                keys = model.value.keys(Tokens(opened(blob).column("text").to_pylist()))
+                rows = [(s, number, keys[a:b].astype(np.uint32).tobytes()) for s, a, b in by_slice(keys)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))],
+                                                 names=["slice", "chunk", "blob"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, found = None, None
+        for batch in batches:
+            for s, chunk, blob in zip(*(batch.column(c).to_pylist() for c in ("slice", "chunk", "blob"))):
+                if s != current:
+                    current, found = s, Filter(b"", np.zeros(2, np.int64), hashes)
+                if chunk < 0:
+                    found = Filter(blob, np.array([0, len(blob)]), hashes)
+                    continue
+                levels = found.levels(np.frombuffer(blob, np.uint32).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([s]), pa.array([levels.tobytes()], pa.binary())],
+                                                 names=["chunk", "slice", "blob"])
+
+    chunks = settle(docs.mapInArrow(releasing(write), "chunk long, blob binary"), "chunks")
+    asked = chunks.mapInArrow(releasing(ask), "slice long, chunk long, blob binary")
+    held = stored.select("slice", F.lit(-1).cast("long").alias("chunk"), F.col("bits").alias("blob"))
+    answers = held.unionByName(asked).repartition("slice").sortWithinPartitions("slice", "chunk").mapInArrow(
+        releasing(answer), "chunk long, slice long, blob binary")
+    both = answers.select("chunk", F.lit(1).alias("kind"), "slice", "blob").unionByName(
+        chunks.select("chunk", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("slice"), "blob"))
+    return both.repartition("chunk").sortWithinPartitions("chunk", "kind", "slice")
+
+
+def opened(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+def score_documents(documents: DataFrame, folds: int = 7, held_fold: int = 2, id_column: str = "doc_id", text_column: str = "text",
+                    least: tuple = LEAST, hashes: int = HASHES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Score whole texts with a model of the documents whose crc32(id as text) mod ``folds`` is not ``held_fold``.
 
     Returns per input row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. A null
     text is empty and has one token, its end. A row with a null id is learned from. Repeated rows are
-    learned from and scored each. Without training rows every token is unknown: base 0, score 0.
+    learned from and scored each. A very long text is read whole, in a chunk of its own. Without training
+    rows every token is unknown: base 0, score 0. Other columns are not read, whatever their names.
 
-    ``base_score`` and ``n_known`` use exact counts: the vocabulary's in the task, all others by a join
-    of the words' counts. ``score`` uses the filter alone, besides vocabulary and totals.
+    ``base_score`` and ``n_known`` use exact counts: frequent words' in the task, all others by a join of
+    the words' counts. ``score`` uses the filter and totals. The filter holds every n-gram with its least
+    count at any size of the corpus. Up to ``broadcast_bytes`` it is broadcast; beyond that n-grams are
+    sent to its segments. Either way gives the same scores.
     """
     docs = with_unique_names(documents, doc_id=id_column, text=text_column)
     kind = dict(docs.dtypes)["doc_id"]
@@ -316,43 +388,68 @@ def score_documents(documents: DataFrame, folds: int = 7, held_fold: int = 2, id
     docs = docs.withColumn("held_out", F.coalesce(fold == held_fold, F.lit(False)))
     learned = docs.filter(~F.col("held_out"))
     counts = settle(count_terms(learned, tokens), "tokens")
-    sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types"),
-                      F.sum(F.when(F.col("term") == "", F.col("n"))).alias("texts")).first()
+    sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
     total, types = sums["n"] or 0, sums["types"]
-    shared = docs.sparkSession.sparkContext.broadcast(train(learned, counts, total, sums["texts"] or 0))
+    made, stored = train(learned, counts, total, types, least, hashes)
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast(made)
+    size = stored.agg(F.sum(F.length("bits"))).first()[0] or 0
+
+    def score(chunk: pa.RecordBatch, read: Tokens, number: np.ndarray, find: Callable) -> pa.RecordBatch:
+        logs = np.append(np.log10(model.value.counts + 1), 0.0)
+        scores = np.add.reduceat(np.log10(model.value.probabilities(read, find)), read.first)
+        ids = model.value.ids(read.hashes)
+        predicted = np.add.reduceat((read.place > 0).astype(np.int64), read.first)
+        found = np.add.reduceat((ids >= 0).astype(np.int64), read.first)
+        base = np.add.reduceat(logs[ids], read.first)
+        unknown = np.flatnonzero(ids[read.at] < 0)
+        edges = np.searchsorted(read.at[unknown], np.r_[read.first, len(read.hashes)])
+        # The end is an unknown token only if it is not among the frequent ones.
+        ends = np.r_[read.first[1:], len(read.hashes)] - 1
+        at, term, n = [], [], []
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            rare = Counter([read.data[read.begins[u]:read.ends[u]] for u in unknown[a:b]])
+            if ids[ends[i]] < 0:
+                rare[b""] = 1
+            # Without rare words: a term that cannot match, own to the row.
+            term += rare.keys() if rare else [b" %d" % number[i]]
+            n += rare.values() if rare else [0]
+            at += [i] * max(1, len(rare))
+        at = np.array(at)
+        first = np.r_[True, at[1:] != at[:-1]]
+
+        def once(values: np.ndarray) -> pa.Array:
+            return pa.array(np.where(first, values[at], 0).astype(values.dtype))
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number[at]), chunk.column("doc_id").take(pa.array(at)), chunk.column("held_out").take(pa.array(at)),
+             once(predicted), once(found), once(base), once(scores), as_strings(term), pa.array(n, pa.int64())],
+            names=["row_id", "doc_id", "held_out", "n_tokens", "found", "base", "score", "term", "n"])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, rows = Scorer(shared.value), RowIds()
-        logs = np.append(np.log10(shared.value.counts + 1), 0.0)
+    def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = RowIds()
         for chunk in text_chunks(batches):
-            flat, ends, ids, scores = scorer.score(chunk.column("text").to_pylist())
-            starts = np.r_[0, ends[:-1]]
-            found = np.add.reduceat((ids >= 0).astype(np.int64), starts)
-            base = np.add.reduceat(logs[ids], starts)
-            number = rows.take(chunk.num_rows)
-            at, term, n = [], [], []
-            unknown = np.flatnonzero(ids < 0)
-            of = np.searchsorted(ends, unknown, side="right")
-            edges = np.searchsorted(of, np.arange(chunk.num_rows + 1))
-            for i, (a, b) in enumerate(zip(edges, edges[1:])):
-                rare = Counter([flat[u] for u in unknown[a:b]])
-                # Without rare words: a term that cannot match, own to the row.
-                term += rare.keys() if rare else [b"\x00%d" % number[i]]
-                n += rare.values() if rare else [0]
-                at += [i] * max(1, len(rare))
-            at = np.array(at)
-            first = np.r_[True, at[1:] != at[:-1]]
-
-            def once(values: np.ndarray) -> pa.Array:
-                return pa.array(np.where(first, values[at], 0).astype(values.dtype))
-
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number[at]), chunk.column("doc_id").take(pa.array(at)), chunk.column("held_out").take(pa.array(at)),
-                 once(ends - starts), once(found), once(base), once(scores), as_strings(term), pa.array(n, pa.int64())],
-                names=["row_id", "doc_id", "held_out", "n_tokens", "found", "base", "score", "term", "n"])
-
-    rows = docs.mapInArrow(score, f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, found long, base double, "
-                                  "score double, term string, n long")
+            yield score(chunk, Tokens(chunk.column("text").to_pylist()), numbers.take(chunk.num_rows), shared.value.levels)
+
+    def score_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for way, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist()):
+                if way == 1:
+                    held.append(np.frombuffer(blob, np.uint8))
+                    continue
+                chunk = opened(blob)
+                read = Tokens(chunk.column("text").to_pylist())
+                keys, levels = model.value.keys(read), np.concatenate(held)
+                held = []
+                yield score(chunk, read, chunk.column("number").to_numpy(), lambda kinds: levels[np.searchsorted(keys, kinds)])
+
+    out = f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, found long, base double, score double, term string, n long"
+    if size <= broadcast_bytes:
+        shared = spark.sparkContext.broadcast(gather(stored, made.slices, hashes))
+        rows = docs.mapInArrow(releasing(score_texts), out)
+    else:
+        rows = look_up(docs, stored, model, hashes).mapInArrow(releasing(score_chunks), out)
     joined = rows.join(counts.select("term", F.col("n").alias("count")), "term", "left")
     known = F.when(F.col("count").isNotNull(), F.col("n")).otherwise(0)
     out = joined.groupBy("row_id").agg(

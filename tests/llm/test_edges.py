@@ -75,26 +75,81 @@ def test_lm_without_training_rows(frame):
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (4, 0, 0, 0.0, 0.0)
 
 
+def lm_of(texts, **options):
+    counts = bloom_lm.settle(bloom_lm.count_terms(texts, bloom_lm.tokens), "tokens")
+    total, types = counts.agg(F.sum("n"), F.count("*")).first()
+    model, stored = bloom_lm.train(texts, counts, total, types, **options)
+    return model, bloom_lm.gather(stored, model.slices, options.get("hashes", bloom_lm.HASHES))
+
+
 def test_lm_probabilities_sum_to_at_most_one(frame):
     texts = frame([(i, "a b a c a b") for i in range(5)] + [(9, "c c b a")], "doc_id long, text string")
-    counts = bloom_lm.settle(bloom_lm.count_terms(texts, bloom_lm.tokens), "tokens")
-    total = counts.agg(F.sum("n")).first()[0]
-    scorer = bloom_lm.Scorer(bloom_lm.train(texts, counts, total, 6))
-    for context in ("a", "b", "c"):
-        p = [scorer.probabilities([f"{context} {word}"])[3][1] for word in ("a", "b", "c", "unseen")]
-        end = scorer.probabilities([context])[3][1]
-        assert min(p) > 0 and 0.5 < sum(p) + end <= 1 + 1e-9
-    assert scorer.probabilities(["a b"])[3][1] > scorer.probabilities(["b b"])[3][1]
-    single = scorer.single(((np.uint64(bloom_lm.SINGLE) << np.uint64(46)) | (scorer.reader.hashes[:-1] >> np.uint64(18))) * bloom_lm.SPREAD)
-    assert 0.5 < single.sum() <= 1 + 1e-9
-
-
-def test_filter_keeps_rare_grams_out_when_full():
-    histogram = np.zeros(512, np.int64)
-    histogram[1], histogram[257], histogram[260] = 1000, 10 ** 9, 1000
-    assert bloom_lm.admitted(histogram) == (1, 2)
-    histogram[257] = 1000
-    assert bloom_lm.admitted(histogram) == (1, 1)
+    model, found = lm_of(texts, hashes=24)
+    for context in ("", "a", "b", "c", "a b", "a b a", "c c"):
+        read = bloom_lm.Tokens([f"{context} {word}" for word in ("a", "b", "c", "unseen")] + [context])
+        p = model.probabilities(read, found.levels)
+        at = read.first + len(context.split()) + 1
+        assert min(p[at]) > 0 and 0.5 < p[at].sum() <= 1 + 1e-9
+    read = bloom_lm.Tokens(["a b", "b b"])
+    p = model.probabilities(read, found.levels)
+    assert p[2] > p[6]
+
+
+def exact_scores(texts, held, least=bloom_lm.LEAST):
+    """The model's scores from exact counts, without a filter or hashes."""
+    read = [["<s>", *tokens(t)] for t in texts]
+    counts = Counter(tuple(ws[i:i + n]) for ws, h in zip(read, held) if not h for n in range(1, len(least) + 1) for i in range(len(ws) - n + 1))
+    total, types = sum(n for g, n in counts.items() if len(g) == 1 and g != ("<s>",)), sum(len(g) == 1 and g != ("<s>",) for g in counts)
+    starts = [sorted({math.ceil(low * bloom_lm.BASE ** k - 1e-9) for k in range(60)}) for low in least]
+
+    def level(gram):
+        return sum(counts[gram] >= s for s in starts[len(gram) - 1])
+
+    def probability(ws, i, n):
+        low = level(tuple(ws[i - n + 1:i + 1]))
+        if n == 1:
+            return ((starts[0][low - 1] if low else 0) + 1) / (total + types + 1)
+        p = probability(ws, i, n - 1)
+        context = level(tuple(ws[i - n + 1:i]))
+        size = starts[n - 2][context] - 1 if context else 0
+        if size < least[n - 1]:
+            return p
+        return (min(starts[n - 1][low - 1] if low else 0, size) + size ** bloom_lm.GROWTH * p) / (size + size ** bloom_lm.GROWTH)
+
+    return [sum(math.log10(probability(ws, i, min(len(least), i + 1))) for i in range(1, len(ws))) for ws in read]
+
+
+def test_lm_scores_match_exact_counts(frame):
+    texts = [" ".join(f"w{(i * i + j * (i % 5 + 1)) % 17}" for j in range(i % 40)) for i in range(200)] + \
+        ["The cat sat on the mat today, the CAT sat on the mat"] * 3 + ["x" * 150000 + " tail " + "é" * 70, None, "", " \t ", "many words " * 3000]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    # So many hashes that no probe succeeds by chance.
+    got = {r.doc_id: r.score for r in bloom_lm.score_documents(docs, hashes=24).collect()}
+    want = exact_scores(texts, held)
+    assert len(got) == len(texts) and any(held)
+    for i, score in enumerate(want):
+        assert got[i] == pytest.approx(score, rel=1e-9)
+
+
+def test_lm_same_scores_from_stored_segments(texts, no_texts):
+    names = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    rounded = [rows_of(bloom_lm.score_documents(texts, broadcast_bytes=limit).withColumn("base_score", F.round("base_score", 6))
+                       .withColumn("score", F.round("score", 6)), *names) for limit in (bloom_lm.BROADCAST_BYTES, -1)]
+    assert rounded[0] == rounded[1] and len(rounded[0]) == len(TEXTS)
+    assert bloom_lm.score_documents(no_texts, broadcast_bytes=-1).count() == 0
+
+
+def test_lm_filter_grows_with_the_corpus(frame):
+    sizes = []
+    for n in (2000, 8000):
+        docs = frame([(i, " ".join(f"w{i * 31 + j}" for j in range(20))) for i in range(n // 20)] + [(-1, "seen once here")] , "doc_id long, text string")
+        model, found = lm_of(docs)
+        read = bloom_lm.Tokens(["seen once here"])
+        # Single words and pairs are there with any count, whatever else the corpus holds.
+        assert (found.levels(model.keys(read)) > 0).sum() >= 5 + 4
+        sizes.append(len(found.bits))
+    assert sizes[1] > 3 * sizes[0]
 
 
 def test_language_edges(texts, no_texts, frame):
