@@ -24,9 +24,11 @@ HASHES = 4
 # A context that occurs n times is taken to have n ** GROWTH different words behind it.
 GROWTH = 0.8
 # The filter grows with the corpus. Up to this size it is broadcast, beyond it n-grams go to its stored segments.
-BROADCAST_BYTES = 192 << 20
+BROADCAST_BYTES = 128 << 20
 # Tokens a task holds before it passes its partial counts on, and about as many of the corpus for each segment.
 HELD_TOKENS, SLICE_TOKENS = 1 << 22, 1 << 20
+# Text that is read at once; its n-grams are arrays of many times its size.
+CHUNK_BYTES = 4 << 20
 # Longest word that is hashed along with others, eight bytes at a time.
 WORD_BYTES = 64
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -193,7 +195,7 @@ def segments(texts: DataFrame, slices: int, least: tuple = LEAST, hashes: int =
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             read = Tokens(chunk.column("text").to_pylist())
             held.append((read.hashes, np.minimum(read.place, len(least)).astype(np.uint8)))
             size += len(read.hashes)
@@ -326,7 +328,7 @@ def look_up(docs: DataFrame, stored: DataFrame, model, hashes: int) -> DataFrame
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, chunks = RowIds(), RowIds()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             chunk = chunk.append_column("number", pa.array(numbers.take(chunk.num_rows)))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, chunk.schema) as out:
@@ -428,7 +430,7 @@ def score_documents(documents: DataFrame, folds: int = 7, held_fold: int = 2, id
 
     def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = RowIds()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             yield score(chunk, Tokens(chunk.column("text").to_pylist()), numbers.take(chunk.num_rows), shared.value.levels)
 
     def score_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
