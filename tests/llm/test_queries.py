@@ -11,9 +11,10 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reviewpulse.llm import ORACLES, QUERIES
+from reviewpulse.llm import ORACLES, QUERIES, fusion
 
 from .conftest import SF
 
@@ -70,6 +71,17 @@ def test_op2_held_out_accuracy(spark, documents):
     assert got.accepted.all() and (got.language == label[got.index]).all()
 
 
+def test_language_of_held_out_texts(spark, documents):
+    """Trained on four fifths, judged on the rest by text alone: neither a declared language nor a host."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fusion.train(docs.filter("doc_id % 5 <> 0"), "doc_id", "text", "lang")
+    nothing = F.lit(None).cast("string")
+    got = fusion.identify(docs.filter("doc_id % 5 = 0"), model, "doc_id", "text", nothing, nothing).toPandas().set_index("id")
+    label = documents.set_index("doc_id").lang
+    right = (got.language == label[got.index]).mean()
+    assert len(got) == (documents.doc_id % 5 == 0).sum() and right > 0.9, right
+
+
 def test_op4_packs_every_id_once(spark, documents):
     got = QUERIES["op4_harmonic_packing"](spark, SF).toPandas()
     encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
