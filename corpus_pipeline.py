@@ -40,9 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once, or once per epoch."""
-    sized = docs.withColumn(ROW, mixing.word_count(F.col("text")))
+    # Sizes and hashes are made below the join with the labels: only the last pass takes texts through it.
+    sized = docs.withColumns({ROW: mixing.word_count(F.col("text")), f"{ROW}_hash": mixing.row_hash(docs)})
     weighted = mixing.label_weight(sized, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(weighted, F.col("quality_weight"), F.col(ROW)).filter("mix.copies > 0")
+    mixed = mixing.mix(weighted, F.col("quality_weight"), F.col(ROW), own=F.col(f"{ROW}_hash")).filter("mix.copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int")))).select(*docs.columns)
 
 

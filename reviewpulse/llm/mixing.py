@@ -62,12 +62,19 @@ def _first_over(sums: DataFrame, keys: list[str], part: str) -> DataFrame:
     ).select(*keys, f"cut.{part}", "cut.prior")
 
 
+def row_hash(documents: DataFrame) -> Column:
+    """A hash of all columns of a row but its mix."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns if c != "mix"])
+
+
 def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_column: str = "doc_id",
-        source_column: str = "source") -> DataFrame:
+        source_column: str = "source", own: Column | None = None) -> DataFrame:
     """Decide how often each document is taken, so that each source comes near its target.
 
-    ``weight``: positive quality weight of a row (null counts as 1); ``size``: its words. Both should be
-    made before any join, so that texts are not shuffled for them. Returns the input columns and a
+    ``weight``: positive quality weight of a row (null counts as 1); ``size``: its words; ``own``: a hash that tells
+    rows of one id apart, by default of all columns. Size and hash should be columns
+    made before any join, so that texts are not shuffled for them: sums and borders then read no text, which
+    is moved at most once, for the result. Returns the input columns and a
     struct ``mix`` of ``size, source_size, target, copies, taken`` (``taken = copies * size``), which
     replaces an input column of that name.
 
@@ -82,7 +89,7 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
     compared with one border per source.
     """
     columns = [F.col(f"`{c}`") for c in documents.columns if c != "mix"]
-    own = F.xxhash64(*columns)
+    own = row_hash(documents) if own is None else own
     # Rows without an id would all have one key.
     id_text = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.concat(F.lit("#"), own.cast("string")))
     key = sampling_key(id_text, F.coalesce(weight, F.lit(1.0)), seed)
@@ -145,8 +152,11 @@ def mix(documents: DataFrame, weight: Column, size: Column, seed: int = 9, id_co
 
 
 def label_weight(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Add ``quality_weight``: 2 for documents labelled good, 0.5 for those labelled bad, else 1."""
-    quality = labels.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("quality").alias("label_quality"))
+    """Add ``quality_weight``: 2 for documents labelled good, 0.5 for those labelled bad, else 1.
+
+    The labels grow with the documents, so they are never broadcast: both sides are dealt by id at any size, unsorted.
+    """
+    quality = labels.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("quality").alias("label_quality")).hint("shuffle_hash")
     weight = F.when(F.col("label_quality") >= 1, 2.0).when(F.col("label_quality") < 1, 0.5).otherwise(1.0)
     return documents.join(quality, F.col(f"`{id_column}`") == F.col("labelled_id"), "left").withColumn(
         "quality_weight", weight).drop("labelled_id", "label_quality")

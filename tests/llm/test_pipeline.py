@@ -47,3 +47,25 @@ def test_rows_with_nulls_and_repeats(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_mixture_shuffles_texts_once(spark, monkeypatch):
+    """At any size: no pass over sizes takes texts through a shuffle, the last one does, and no list of labels is broadcast."""
+    plans = {}
+
+    def plan_of(df):
+        return df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+    def recorded(df, name):
+        plans[name] = plan_of(df)
+        return corpus_pipeline.settle(df, name)
+
+    monkeypatch.setattr(corpus_pipeline.mixing, "settle", recorded)
+    out = plan_of(corpus_pipeline.mixture(spark, table(spark, SF, "documents"), SF))
+
+    def exchanged(plan):
+        return [part for part in plan.split("\n\n") if ") Exchange" in part]
+
+    assert len(exchanged(plans["sized"])) == 2 and not any("text#" in part for part in exchanged(plans["sized"]))
+    assert len([part for part in exchanged(out) if "text#" in part]) == 1
