@@ -85,8 +85,8 @@ def sink_append_history(spark, sf_dir):
 def warehouse_load(spark, sf_dir):
     """Load both targets, all languages and English only, and count what is stored."""
     base = new_path(spark, "warehouse")
-    sinks.overwrite(clean.clean_all(flagged(spark, sf_dir)), f"{base}/clean_all")
-    rows = spark.read.parquet(f"{base}/clean_all")
+    # Both loads read the stored labelled rows; counts and repeats are stored lists that are joined on the way.
+    rows = clean.clean_all(flagged(spark, sf_dir))
     out = None
     for prefix, source, subset in (("", "clean_all_languages", rows), ("en_", "clean_en_only", rows.filter("is_en"))):
         loaded = warehouse.load(subset, source, f"{base}/{source}", "2024-02-01T00:00:00Z")

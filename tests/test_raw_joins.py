@@ -32,3 +32,11 @@ def test_a_document_keeps_all_its_facts(spark, tmp_path):
     assert sorted((r[0], r[1], r[2] is not None, r[3]) for r in got) == sorted(
         [("1", "5", True, "one"), ("2", "3", True, None), ("2", "4", True, None), ("3", None, False, "three"), ("4", None, False, None)],
         key=lambda r: (r[0], r[1] or ""))
+
+
+def test_warehouse_load_writes_no_copy_of_the_clean_table(spark, monkeypatch):
+    from reviewpulse.plans import source_queries
+
+    monkeypatch.setattr(source_queries.sinks, "overwrite", None)
+    sizes = {r.tbl: r.n for r in source_queries.warehouse_load(spark, SF).collect()}
+    assert sizes["reviews"] > sizes["en_reviews"] > 0 and sizes["ingestion_meta"] == 5
