@@ -54,3 +54,16 @@ def test_texts_are_scored_once(spark, monkeypatch):
     found = language.with_detected_language(rows, model)
     assert found.filter("is_en").count() == 4 and found.select("ingest_seq").distinct().count() == 4
     assert calls.value == 4
+
+
+@pytest.mark.parametrize("dense", [1 << 21, 1], ids=["by place", "by sorting"])
+def test_grams_of_texts(monkeypatch, dense):
+    monkeypatch.setattr(language, "DENSE_KEYS", dense)
+    texts = ["", "a", "a b", "ab\n ab  éa1中𐐨²", "12"]
+    expected = {}
+    for word in (w for t in texts for w in regex.findall(language.WORD_PATTERN, t)):
+        padded = f" {word} "
+        for g in [*word, *(padded[i:i + 2] for i in range(len(word) + 1)), *(padded[i:i + 3] for i in range(len(word)))]:
+            expected[g] = expected.get(g, 0) + 1
+    assert {g: n for part in language.text_grams(texts) for g, n in part.items()} == expected
+    assert [dict(part) for part in language.text_grams(["", "1"])] == [{}, {}, {}]
