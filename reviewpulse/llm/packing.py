@@ -59,7 +59,7 @@ def document_pieces(documents: DataFrame, tokenizer: str, end_id: int = 1, capac
         encoder, seen, task = shared_encoder(tokenizer, keeps_space=False), defaultdict(int), TaskContext.get().partitionId()
         for chunk in text_chunks(batches, max_bytes=CHUNK_BYTES):
             at, rows, pieces = [], [], []
-            for i, found in enumerate(encoder.encode(chunk.column("text").to_pylist())):
+            for i, found in enumerate(encoder.encode_column(chunk.column("text"))):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 start = 0
                 for length, kind in cuts(len(ids), capacity, slack):
