@@ -234,7 +234,7 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: str, end_id: int
 
         total = 0
         for chunk in text_chunks(batches):
-            for doc_id, found in zip(chunk.column("doc_id").to_pylist(), encoder.encode(chunk.column("text").to_pylist())):
+            for doc_id, found in zip(chunk.column("doc_id").to_pylist(), encoder.encode_column(chunk.column("text"))):
                 names.append(doc_id)
                 held.append(np.append(found, np.uint32(end_id)))
                 total += len(held[-1])
