@@ -135,7 +135,7 @@ class Encoder:
             data = self.lower(data, kinds, ~within)
         borders = np.append(starts, len(data)).astype(np.int32)
         found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        part, names = found.indices.to_numpy(), found.dictionary.to_pylist()
+        part, names = found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False).tolist()
         whole = np.zeros(len(names), bool)
         whole[part[within[starts]]] = True
         number = np.fromiter(map(self.numbers.get, names, repeat(-1)), np.int64, len(names))
