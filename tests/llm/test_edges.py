@@ -140,6 +140,34 @@ def test_lm_same_scores_from_stored_segments(texts, no_texts):
     assert bloom_lm.score_documents(no_texts, broadcast_bytes=-1).count() == 0
 
 
+def test_lm_segments_score_many_blocks(frame, monkeypatch):
+    for name, value in (("CHUNK_BYTES", 300), ("BLOCK_BYTES", 1000), ("SLICE_TOKENS", 64)):
+        monkeypatch.setattr(bloom_lm, name, value, raising=False)
+    texts = [" ".join(f"w{(i * i + j * (i % 5 + 1)) % 17}" for j in range(i % 40)) for i in range(200)] + \
+        ["same words here"] * 300 + ["x" * 15000 + " tail " + "é" * 70, None, "", " \t ", "no", "space"]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    counts = Counter(w for t, h in zip(texts, held) if not h for w in tokens(t))
+    total, types = sum(counts.values()), len(counts)
+    scored = bloom_lm.score_documents(docs, hashes=24, broadcast_bytes=-1)
+    # Answers come by block: no row for each rare word of each text, which a join with all words would have to take.
+    assert "term" not in scored._jdf.queryExecution().toString()
+    got = {r.doc_id: r for r in scored.collect()}
+    assert len(got) == len(texts)
+    for i, (text, score) in enumerate(zip(texts, exact_scores(texts, held))):
+        ws, row = tokens(text), got[i]
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (held[i], len(ws), sum(w in counts for w in ws), total)
+        assert row.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (total + types + 1)) for w in ws))
+        assert row.score == pytest.approx(score, rel=1e-9)
+
+
+def test_lm_distinct_keys():
+    keys = bloom_lm.mix64(np.arange(3000) % 1000)
+    for some in (keys, keys >> np.uint64(20), keys[:0], (keys[:1] >> np.uint64(3)).repeat(5), np.arange(900, 0, -1).astype(np.uint64) | np.uint64(1 << 63)):
+        kinds, number = bloom_lm.distinct(some)
+        assert kinds.tolist() == sorted(set(some.tolist())) and kinds[number].tolist() == some.tolist()
+
+
 def test_lm_filter_grows_with_the_corpus(frame):
     sizes = []
     for n in (2000, 8000):
